@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrina.functions.numeric import SPELLED_NUMBERS
+from vitrina.session import spread
 
 # Fixed evaluation instant for every compared query (replaces the clock).
 AS_OF = "2024-01-20 12:00:00"
@@ -28,8 +29,20 @@ SHIFT_DAYS = 3652
 WORDS = list(SPELLED_NUMBERS)  # cero .. diez, value i at position i
 
 
+# Key columns used to spread an under-partitioned table over all cores.
+_SPREAD_KEYS = {
+    "lineitem": ("l_orderkey", "l_linenumber"),
+    "orders": ("o_orderkey",),
+    "customer": ("c_custkey",),
+    "part": ("p_partkey",),
+    "events": ("event_id",),
+}
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    keys = _SPREAD_KEYS.get(name)
+    return spread(df, *keys) if keys else df
 
 
 def _s(c) -> Column:

@@ -20,6 +20,12 @@ DEFAULT_CONF = {
 }
 
 
+# Whole-stage codegen fuses a cleaning projection into one large generated
+# method; HotSpot refuses to JIT methods over 8000 bytes of bytecode unless
+# told otherwise, and would interpret it instead.
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "vitrina", extra: dict | None = None,
                   driver_memory: str = "8g") -> SparkSession:
@@ -34,6 +40,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     if master.startswith("local"):
         # local mode: the driver JVM is the only executor
         conf["spark.driver.memory"] = driver_memory
+        conf["spark.driver.extraJavaOptions"] = JIT_OPTIONS
+    else:
+        conf.setdefault("spark.executor.extraJavaOptions", JIT_OPTIONS)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -72,3 +81,20 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "work_dir", "local_path", "DEFAULT_CONF"]
+
+
+def spread(df, *keys: str):
+    """Hash-spread an under-partitioned source over every core.
+
+    A source stored as a few large, unsplittable row groups is read by a few
+    tasks, and every narrow per-row step after it (parsing, cleaning) runs
+    on those tasks alone. When the scan has fewer partitions than the
+    session's default parallelism, hash-partition it by ``keys`` (a
+    deterministic placement, safe on task retry). A large input already has
+    far more partitions than cores and passes through untouched, so this
+    never adds a shuffle at scale. Only planning happens here, no job.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
