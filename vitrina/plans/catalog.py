@@ -74,6 +74,18 @@ class Medallion:
     def silver_ventas(self) -> DataFrame:
         return self._scd("ventas", self.ventas_clean)
 
+    @cached_property
+    def silver_ventas_shared(self) -> DataFrame:
+        """The silver sales snapshot, materialised once.
+
+        Gold reads the sales twice (the date dimension is derived from
+        them, then the fact checks against it). A job writes the silver
+        table once and reads it back; here a reliable checkpoint into
+        ``spark.checkpoint.dir`` plays that part, so the second reader does
+        not recompute feed, cleaning and SCD-1 again.
+        """
+        return self.silver_ventas.checkpoint(eager=True)
+
     @cached_property
     def silver_clientes(self) -> DataFrame:
         return self._scd("clientes", Q.clientes_validos(self.clientes_clean, self.as_of))
@@ -97,7 +109,7 @@ class Medallion:
             "cliente": D.dim_cliente(self.silver_clientes, self.as_of),
             "tienda": D.dim_tienda(self.silver_tiendas, self.as_of),
             "producto": D.dim_producto(self.silver_productos, self.as_of),
-            "tiempo": D.dim_tiempo(self.silver_ventas, self.as_of),
+            "tiempo": D.dim_tiempo(self.silver_ventas_shared, self.as_of),
         }
 
 
@@ -294,7 +306,8 @@ def q_dim_producto(spark, sf_dir):
 
 
 def q_dim_tiempo(spark, sf_dir):
-    return _m(spark, sf_dir).dims["tiempo"]
+    m = _m(spark, sf_dir)
+    return D.dim_tiempo(m.silver_ventas, AS_OF)
 
 
 def q_distinct_keys(spark, sf_dir):
@@ -303,18 +316,18 @@ def q_distinct_keys(spark, sf_dir):
 
 def q_fact_ventas(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return FX.fact_ventas(m.silver_ventas, m.dims, AS_OF)
+    return FX.fact_ventas(m.silver_ventas_shared, m.dims, AS_OF)
 
 
 def q_fact_join_expr(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return FX.fact_join_expr(m.silver_ventas, m.dims["tiempo"])
+    return FX.fact_join_expr(m.silver_ventas_shared, m.dims["tiempo"])
 
 
 def _reject_query(reason: str, key: str):
     def q(spark, sf_dir):
         m = _m(spark, sf_dir)
-        return FX.reject_by(m.silver_ventas, m.dims[reason], key, reason, AS_OF)
+        return FX.reject_by(m.silver_ventas_shared, m.dims[reason], key, reason, AS_OF)
     q.__name__ = f"q_reject_{reason}"
     return q
 
@@ -322,12 +335,12 @@ def _reject_query(reason: str, key: str):
 def q_fact_ventas_rechazadas(spark, sf_dir):
     m = _m(spark, sf_dir)
     keys, _ = E.SILVER_FLOWS["ventas"]
-    return FX.rejects_single_pass(m.silver_ventas, m.dims, AS_OF, unique_on=keys)
+    return FX.rejects_single_pass(m.silver_ventas_shared, m.dims, AS_OF, unique_on=keys)
 
 
 def q_union_rejects(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return FX.rejects_union(m.silver_ventas, m.dims, AS_OF)
+    return FX.rejects_union(m.silver_ventas_shared, m.dims, AS_OF)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

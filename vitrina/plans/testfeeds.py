@@ -39,10 +39,23 @@ _SPREAD_KEYS = {
 }
 
 
+_SOURCES: dict[tuple[int, str], DataFrame] = {}
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    keys = _SPREAD_KEYS.get(name)
-    return spread(df, *keys) if keys else df
+    """The (spread) scan of one testdata table.
+
+    Handles are kept per session and path: a DataFrame is only a plan, and
+    re-reading a parquet footer or re-planning the spread for every query
+    is pure driver overhead.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _SOURCES:
+        df = spark.read.parquet(path)
+        keys = _SPREAD_KEYS.get(name)
+        _SOURCES[key] = spread(df, *keys) if keys else df
+    return _SOURCES[key]
 
 
 def _s(c) -> Column:
@@ -257,10 +270,22 @@ def tiendas_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-RAW_FEEDS = {
+_BUILDERS = {
     "ventas": ventas_raw,
     "clientes": clientes_raw,
     "devoluciones": devoluciones_raw,
     "productos": productos_raw,
     "tiendas": tiendas_raw,
 }
+_FEEDS: dict[tuple[int, str, str], DataFrame] = {}
+
+
+def raw_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
+    """The raw feed plan, built once per session and folder (a plan, not data)."""
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), feed)
+    if key not in _FEEDS:
+        _FEEDS[key] = _BUILDERS[feed](spark, sf_dir)
+    return _FEEDS[key]
+
+
+RAW_FEEDS = {name: (lambda spark, sf_dir, _n=name: raw_feed(spark, sf_dir, _n)) for name in _BUILDERS}
