@@ -80,7 +80,8 @@ ventas_raw AS (
     CASE WHEN k % 53 = 0 THEN NULL
          WHEN k % 6 = 0 THEN strftime(ua, '%d/%m/%Y %H:%M:%S')
          WHEN k % 6 = 1 THEN strftime(ua, '%Y/%m/%d %H:%M:%S')
-         ELSE strftime(ua, '%Y-%m-%d %H:%M:%S') END AS updated_at
+         ELSE strftime(ua, '%Y-%m-%d %H:%M:%S') END AS updated_at,
+    CAST(k % 3 AS INTEGER) AS _lote
   FROM ventas_ts
 )"""
 
@@ -128,7 +129,8 @@ clientes_raw AS (
            WHEN 6 THEN ' ' || strftime(d, '%Y-%m-%d') || ' '
            WHEN 7 THEN strftime(d, '%Y/%m/%d') || 'x'
            ELSE CASE WHEN k % 2 = 0 THEN 'sin fecha' ELSE strftime(d, '%d-%m-%Y') END
-         END END AS fecha_registro
+         END END AS fecha_registro,
+    CAST(k % 2 AS INTEGER) AS _lote
   FROM clientes_k
 )"""
 
@@ -158,7 +160,8 @@ devoluciones_raw AS (
       WHEN 6 THEN strftime(ts, '%m-%d-%Y')
       WHEN 7 THEN strftime(ts, '%Y/%m/%d')
       WHEN 8 THEN '1999-12-31 23:59:59'
-      ELSE strftime(ts, '%d-%m-%Y') END AS fecha_devolucion
+      ELSE strftime(ts, '%d-%m-%Y') END AS fecha_devolucion,
+    CAST((event_id * 2 + v) % 2 AS INTEGER) AS _lote
   FROM dev_src
 )"""
 
@@ -185,7 +188,8 @@ productos_raw AS (
       WHEN 3 THEN CAST(pr AS VARCHAR) || '6'
       WHEN 4 THEN ' ' || CAST(pr AS VARCHAR)
       ELSE CAST(pr AS VARCHAR) END AS precio,
-    _created_at
+    _created_at,
+    CAST(v - 1 AS INTEGER) AS _lote
   FROM prod_src
 )"""
 
@@ -208,7 +212,8 @@ tiendas_raw AS (
     CASE (s_suppkey * 2 + v) % 3 WHEN 0 THEN lower(s_name) WHEN 1 THEN '  ' || s_name ELSE s_name END AS nombre,
     CASE (s_suppkey * 2 + v) % 4 WHEN 0 THEN NULL WHEN 1 THEN lower(n_name) ELSE n_name END AS ciudad,
     CASE (s_suppkey * 2 + v) % 3 WHEN 0 THEN ' ' || lower(r_name) || ' ' ELSE r_name END AS region,
-    _created_at
+    _created_at,
+    CAST(v - 1 AS INTEGER) AS _lote
   FROM tienda_src
 )"""
 
@@ -298,7 +303,8 @@ ventas_t AS (
     {_pos_int("coalesce(" + _words_case("cantidad") + ", cantidad)")} AS cantidad,
     {_pos_amount('monto')} AS monto,
     CASE WHEN fv_parsed >= TIMESTAMP '2000-01-01' AND fv_parsed <= {AS_OF_TS} THEN fv_parsed END AS fecha_venta,
-    {_ts_three('updated_at')} AS updated_at
+    {_ts_three('updated_at')} AS updated_at,
+    _lote
   FROM ventas_p
 ),
 ventas_clean AS (
@@ -521,5 +527,77 @@ FINAL["constraint_set_ventas"] = ("SELECT * FROM ventas_clean WHERE coalesce(can
                                   "AND coalesce(monto >= 0, false)")
 
 
+# A CSV field holding empty text reads back as NULL (Spark's CSV source,
+# default options, like the reference's reader), hence the nullif.
+def _nz(cols: str) -> str:
+    return ", ".join(f"nullif({c.strip()}, '') AS {c.strip()}" for c in cols.split(","))
+
+
+FINAL["ingest_stream_clientes"] = (
+    f"SELECT id_cliente, {_nz('nombre, email, ciudad, fecha_registro')}, _lote FROM clientes_raw")
+FINAL["ingest_stream_raw"] = (
+    f"SELECT {_nz('id_devolucion, id_venta, motivo, fecha_devolucion')}, _lote FROM devoluciones_raw")
+FINAL["ingest_multi_pattern"] = (
+    f"SELECT {_nz('id_venta, id_cliente, id_tienda, id_producto, cantidad, monto, fecha_venta, updated_at')}, "
+    "CASE _lote WHEN 0 THEN 'ventas' WHEN 1 THEN 'fact_sales' ELSE 'sales' END AS familia FROM ventas_raw")
+FINAL["audit_columns"] = "SELECT id_cliente, _lote, true AS has_src_file, true AS has_created_at FROM clientes_raw"
+FINAL["scd1_ventas_stream"] = "SELECT * FROM silver_ventas"
+
+_V_CLEAN_L = ("SELECT id_venta, id_cliente, id_tienda, id_producto, cantidad, monto, fecha_venta, updated_at, "
+              "strftime(fecha_venta, '%Y-%m') AS anio_mes, _lote FROM ventas_t "
+              "WHERE id_venta IS NOT NULL AND id_producto IS NOT NULL")
+_STATE0 = _scd("vcl0", ["id_venta", "id_producto"], "updated_at", VENTAS_COLS)
+_STATE1 = _scd("vcl", ["id_venta", "id_producto"], "updated_at", VENTAS_COLS)
+FINAL["ingestion_log"] = f"""
+, vcl AS ({_V_CLEAN_L}),
+vcl0 AS (SELECT * FROM vcl WHERE _lote IN (0, 1)),
+st0 AS ({_STATE0}),
+st1 AS ({_STATE1}),
+cmp AS (
+  SELECT st0.id_venta AS k0, st1.id_venta AS k1,
+         (st0.id_cliente, st0.id_tienda, st0.cantidad, st0.monto, st0.fecha_venta, st0.updated_at, st0.anio_mes)
+           IS DISTINCT FROM
+         (st1.id_cliente, st1.id_tienda, st1.cantidad, st1.monto, st1.fecha_venta, st1.updated_at, st1.anio_mes) AS changed
+  FROM st0 FULL OUTER JOIN st1 ON st0.id_venta = st1.id_venta AND st0.id_producto = st1.id_producto
+)
+SELECT 'silver.ventas' AS "table", 'silver' AS layer, CAST(0 AS BIGINT) AS version,
+       (SELECT count(*) FROM ventas_raw WHERE _lote IN (0, 1)) AS rows_in,
+       (SELECT count(*) FROM st0) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated,
+       CAST(0 AS BIGINT) AS rows_deleted, true AS has_file_bytes
+UNION ALL
+SELECT 'silver.ventas', 'silver', CAST(1 AS BIGINT),
+       (SELECT count(*) FROM ventas_raw WHERE _lote = 2),
+       (SELECT count(*) FROM cmp WHERE k0 IS NULL),
+       (SELECT count(*) FROM cmp WHERE k0 IS NOT NULL AND k1 IS NOT NULL AND changed),
+       (SELECT count(*) FROM cmp WHERE k1 IS NULL), true"""
+
+_ROUTE = {
+    "ventas": "bronze.ventas_raw", "clientes": "bronze.clientes_raw", "productos": "bronze.productos_raw",
+    "tiendas": "bronze.tiendas_raw", "devoluciones": "bronze.devoluciones_raw",
+}
+
+
+def _route_rows() -> str:
+    parts = [
+        "SELECT DISTINCT CASE _lote WHEN 0 THEN 'ventas' WHEN 1 THEN 'fact_sales' ELSE 'sales' END AS familia, "
+        "_lote FROM ventas_raw"]
+    for feed in ("clientes", "productos", "tiendas", "devoluciones"):
+        parts.append(f"SELECT DISTINCT '{feed}' AS familia, _lote FROM {feed}_raw")
+    return " UNION ALL ".join(parts)
+
+
+FINAL["route_files"] = (
+    "SELECT DISTINCT f.familia, f._lote, "
+    "CASE WHEN f.familia IN ('fact_sales', 'sales') THEN NULL ELSE 'bronze.' || f.familia || '_raw' END AS target_table, "
+    "CASE WHEN f.familia IN ('fact_sales', 'sales') THEN NULL ELSE 'CSV' END AS file_format, "
+    "CASE WHEN f.familia IN ('fact_sales', 'sales') THEN NULL ELSE true END AS has_header, "
+    "CASE WHEN f.familia IN ('fact_sales', 'sales') THEN NULL ELSE ',' END AS delimiter "
+    f"FROM ({_route_rows()}) f")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {k: PREFIX + v for k, v in FINAL.items()}
+    out = {}
+    for k, v in FINAL.items():
+        # a body starting with "," extends the CTE list of the prefix
+        out[k] = (PREFIX.rstrip() + v) if v.lstrip().startswith(",") else PREFIX + v
+    return out

@@ -1,3 +1,156 @@
-"""Registered streaming / file-source queries (filled in below)."""
+"""Registered queries over files and streams (S1-S5, S7, S10-S12, C1 stream).
 
-STREAM_QUERIES: dict = {}
+Each query lands raw feeds (derived from the testdata tables) as CSV files
+in a fresh folder under ``spark.checkpoint.dir``, runs the incremental
+jobs with ``availableNow`` triggers in landing rounds, and returns the
+resulting table as a batch DataFrame.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vitrina.operators import entities as E
+from vitrina.plans.landing import land_staged, stage_feed
+from vitrina.plans.testfeeds import AS_OF, raw_feed
+from vitrina.session import work_dir
+from vitrina.sources.feeds import FEED_SCHEMAS
+from vitrina.sources.routing import file_mapping, list_files, route_files
+from vitrina.streaming.flows import upsert_stream
+from vitrina.streaming.ingest import ingest_to_bronze, read_bronze
+from vitrina.streaming.scd_target import Scd1Target
+
+VENTAS_FAMILIES = {0: "ventas", 1: "fact_sales", 2: "sales"}
+
+
+def feed_columns(feed: str) -> list[str]:
+    return [f.split()[0] for f in FEED_SCHEMAS[feed].split(",")]
+
+
+def _families(feed: str) -> dict[int, str]:
+    return VENTAS_FAMILIES if feed == "ventas" else {0: feed, 1: feed}
+
+
+class Landing:
+    """One scratch landing zone + bronze area for a query run."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.root = work_dir(spark, name)
+        self.landing = f"{self.root}/landing"
+        self._staged: set[str] = set()
+
+    def land(self, sf_dir: str, feed: str, lotes) -> None:
+        """Land the given batches of a feed (staged once, in one job)."""
+        stage = f"{self.root}/_stage/{feed}"
+        if feed not in self._staged:
+            stage_feed(self.spark, raw_feed(self.spark, sf_dir, feed), feed_columns(feed), stage)
+            self._staged.add(feed)
+        fams = _families(feed)
+        for lote in lotes:
+            land_staged(self.spark, stage, lote, self.landing, fams[lote])
+
+    def bronze(self, feed: str) -> str:
+        return f"{self.root}/bronze/{feed}_raw"
+
+    def ingest(self, feed: str) -> dict:
+        return ingest_to_bronze(self.spark, self.landing, feed, self.bronze(feed),
+                                f"{self.root}/_checkpoints/bronze_{feed}")
+
+
+def _lote_from_file(feed: str):
+    return F.regexp_extract("_src_file", r"_(\d+)_\d+\.csv$", 1).cast("int").alias("_lote")
+
+
+def _ingested(spark, sf_dir, feed, rounds) -> DataFrame:
+    z = Landing(spark, f"ingest-{feed}")
+    for lotes in rounds:
+        z.land(sf_dir, feed, lotes)
+        z.ingest(feed)
+    return read_bronze(spark, z.bronze(feed))
+
+
+def q_ingest_stream_clientes(spark, sf_dir):
+    """S1 + S15: explicit-schema customer CSV, two landing rounds."""
+    b = _ingested(spark, sf_dir, "clientes", [[0], [1]])
+    return b.select(*feed_columns("clientes"), _lote_from_file("clientes"))
+
+
+def q_ingest_stream_raw(spark, sf_dir):
+    """An all-STRING feed (returns), two landing rounds."""
+    b = _ingested(spark, sf_dir, "devoluciones", [[0], [1]])
+    return b.select(*feed_columns("devoluciones"), _lote_from_file("devoluciones"))
+
+
+def q_ingest_multi_pattern(spark, sf_dir):
+    """S3: the brace glob takes three file families into one table; a
+    returns file in the same folder is not picked up."""
+    z = Landing(spark, "ingest-multi")
+    z.land(sf_dir, "devoluciones", [0])
+    z.land(sf_dir, "ventas", [0, 1])
+    z.ingest("ventas")
+    z.land(sf_dir, "ventas", [2])
+    z.ingest("ventas")
+    b = read_bronze(spark, z.bronze("ventas"))
+    return b.select(*feed_columns("ventas"),
+                    F.regexp_extract("_src_file", r"/([a-z_]+)_\d+_\d+\.csv$", 1).alias("familia"))
+
+
+def q_audit_columns(spark, sf_dir):
+    """``_src_file`` from file metadata and ``_created_at`` load time."""
+    b = _ingested(spark, sf_dir, "clientes", [[0, 1]])
+    return b.select("id_cliente", _lote_from_file("clientes"),
+                    F.col("_src_file").endswith(".csv").alias("has_src_file"),
+                    F.col("_created_at").isNotNull().alias("has_created_at"))
+
+
+def _ventas_stream(spark, sf_dir):
+    z = Landing(spark, "stream-ventas")
+    target = f"{z.root}/silver/ventas"
+    log = f"{z.root}/auditoria/ingestion_log"
+    for lotes in ([0, 1], [2]):
+        z.land(sf_dir, "ventas", lotes)
+        z.ingest("ventas")
+        upsert_stream(spark, z.bronze("ventas"), "ventas", target,
+                      f"{z.root}/_checkpoints/silver_ventas", as_of=AS_OF, log_dir=log)
+    return z, target, log
+
+
+def q_scd1_ventas_stream(spark, sf_dir):
+    """C1 as a stream: two landing rounds through bronze into a versioned
+    SCD-1 target; equals the batch result."""
+    _, target, _ = _ventas_stream(spark, sf_dir)
+    keys, seq = E.SILVER_FLOWS["ventas"]
+    return Scd1Target(spark, target, keys, seq).read()
+
+
+def q_ingestion_log(spark, sf_dir):
+    """One record per silver micro-batch (deterministic columns)."""
+    _, _, log = _ventas_stream(spark, sf_dir)
+    return spark.read.parquet(log).select(
+        F.col("table"), "layer", "version", "rows_in", "rows_inserted", "rows_updated", "rows_deleted",
+        (F.col("file_bytes") > 0).alias("has_file_bytes"))
+
+
+def q_route_files(spark, sf_dir):
+    """S10 + S12: every landed file routed by the mapping table."""
+    z = Landing(spark, "route")
+    for feed in ("ventas", "clientes", "productos", "tiendas", "devoluciones"):
+        z.land(sf_dir, feed, sorted(_families(feed)))
+    routed = route_files(list_files(spark, f"{z.landing}/*.csv"), file_mapping(spark, as_of=AS_OF))
+    return routed.select(
+        F.regexp_extract("file_name", r"^([a-z_]+)_\d+_\d+\.csv$", 1).alias("familia"),
+        F.regexp_extract("file_name", r"_(\d+)_\d+\.csv$", 1).cast("int").alias("_lote"),
+        "target_table", "file_format", "has_header", "delimiter").distinct()
+
+
+STREAM_QUERIES = {
+    "ingest_stream_clientes": q_ingest_stream_clientes,
+    "ingest_stream_raw": q_ingest_stream_raw,
+    "ingest_multi_pattern": q_ingest_multi_pattern,
+    "audit_columns": q_audit_columns,
+    "scd1_ventas_stream": q_scd1_ventas_stream,
+    "ingestion_log": q_ingestion_log,
+    "route_files": q_route_files,
+}

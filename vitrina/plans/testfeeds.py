@@ -42,6 +42,11 @@ _SPREAD_KEYS = {
 _SOURCES: dict[tuple[int, str], DataFrame] = {}
 
 
+# Every raw feed carries ``_lote``: the landing batch a row's file belongs
+# to when the feed is written out as CSV files (sales: 0..2, others 0..1;
+# the dimension feeds' second load is their second batch).
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The (spread) scan of one testdata table.
 
@@ -126,6 +131,7 @@ def ventas_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(k % 6 == 0, _fmt(ua, "dd/MM/yyyy HH:mm:ss"))
          .when(k % 6 == 1, _fmt(ua, "yyyy/MM/dd HH:mm:ss"))
          .otherwise(_fmt(ua, "yyyy-MM-dd HH:mm:ss")).alias("updated_at"),
+        (k % 3).cast("int").alias("_lote"),
     )
 
 
@@ -176,6 +182,7 @@ def clientes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
              7: F.concat(_fmt(d, "yyyy/MM/dd"), F.lit("x")),
          }, F.when(k % 2 == 0, F.lit("sin fecha")).otherwise(_fmt(d, "dd-MM-yyyy"))))
          .alias("fecha_registro"),
+        (k % 2).cast("int").alias("_lote"),
     )
 
 
@@ -213,6 +220,7 @@ def devoluciones_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             7: _fmt(t, "yyyy/MM/dd"),
             8: F.lit("1999-12-31 23:59:59"),
         }, _fmt(t, "dd-MM-yyyy")).alias("fecha_devolucion"),
+        (k % 2).cast("int").alias("_lote"),
     )
 
 
@@ -242,6 +250,7 @@ def productos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             4: F.concat(F.lit(" "), m),
         }, m).alias("precio"),
         "_created_at",
+        (F.col("v") - 1).cast("int").alias("_lote"),
     )
 
 
@@ -267,6 +276,7 @@ def tiendas_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         _case(k, 3, {0: F.concat(F.lit(" "), F.lower("r_name"), F.lit(" "))},
               F.col("r_name")).alias("region"),
         "_created_at",
+        (F.col("v") - 1).cast("int").alias("_lote"),
     )
 
 
