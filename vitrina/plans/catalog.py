@@ -21,6 +21,7 @@ from vitrina.operators import dims as D
 from vitrina.operators import entities as E
 from vitrina.operators import facts as FX
 from vitrina.operators import quality as Q
+from vitrina.operators.schema import align_to_target, enforce_schema
 from vitrina.operators.scd import scd1_latest
 from vitrina.plans import testfeeds as TF
 
@@ -343,6 +344,28 @@ def q_union_rejects(spark, sf_dir):
     return FX.rejects_union(m.silver_ventas_shared, m.dims, AS_OF)
 
 
+# --- schema operators ------------------------------------------------------------
+
+ALIGN_TARGET_COLUMNS = ["id_venta", "id_producto", "monto", "fecha_venta", "canal"]
+
+
+def q_enforce_schema(spark, sf_dir):
+    """Silver sales projected onto the declared target DDL."""
+    return enforce_schema(_m(spark, sf_dir).silver_ventas, E.SILVER_DDL["ventas"])
+
+
+def q_align_to_target(spark, sf_dir):
+    """Clean sales aligned to a target column list (all STRING)."""
+    return align_to_target(_m(spark, sf_dir).ventas_clean, ALIGN_TARGET_COLUMNS)
+
+
+def q_project_rename(spark, sf_dir):
+    """Projection with renames over the current customers."""
+    c = _m(spark, sf_dir).silver_clientes
+    return c.select("id_cliente", F.col("nombre").alias("nombre_cliente"),
+                    F.col("ciudad").alias("ciudad_cliente"), "email")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_ventas": q_clean_ventas,
     "cast_final": q_cast_final,
@@ -390,4 +413,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reject_tiempo": _reject_query("tiempo", "fecha"),
     "fact_ventas_rechazadas": q_fact_ventas_rechazadas,
     "union_rejects": q_union_rejects,
+    "enforce_schema": q_enforce_schema,
+    "align_to_target": q_align_to_target,
+    "project_rename": q_project_rename,
 }

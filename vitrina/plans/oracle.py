@@ -595,6 +595,15 @@ FINAL["route_files"] = (
     f"FROM ({_route_rows()}) f")
 
 
+FINAL["enforce_schema"] = ("SELECT *, CAST(NULL AS TIMESTAMP) AS _created_at, "
+                           "CAST(NULL AS TIMESTAMP) AS _last_updated_at FROM silver_ventas")
+FINAL["align_to_target"] = ("SELECT CAST(id_venta AS VARCHAR) AS id_venta, CAST(id_producto AS VARCHAR) AS id_producto, "
+                            "CAST(monto AS VARCHAR) AS monto, CAST(fecha_venta AS VARCHAR) AS fecha_venta, "
+                            "CAST(NULL AS VARCHAR) AS canal FROM ventas_clean")
+FINAL["project_rename"] = ("SELECT id_cliente, nombre AS nombre_cliente, ciudad AS ciudad_cliente, email "
+                           "FROM silver_clientes")
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for k, v in FINAL.items():
