@@ -32,6 +32,15 @@ CLEANERS: dict[str, Callable] = {
 }
 
 
+RULES: dict[str, Callable] = {
+    "ventas": lambda as_of: E.ventas_rules(),
+    "clientes": lambda as_of: Q.clientes_warnings(as_of),
+    "devoluciones": lambda as_of: E.devoluciones_rules(),
+    "productos": lambda as_of: E.productos_rules(),
+    "tiendas": lambda as_of: E.tiendas_rules(),
+}
+
+
 def _file_bytes(spark: SparkSession, batch: DataFrame) -> int:
     """Bytes of the files behind a micro-batch (one name per file reaches
     the driver, never a row)."""
@@ -50,7 +59,7 @@ def _file_bytes(spark: SparkSession, batch: DataFrame) -> int:
 
 def upsert_stream(spark: SparkSession, bronze_dir: str, entity: str, target_root: str,
                   checkpoint_dir: str, as_of=None, log_dir: str | None = None,
-                  quarantine_dir: str | None = None) -> list[int]:
+                  quarantine_dir: str | None = None, metrics_dir: str | None = None) -> list[int]:
     """Run the entity's silver flow over every new bronze file, then stop."""
     keys, seq = E.SILVER_FLOWS[entity]
     target = Scd1Target(spark, target_root, keys, seq)
@@ -65,6 +74,13 @@ def upsert_stream(spark: SparkSession, bronze_dir: str, entity: str, target_root
             t0 = time.perf_counter()
             target.upsert(clean, batch_id)
             merge_s = time.perf_counter() - t0
+            if metrics_dir:
+                rows = [(f"bronze.{entity}_clean", batch_id, m["rule"], m["action"],
+                         int(m["passed_records"]), int(m["failed_records"]))
+                        for m in Q.observed_metrics(obs, RULES[entity](as_of))]
+                spark.createDataFrame(rows, "table_name STRING, batch_id BIGINT, rule STRING, action STRING, "
+                                            "passed_records BIGINT, failed_records BIGINT") \
+                     .write.mode("append").parquet(metrics_dir)
             if entity == "clientes" and quarantine_dir:
                 quarantine = Q.clientes_cuarentena(E.clean_clientes(df, as_of), as_of)
                 quarantine.write.mode("append").parquet(quarantine_dir)
