@@ -18,10 +18,10 @@ def test_two_runs_equal_batch(spark):
     # first run: first landing batch of every feed; second run: the rest
     for feed in jobs.FEEDS:
         z.land(SF, feed, [0])
-    jobs.run(spark, z.landing, out, AS_OF)
+    jobs.run(spark, z.landing, out, AS_OF, buckets=8)
     for feed in jobs.FEEDS:
         z.land(SF, feed, [1, 2] if feed == "ventas" else [1])
-    result = jobs.run(spark, z.landing, out, AS_OF)
+    result = jobs.run(spark, z.landing, out, AS_OF, buckets=8)
 
     silver = jobs.silver_tables(spark, out)
     for entity in jobs.FEEDS:

@@ -93,18 +93,21 @@ def rejects_union(ventas: DataFrame, dims: Mapping[str, DataFrame], as_of=None,
 
 
 def tag_sales(ventas: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """One scan of the sales with four existence flags ``ok_<dimension>``.
-
-    Each flag is an ``EXISTS`` subquery, planned as an ExistenceJoin: it
-    adds a boolean and never multiplies rows, whatever the dimension holds.
+    """One scan of the sales with four flags ``ok_<dimension>``.
+
+    Each flag comes from a left outer join against the *distinct* keys of
+    the dimension (distinct, so a repeated key can never multiply a sale).
+    Left outer joins are what AQE's skew handling splits: if one key - or
+    NULL, for sales with no customer - holds a third of the sales under a
+    sort-merge join, its partition is cut into pieces instead of landing on
+    one task. Small key sets are broadcast by AQE from their measured size.
     """
-    v = with_fecha(ventas).alias("__v")
-    flags = {}
+    v = with_fecha(ventas)
     for name, key in REJECT_CHECKS:
-        d = dims[name].select(key).alias(f"__d_{name}")
-        flags[f"ok_{name}"] = d.where(
-            F.col(f"__d_{name}.{key}") == F.col(f"__v.{key}").outer()).exists()
-    return v.select("*", *[c.alias(n) for n, c in flags.items()])
+        keys = dims[name].select(key).where(F.col(key).isNotNull()).distinct() \
+            .withColumn(f"ok_{name}", F.lit(True))
+        v = v.join(keys, key, "left").withColumn(f"ok_{name}", F.coalesce(f"ok_{name}", F.lit(False)))
+    return v
 
 
 def reject_reasons() -> Column:

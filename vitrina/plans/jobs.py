@@ -50,7 +50,7 @@ def run_bronze(spark: SparkSession, landing_dir: str, out_dir: str) -> dict:
             for feed in FEEDS}
 
 
-def run_silver(spark: SparkSession, out_dir: str, as_of=None) -> dict:
+def run_silver(spark: SparkSession, out_dir: str, as_of=None, buckets: int = 256) -> dict:
     p = _paths(out_dir)
     done = {}
     for entity in FEEDS:
@@ -59,7 +59,8 @@ def run_silver(spark: SparkSession, out_dir: str, as_of=None) -> dict:
             f"{p['ckpt']}/silver_{entity}", as_of=as_of,
             log_dir=f"{p['audit']}/ingestion_log",
             metrics_dir=f"{p['audit']}/expectation_metrics",
-            quarantine_dir=f"{p['silver']}/clientes_cuarentena" if entity == "clientes" else None)
+            quarantine_dir=f"{p['silver']}/clientes_cuarentena" if entity == "clientes" else None,
+            buckets=buckets)
     return done
 
 
@@ -97,9 +98,9 @@ def run_gold(spark: SparkSession, out_dir: str, as_of=None) -> dict[str, str]:
     return written
 
 
-def run(spark: SparkSession, landing_dir: str, out_dir: str, as_of=None) -> dict:
+def run(spark: SparkSession, landing_dir: str, out_dir: str, as_of=None, buckets: int = 256) -> dict:
     """One scheduled run over whatever has landed since the last one."""
     bronze = run_bronze(spark, landing_dir, out_dir)
-    silver = run_silver(spark, out_dir, as_of)
+    silver = run_silver(spark, out_dir, as_of, buckets)
     gold = run_gold(spark, out_dir, as_of)
     return {"bronze": bronze, "silver": silver, "gold": gold}

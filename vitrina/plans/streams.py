@@ -22,6 +22,8 @@ from vitrina.streaming.ingest import ingest_to_bronze, read_bronze
 from vitrina.streaming.scd_target import Scd1Target
 
 VENTAS_FAMILIES = {0: "ventas", 1: "fact_sales", 2: "sales"}
+# SCD-1 target buckets for test-scale folders (jobs default to 256).
+TEST_BUCKETS = 16
 
 
 def feed_columns(feed: str) -> list[str]:
@@ -113,7 +115,8 @@ def _ventas_stream(spark, sf_dir):
         z.land(sf_dir, "ventas", lotes)
         z.ingest("ventas")
         upsert_stream(spark, z.bronze("ventas"), "ventas", target,
-                      f"{z.root}/_checkpoints/silver_ventas", as_of=AS_OF, log_dir=log)
+                      f"{z.root}/_checkpoints/silver_ventas", as_of=AS_OF, log_dir=log,
+                      buckets=TEST_BUCKETS)
     return z, target, log
 
 

@@ -59,10 +59,11 @@ def _file_bytes(spark: SparkSession, batch: DataFrame) -> int:
 
 def upsert_stream(spark: SparkSession, bronze_dir: str, entity: str, target_root: str,
                   checkpoint_dir: str, as_of=None, log_dir: str | None = None,
-                  quarantine_dir: str | None = None, metrics_dir: str | None = None) -> list[int]:
+                  quarantine_dir: str | None = None, metrics_dir: str | None = None,
+                  buckets: int = 256) -> list[int]:
     """Run the entity's silver flow over every new bronze file, then stop."""
     keys, seq = E.SILVER_FLOWS[entity]
-    target = Scd1Target(spark, target_root, keys, seq)
+    target = Scd1Target(spark, target_root, keys, seq, buckets=buckets)
     done: list[int] = []
 
     def batch(df: DataFrame, batch_id: int) -> None:
@@ -85,9 +86,12 @@ def upsert_stream(spark: SparkSession, bronze_dir: str, entity: str, target_root
                 quarantine = Q.clientes_cuarentena(E.clean_clientes(df, as_of), as_of)
                 quarantine.write.mode("append").parquet(quarantine_dir)
             if log_dir:
-                new = target.read(batch_id)
+                # untouched buckets are identical by construction: compare
+                # only the buckets this batch rewrote
+                touched = target.touched_buckets(batch_id)
+                new = target.read(batch_id, touched)
                 base_v = target.base_of(batch_id)
-                old = target.read(base_v) if base_v is not None else None
+                old = target.read(base_v, touched) if base_v is not None else None
                 counts = change_counts(old, new, keys).first().asDict()
                 rows_in = int(obs.get.get("__rows", 0))
                 rec = ingestion_log_row(

@@ -1,45 +1,65 @@
-"""SCD type 1 target as immutable, versioned parquet snapshots.
+"""SCD type 1 target as immutable, versioned, key-bucketed parquet snapshots.
 
 Layout under ``root``::
 
-    v=<batch_id>/        the full current state after micro-batch <batch_id>
-    _commits/<batch_id>  marker, written last; a version exists only once
-                         its marker does
-
-``upsert(changes, batch_id)`` reads the newest committed version older than
-``batch_id``, reduces ``base + changes`` to one row per key (the batch SCD-1
-rule: highest sequence, NULL sequence last, deterministic ties) and writes
-``v=<batch_id>`` with overwrite, then its marker. Replaying a batch id
-recomputes from the same base, so Structured Streaming's at-least-once
-``foreachBatch`` becomes an idempotent upsert; a late, older row loses to
-the stored one. Old versions are left in place (time travel, audit).
-
-Every version is a full rewrite of the state: one shuffle by key of base
-plus changes. Change counts for the ingestion log come from comparing two
-versions (``vitrina.operators.audit``).
+    v=<batch_id>/__bucket=<b>/   rows of bucket b rewritten by micro-batch <batch_id>
+    _commits/<batch_id>          JSON marker, written last: for every bucket,
+                                 the version that holds its current rows
+
+A row's bucket is ``pmod(xxhash64(keys), buckets)``. ``upsert(changes,
+batch_id)``:
+
+1. reduces the micro-batch to one row per key (the batch SCD-1 rule:
+   highest sequence, NULL sequence last, deterministic ties) - a shuffle
+   of the batch only, with a partial group limit before it;
+2. finds the buckets the batch touches (at most ``buckets`` small ints
+   reach the driver);
+3. reads only those buckets of the newest committed version older than
+   ``batch_id``, reduces base + changes per key again, and writes them
+   under ``v=<batch_id>`` - one shuffle by bucket, which also clusters the
+   rows for the window, so each task writes whole buckets;
+4. writes the marker: touched buckets point to the new version, all others
+   keep pointing where they did.
+
+So a micro-batch costs O(batch + touched state), not O(table). Replaying a
+batch id recomputes from the same base and overwrites the same folder, so
+Structured Streaming's at-least-once ``foreachBatch`` becomes an idempotent
+upsert; a late, older row loses to the stored one. Old versions stay in
+place (audit, time travel) until a retention job removes them.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vitrina.operators.scd import scd1_merge
+from vitrina.operators.scd import scd1_latest
 from vitrina.sources import files
 
+BUCKET = "__bucket"
+
 
 class Scd1Target:
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], sequence_by: str,
-                 tie_breakers: Sequence[str] = ()):
+                 tie_breakers: Sequence[str] = (), buckets: int = 256):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keys = list(keys)
         self.sequence_by = sequence_by
         self.tie_breakers = list(tie_breakers)
+        self.buckets = buckets
+
+    # --- bookkeeping -------------------------------------------------------
+    def bucket_of(self) -> Column:
+        """Bucket of a row: size ``buckets`` so one bucket of state is about
+        a file's worth (~1 GB) at the table's expected size."""
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
-    def _version_dir(self, v: int) -> str:
-        return f"{self.root}/v={v}"
+    def _commit_path(self, v: int) -> str:
+        return f"{self.root}/_commits/{v}"
 
     def committed_versions(self) -> list[int]:
         return sorted(int(n) for n in files.list_names(self.spark, f"{self.root}/_commits") if n.isdigit())
@@ -48,22 +68,63 @@ class Scd1Target:
         vs = [v for v in self.committed_versions() if before is None or v < before]
         return vs[-1] if vs else None
 
-    def read(self, version: int | None = None) -> DataFrame | None:
+    def manifest(self, version: int) -> dict:
+        return json.loads(files.read_marker(self.spark, self._commit_path(version)))
+
+    def base_of(self, version: int) -> int | None:
+        return self.manifest(version)["base"]
+
+    def _paths(self, bucket_map: dict, only: set[int] | None = None) -> list[str]:
+        return [f"{self.root}/v={v}/{BUCKET}={b}" for b, v in sorted(bucket_map.items(), key=lambda x: int(x[0]))
+                if only is None or int(b) in only]
+
+    def _read_paths(self, paths: list[str], session: SparkSession | None = None) -> DataFrame | None:
+        if not paths:
+            return None
+        return (session or self.spark).read.parquet(*paths)
+
+    # --- reads -------------------------------------------------------------
+    def read(self, version: int | None = None, buckets: set[int] | None = None,
+             session: SparkSession | None = None) -> DataFrame | None:
+        """The current state at ``version`` (default: newest), optionally
+        restricted to some buckets."""
         v = self.latest_version() if version is None else version
-        return None if v is None else self.spark.read.parquet(self._version_dir(v))
+        if v is None:
+            return None
+        return self._read_paths(self._paths(self.manifest(v)["buckets"], buckets), session)
+
+    def touched_buckets(self, version: int) -> set[int]:
+        return {int(b) for b, v in self.manifest(version)["buckets"].items() if v == version}
 
+    # --- write -------------------------------------------------------------
     def upsert(self, changes: DataFrame, batch_id: int) -> int:
-        base_v = self.latest_version(before=batch_id)
         # Read through the session of ``changes``: inside foreachBatch that is
         # the stream's own session, which must run the write so observed
         # metrics on ``changes`` are delivered to it.
-        reader = changes.sparkSession.read
-        base = None if base_v is None else reader.parquet(self._version_dir(base_v))
-        merged = scd1_merge(base, changes, self.keys, self.sequence_by, self.tie_breakers)
-        merged.write.mode("overwrite").parquet(self._version_dir(batch_id))
-        files.write_marker(self.spark, f"{self.root}/_commits/{batch_id}", str(base_v if base_v is not None else ""))
+        session = changes.sparkSession
+        base_v = self.latest_version(before=batch_id)
+        bucket_map = {} if base_v is None else dict(self.manifest(base_v)["buckets"])
+        if base_v is not None:
+            # the layout is fixed once written: bucket count comes from the table
+            self.buckets = int(self.manifest(base_v).get("bucket_count", self.buckets))
+
+        reduced = scd1_latest(changes, self.keys, self.sequence_by, self.tie_breakers) \
+            .withColumn(BUCKET, self.bucket_of())
+        touched = sorted(r[0] for r in reduced.select(BUCKET).distinct().collect())
+        base = self._read_paths(self._paths(bucket_map, set(touched)), session)
+        cols = [c for c in reduced.columns if c != BUCKET]
+        src = reduced.select(*cols)
+        if base is not None:
+            src = base.select(*cols).unionByName(src)
+        merged = scd1_latest(
+            src.withColumn(BUCKET, self.bucket_of()).repartition(max(len(touched), 1), BUCKET),
+            [BUCKET, *self.keys], self.sequence_by, self.tie_breakers)
+        out = f"{self.root}/v={batch_id}"
+        if touched:
+            merged.write.mode("overwrite").partitionBy(BUCKET).parquet(out)
+        for b in touched:
+            bucket_map[str(b)] = batch_id
+        files.write_marker(self.spark, self._commit_path(batch_id),
+                           json.dumps({"base": base_v, "bucket_count": self.buckets,
+                                       "buckets": bucket_map}))
         return batch_id
-
-    def base_of(self, version: int) -> int | None:
-        text = files.read_marker(self.spark, f"{self.root}/_commits/{version}").strip()
-        return int(text) if text else None
