@@ -24,6 +24,7 @@ from vitrina.operators import quality as Q
 from vitrina.operators.schema import align_to_target, enforce_schema
 from vitrina.operators.scd import scd1_latest
 from vitrina.plans import testfeeds as TF
+from vitrina.session import ensure_checkpoint_dir
 
 AS_OF = TF.AS_OF
 
@@ -85,6 +86,7 @@ class Medallion:
         ``spark.checkpoint.dir`` plays that part, so the second reader does
         not recompute feed, cleaning and SCD-1 again.
         """
+        ensure_checkpoint_dir(self.spark)
         return self.silver_ventas.checkpoint(eager=True)
 
     @cached_property
