@@ -43,10 +43,16 @@ def _paths(out_dir: str) -> dict[str, str]:
     }
 
 
-def run_bronze(spark: SparkSession, landing_dir: str, out_dir: str) -> dict:
+# Bound each micro-batch: a backlog of landed files is worked off in
+# several batches of at most this many files, not one unbounded batch.
+MAX_FILES_PER_TRIGGER = 1000
+
+
+def run_bronze(spark: SparkSession, landing_dir: str, out_dir: str,
+               max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> dict:
     p = _paths(out_dir)
     return {feed: ingest_to_bronze(spark, landing_dir, feed, f"{p['bronze']}/{feed}_raw",
-                                   f"{p['ckpt']}/bronze_{feed}")
+                                   f"{p['ckpt']}/bronze_{feed}", max_files_per_trigger)
             for feed in FEEDS}
 
 

@@ -60,7 +60,7 @@ def _file_bytes(spark: SparkSession, batch: DataFrame) -> int:
 def upsert_stream(spark: SparkSession, bronze_dir: str, entity: str, target_root: str,
                   checkpoint_dir: str, as_of=None, log_dir: str | None = None,
                   quarantine_dir: str | None = None, metrics_dir: str | None = None,
-                  buckets: int = 256) -> list[int]:
+                  buckets: int = 256, max_files_per_trigger: int | None = 1000) -> list[int]:
     """Run the entity's silver flow over every new bronze file, then stop."""
     keys, seq = E.SILVER_FLOWS[entity]
     target = Scd1Target(spark, target_root, keys, seq, buckets=buckets)
@@ -105,7 +105,7 @@ def upsert_stream(spark: SparkSession, bronze_dir: str, entity: str, target_root
         finally:
             df.unpersist()
 
-    q = (read_bronze_stream(spark, bronze_dir).writeStream
+    q = (read_bronze_stream(spark, bronze_dir, max_files_per_trigger).writeStream
          .foreachBatch(batch)
          .option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True)

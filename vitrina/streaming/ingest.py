@@ -35,7 +35,11 @@ def read_bronze(spark: SparkSession, bronze_dir: str) -> DataFrame:
     return spark.read.parquet(bronze_dir)
 
 
-def read_bronze_stream(spark: SparkSession, bronze_dir: str) -> DataFrame:
-    """Incremental read of an append table."""
+def read_bronze_stream(spark: SparkSession, bronze_dir: str,
+                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """Incremental read of an append table (committed files only)."""
     schema = spark.read.parquet(bronze_dir).schema
-    return spark.readStream.schema(schema).parquet(bronze_dir)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.parquet(bronze_dir)
