@@ -33,6 +33,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,20 +109,24 @@ class Scd1Target:
             # the layout is fixed once written: bucket count comes from the table
             self.buckets = int(self.manifest(base_v).get("bucket_count", self.buckets))
 
+        # the reduced batch is used twice (touched buckets, then the merge):
+        # keep it instead of cleaning and reducing the batch again
         reduced = scd1_latest(changes, self.keys, self.sequence_by, self.tie_breakers) \
-            .withColumn(BUCKET, self.bucket_of())
-        touched = sorted(r[0] for r in reduced.select(BUCKET).distinct().collect())
-        base = self._read_paths(self._paths(bucket_map, set(touched)), session)
-        cols = [c for c in reduced.columns if c != BUCKET]
-        src = reduced.select(*cols)
-        if base is not None:
-            src = base.select(*cols).unionByName(src)
-        merged = scd1_latest(
-            src.withColumn(BUCKET, self.bucket_of()).repartition(max(len(touched), 1), BUCKET),
-            [BUCKET, *self.keys], self.sequence_by, self.tie_breakers)
-        out = f"{self.root}/v={batch_id}"
-        if touched:
-            merged.write.mode("overwrite").partitionBy(BUCKET).parquet(out)
+            .withColumn(BUCKET, self.bucket_of()).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            touched = sorted(r[0] for r in reduced.select(BUCKET).distinct().collect())
+            base = self._read_paths(self._paths(bucket_map, set(touched)), session)
+            cols = [c for c in reduced.columns if c != BUCKET]
+            src = reduced.select(*cols)
+            if base is not None:
+                src = base.select(*cols).unionByName(src)
+            merged = scd1_latest(
+                src.withColumn(BUCKET, self.bucket_of()).repartition(max(len(touched), 1), BUCKET),
+                [BUCKET, *self.keys], self.sequence_by, self.tie_breakers)
+            if touched:
+                merged.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/v={batch_id}")
+        finally:
+            reduced.unpersist()
         for b in touched:
             bucket_map[str(b)] = batch_id
         files.write_marker(self.spark, self._commit_path(batch_id),
