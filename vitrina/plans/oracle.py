@@ -385,10 +385,11 @@ silver_devoluciones AS ({_scd('dev_clean', ['id_devolucion'], 'fecha_devolucion'
 silver_productos AS ({_scd('prod_clean', ['id_producto'], '_created_at', PROD_COLS)}),
 silver_tiendas AS ({_scd('tienda_clean', ['id_tienda'], '_created_at', TIENDA_COLS)}),
 dim_tiempo AS (
-  SELECT fecha, year(fecha) AS anio, month(fecha) AS mes, day(fecha) AS dia,
+  SELECT fecha, CAST(year(fecha) AS INTEGER) AS anio, CAST(month(fecha) AS INTEGER) AS mes,
+         CAST(day(fecha) AS INTEGER) AS dia,
          strftime(fecha, '%Y-%m') AS anio_mes, strftime(fecha, '%B') AS nombre_mes,
-         dayofweek(fecha) + 1 AS dia_semana, strftime(fecha, '%A') AS nombre_dia,
-         quarter(fecha) AS trimestre, {AS_OF_TS} AS creation_date
+         CAST(dayofweek(fecha) + 1 AS INTEGER) AS dia_semana, strftime(fecha, '%A') AS nombre_dia,
+         CAST(quarter(fecha) AS INTEGER) AS trimestre, {AS_OF_TS} AS creation_date
   FROM (SELECT DISTINCT CAST(fecha_venta AS DATE) AS fecha FROM silver_ventas WHERE fecha_venta IS NOT NULL)
 ),
 ventas_f AS (SELECT *, CAST(fecha_venta AS DATE) AS fecha FROM silver_ventas),
