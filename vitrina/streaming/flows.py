@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from vitrina.operators import entities as E
 from vitrina.operators import quality as Q
 from vitrina.operators.audit import change_counts, ingestion_log_row
-from vitrina.sources import files
 from vitrina.streaming.ingest import read_bronze_stream
 from vitrina.streaming.scd_target import Scd1Target
 
@@ -119,4 +118,4 @@ def read_target(spark: SparkSession, target_root: str, entity: str) -> DataFrame
     return Scd1Target(spark, target_root, keys, seq).read()
 
 
-__all__ = ["upsert_stream", "read_target", "CLEANERS", "files"]
+__all__ = ["upsert_stream", "read_target", "CLEANERS", "RULES"]
