@@ -55,34 +55,23 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder named by ``spark.checkpoint.dir``.
+    """Return the shared folder for checkpoints and scratch tables.
 
-    The cluster's setting always wins. Only when it is unset (unit tests,
-    a laptop) do we create a scratch folder of our own.
+    ``spark.checkpoint.dir`` - the cluster's shared folder - always wins.
+    Only when it is unset (unit tests, a laptop) is a scratch folder of our
+    own created; it is handed to ``setCheckpointDir`` (a core setting cannot
+    be changed through the SQL conf at run time).
     """
     sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="vitrina-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return current
+        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="vitrina-ckpt-"))
+    return (configured or sc.getCheckpointDir()).rstrip("/")
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint directory."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    base = base.rstrip("/")
-    return f"{base}/vitrina/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can use the path."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["build_session", "ensure_checkpoint_dir", "work_dir", "local_path", "DEFAULT_CONF"]
+    return f"{ensure_checkpoint_dir(spark)}/vitrina/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def spread(df, *keys: str):
