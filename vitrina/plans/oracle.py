@@ -485,6 +485,7 @@ FINAL["quarantine_reasons"] = f"SELECT id_cliente, {_quarantine_reasons()} AS ra
 FINAL["clientes_cuarentena"] = (
     f"SELECT {', '.join(CLIENTES_COLS)}, {_quarantine_reasons()} AS razones_rechazo, "
     f"{AS_OF_TS} AS fecha_cuarentena, 'PENDIENTE_REVISION' AS estado FROM clientes_flag WHERE NOT ok")
+FINAL["clientes_cuarentena_stream"] = FINAL["clientes_cuarentena"]
 
 
 def _metrics(src: str, rules: list[tuple[str, str, str]]) -> str:
@@ -543,6 +544,7 @@ FINAL["ingest_multi_pattern"] = (
     "CASE _lote WHEN 0 THEN 'ventas' WHEN 1 THEN 'fact_sales' ELSE 'sales' END AS familia FROM ventas_raw")
 FINAL["audit_columns"] = "SELECT id_cliente, _lote, true AS has_src_file, true AS has_created_at FROM clientes_raw"
 FINAL["scd1_ventas_stream"] = "SELECT * FROM silver_ventas"
+FINAL["scd1_clientes_stream"] = "SELECT * FROM silver_clientes"
 
 _V_CLEAN_L = ("SELECT id_venta, id_cliente, id_tienda, id_producto, cantidad, monto, fecha_venta, updated_at, "
               "strftime(fecha_venta, '%Y-%m') AS anio_mes, _lote FROM ventas_t "

@@ -136,6 +136,32 @@ def q_ingestion_log(spark, sf_dir):
         (F.col("file_bytes") > 0).alias("has_file_bytes"))
 
 
+def _clientes_stream(spark, sf_dir):
+    z = Landing(spark, "stream-clientes")
+    target = f"{z.root}/silver/clientes"
+    quarantine = f"{z.root}/silver/clientes_cuarentena"
+    for lotes in ([0], [1]):
+        z.land(sf_dir, "clientes", lotes)
+        z.ingest("clientes")
+        upsert_stream(spark, z.bronze("clientes"), "clientes", target,
+                      f"{z.root}/_checkpoints/silver_clientes", as_of=AS_OF,
+                      quarantine_dir=quarantine, buckets=TEST_BUCKETS)
+    return target, quarantine
+
+
+def q_scd1_clientes_stream(spark, sf_dir):
+    """C2 + Q6 as a stream: valid customers upserted per micro-batch."""
+    target, _ = _clientes_stream(spark, sf_dir)
+    keys, seq = E.SILVER_FLOWS["clientes"]
+    return Scd1Target(spark, target, keys, seq).read()
+
+
+def q_clientes_cuarentena_stream(spark, sf_dir):
+    """Q6/Q7 as a stream: rejected customers appended with reasons."""
+    _, quarantine = _clientes_stream(spark, sf_dir)
+    return spark.read.parquet(quarantine)
+
+
 def q_route_files(spark, sf_dir):
     """S10 + S12: every landed file routed by the mapping table."""
     z = Landing(spark, "route")
@@ -156,4 +182,6 @@ STREAM_QUERIES = {
     "scd1_ventas_stream": q_scd1_ventas_stream,
     "ingestion_log": q_ingestion_log,
     "route_files": q_route_files,
+    "scd1_clientes_stream": q_scd1_clientes_stream,
+    "clientes_cuarentena_stream": q_clientes_cuarentena_stream,
 }
