@@ -545,6 +545,7 @@ FINAL["ingest_multi_pattern"] = (
 FINAL["audit_columns"] = "SELECT id_cliente, _lote, true AS has_src_file, true AS has_created_at FROM clientes_raw"
 FINAL["scd1_ventas_stream"] = "SELECT * FROM silver_ventas"
 FINAL["scd1_clientes_stream"] = "SELECT * FROM silver_clientes"
+FINAL["scd1_devoluciones_stream"] = "SELECT * FROM silver_devoluciones"
 
 _V_CLEAN_L = ("SELECT id_venta, id_cliente, id_tienda, id_producto, cantidad, monto, fecha_venta, updated_at, "
               "strftime(fecha_venta, '%Y-%m') AS anio_mes, _lote FROM ventas_t "

@@ -162,6 +162,21 @@ def q_clientes_cuarentena_stream(spark, sf_dir):
     return spark.read.parquet(quarantine)
 
 
+def q_scd1_devoluciones_stream(spark, sf_dir):
+    """C3 as a stream with late data: the base load lands first, then a
+    round of corrections in which every other row is older than the stored
+    one (it must lose) and the rest are newer (they must win)."""
+    z = Landing(spark, "stream-devoluciones")
+    target = f"{z.root}/silver/devoluciones"
+    for lotes in ([1], [0]):
+        z.land(sf_dir, "devoluciones", lotes)
+        z.ingest("devoluciones")
+        upsert_stream(spark, z.bronze("devoluciones"), "devoluciones", target,
+                      f"{z.root}/_checkpoints/silver_devoluciones", as_of=AS_OF, buckets=TEST_BUCKETS)
+    keys, seq = E.SILVER_FLOWS["devoluciones"]
+    return Scd1Target(spark, target, keys, seq).read()
+
+
 def q_route_files(spark, sf_dir):
     """S10 + S12: every landed file routed by the mapping table."""
     z = Landing(spark, "route")
@@ -184,4 +199,5 @@ STREAM_QUERIES = {
     "route_files": q_route_files,
     "scd1_clientes_stream": q_scd1_clientes_stream,
     "clientes_cuarentena_stream": q_clientes_cuarentena_stream,
+    "scd1_devoluciones_stream": q_scd1_devoluciones_stream,
 }
