@@ -39,6 +39,22 @@ SELECT d.doc_id, coalesce((SELECT count(*) FROM l WHERE l.r = d.r), 0) AS n_line
 FROM d LEFT JOIN kept ON kept.r = d.r
 """
 
+ORACLE_SQL["op4_substring_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, unnest(range(0, len(w) - 34)) AS i, unnest(list_transform(range(0, len(w) - 34), lambda i: array_to_string(w[i + 1:i + 35], ' '))) AS t FROM d WHERE len(w) >= 35),
+h AS (SELECT r, i, md5(t) AS t FROM s),
+twice AS (SELECT t FROM h GROUP BY t HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM h JOIN twice USING (t)),
+g AS (SELECT r, list(p) AS ps, count(*) AS n FROM gone GROUP BY r),
+kept AS (
+  SELECT a.r, string_agg(a.x, ' ' ORDER BY a.p) AS t
+  FROM (SELECT r, unnest(w) AS x, unnest(range(0, len(w))) AS p FROM d) a LEFT JOIN gone ON a.r = gone.r AND a.p = gone.p
+  WHERE gone.r IS NULL GROUP BY a.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN g USING (r) LEFT JOIN kept USING (r)
+"""
+
 ORACLE_SQL["op5_decontaminate"] = r"""
 WITH dw AS (
   SELECT row_number() OVER () AS r, doc_id,
