@@ -83,3 +83,31 @@ def test_constraint_dict(spark):
     rules = Q.constraints_from_dict({"pos": (F.col("x") > 0, "drop"), "nn": ("x IS NOT NULL", "warn")})
     df = spark.createDataFrame([(1,), (0,), (None,)], "x int")
     assert Q.apply_expectations(df, rules).count() == 1
+
+
+def test_fail_rule_is_not_bypassed_by_a_drop_rule(spark):
+    df = spark.createDataFrame([(1,), (None,)], "id long")
+    rules = [Q.expect_or_fail("positive", F.col("id") > 0), Q.expect_or_drop("there", F.col("id").isNotNull())]
+    with pytest.raises(Exception, match="positive"):
+        Q.apply_expectations(df, rules).collect()
+    with pytest.raises(Exception, match="positive"):
+        Q.apply_expectations(df, rules[::-1]).count()
+
+
+def test_not_null_is_checked_for_a_pruned_column(spark):
+    from vitrina.operators.schema import enforce_schema
+    df = spark.createDataFrame([(1, "a"), (None, "b")], "k long, v string")
+    with pytest.raises(Exception, match="NOT NULL column k"):
+        enforce_schema(df, "k BIGINT NOT NULL, v STRING").select("v").collect()
+
+
+def test_rule_names_may_hold_quotes(spark):
+    df = spark.createDataFrame([(1,), (-1,)], "x int")
+    assert [tuple(r) for r in Q.expectation_metrics(df, [Q.expect("it's", F.col("x") > 0)]).collect()] == [("it's", "warn", 1, 1)]
+
+
+def test_common_constraints(spark):
+    df = spark.createDataFrame([(1, 5.0), (2, None), (3, -1.0)], "id long, precio double")
+    assert [r.id for r in Q.apply_expectations(df, Q.common_constraints("id", ["precio"])).collect()] == [1, 2]
+    with pytest.raises(Exception, match="valid_id"):
+        Q.apply_expectations(spark.createDataFrame([(None, 1.0)], "id long, precio double"), Q.common_constraints("id", ["precio"])).collect()

@@ -6,8 +6,11 @@ import os
 import random
 import uuid
 
+import pytest
+
 from vitrina.operators.scd import scd1_latest, scd1_merge
-from vitrina.streaming.scd_target import Scd1Target
+from vitrina.streaming.change_table import ChangeTable
+from vitrina.streaming.flows import flow_id
 
 T = dt.datetime
 SCHEMA = "k long, v string, ts timestamp"
@@ -52,32 +55,75 @@ def test_plan_limits_rows_before_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_stream_two_files_late_row_restart_replay(spark, tmp_path):
-    base = f"file://{tmp_path}"
-    landing, target_root, ckpt = f"{base}/in", f"{base}/target", f"{base}/ckpt"
-    target = Scd1Target(spark, target_root, ["k"], "ts")
-
-    def land(rows, name):
-        d = f"{tmp_path}/stage-{uuid.uuid4().hex}"
-        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.option("header", True).csv(d)
-        os.makedirs(f"{tmp_path}/in", exist_ok=True)
-        os.rename(glob.glob(f"{d}/part-*.csv")[0], f"{tmp_path}/in/{name}.csv")
-
-    def run():
-        src = spark.readStream.schema(SCHEMA).option("header", True).csv(f"{landing}/*.csv")
-        q = (src.writeStream.foreachBatch(lambda df, bid: target.upsert(df, bid))
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-        q.awaitTermination()
-
-    land(FILE1, "f1")
-    run()
-    land(FILE2, "f2")
-    run()
-    assert _set(target.read()) == WANT
-    versions = target.committed_versions()
-    run()  # no new file: nothing changes
-    assert target.committed_versions() == versions
-    # replaying the newest batch id recomputes from the same base
-    last = versions[-1]
-    target.upsert(spark.createDataFrame(FILE2, SCHEMA), last)
-    assert _set(target.read()) == WANT
+class Stream:
+    """CSV files landed one by one and upserted by a stream."""
+
+    def __init__(self, spark, tmp_path):
+        self.spark, self.tmp, self.base = spark, tmp_path, f"file://{tmp_path}"
+        self.target = ChangeTable(spark, f"{self.base}/target", ["k"], "ts")
+
+    def land(self, rows, name):
+        d = f"{self.tmp}/stage-{uuid.uuid4().hex}"
+        self.spark.createDataFrame(rows, SCHEMA).coalesce(1).write.option("header", True).csv(d)
+        os.makedirs(f"{self.tmp}/in", exist_ok=True)
+        os.rename(glob.glob(f"{d}/part-*.csv")[0], f"{self.tmp}/in/{name}.csv")
+
+    def run(self, checkpoint="ckpt", sink=None):
+        sink = sink or (lambda df, bid: self.target.append(df, flow_id(df.sparkSession), bid))
+        src = self.spark.readStream.schema(SCHEMA).option("header", True).csv(f"{self.base}/in/*.csv")
+        src.writeStream.foreachBatch(sink).option("checkpointLocation", f"{self.base}/{checkpoint}").trigger(availableNow=True).start().awaitTermination()
+
+    def batches(self):
+        return sorted((r.flow, r.batch_id) for r in self.target.changes().select("flow", "batch_id").distinct().collect())
+
+
+def test_stream_late_row_restart_new_checkpoint_compaction(spark, tmp_path):
+    s = Stream(spark, tmp_path)
+    s.land(FILE1, "f1")
+    s.run()
+    s.land(FILE2, "f2")
+    s.run()
+    assert _set(s.target.read()) == WANT
+    before = s.batches()
+    assert [b for _, b in before] == [0, 1] and len({f for f, _ in before}) == 1 and before[0][0] != "batch"
+    s.run()  # no new file: nothing changes
+    assert s.batches() == before
+    # a new checkpoint starts at batch 0 again and writes beside the old flow
+    s.run("other")
+    assert _set(s.target.read()) == WANT and set(before) < set(s.batches())
+    s.target.compact()
+    assert len(s.batches()) == 1 and _set(s.target.read()) == WANT
+    s.land([(2, "B3", T(2024, 3, 1))], "f3")
+    s.run()
+    assert _set(s.target.read()) == {r for r in WANT if r[0] != 2} | {(2, "B3", T(2024, 3, 1))}
+
+
+def test_retried_batch_writes_once_and_counts(spark, tmp_path):
+    s, tries = Stream(spark, tmp_path), []
+
+    def sink(df, bid):
+        s.target.append(df, flow_id(df.sparkSession), bid)
+        tries.append(bid)
+        if len(tries) == 1:
+            raise RuntimeError("lost after the write")
+
+    s.land(FILE1, "f1")
+    with pytest.raises(Exception, match="lost after the write"):
+        s.run(sink=sink)
+    s.run(sink=sink)
+    assert tries == [0, 0] and s.target.changes().count() == 2
+    s.land(FILE2, "f2")
+    s.run(sink=sink)
+    (flow, _), *_ = s.batches()
+    assert tuple(s.target.counts(flow, 1).first()) == (1, 1, 0)  # key 3 new, key 2 changed, key 1 late
+
+
+def test_a_batch_writes_only_its_rows(spark, tmp_path):
+    s = Stream(spark, tmp_path)
+    s.land(FILE1, "f1")
+    s.run()
+    files_before = {f: os.path.getmtime(f) for f in glob.glob(f"{tmp_path}/target/flow=*/batch_id=0/*.parquet")}
+    s.land(FILE2, "f2")
+    s.run()
+    assert {f: os.path.getmtime(f) for f in glob.glob(f"{tmp_path}/target/flow=*/batch_id=0/*.parquet")} == files_before
+    assert s.target.changes().where("batch_id = 1").count() == len(FILE2)

@@ -47,6 +47,22 @@ def dim_producto(silver_productos: DataFrame, as_of=None, source_is_current: boo
     return _dim("producto", silver_productos, as_of, source_is_current)
 
 
+def dim_flow(kind: str, loads: Sequence[DataFrame], as_of=None) -> DataFrame:
+    """The dimension after several loads of its silver table, each
+    upserted by key: rows of earlier loads stay unless a later one replaces
+    them. For ``tiempo`` a load is the sales, the key the date."""
+    if kind == "tiempo":
+        rows = [dim_tiempo(x, as_of) for x in loads]
+        keys, seq = ("fecha",), "creation_date"
+    else:
+        cols, keys, seq = DIM_SPECS[kind]
+        rows = [enrich(x, cols, as_of) for x in loads]
+    out = rows[0]
+    for x in rows[1:]:
+        out = out.unionByName(x)
+    return scd1_latest(out, keys, seq)
+
+
 def dim_tiempo(silver_ventas: DataFrame, as_of=None) -> DataFrame:
     """U4 + D8-D10: one row per sale date, calendar parts derived after the
     dedupe. The distinct is a partial hash aggregate, so each task ships at

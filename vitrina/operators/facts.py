@@ -26,6 +26,10 @@ REJECT_CHECKS = (
     ("tiempo", "fecha"),
 )
 
+# Dimensions from the one that is usually smallest.
+SMALL_FIRST = ("tiempo", "tienda", "producto", "cliente")
+
+# Fixed values that must equal the reference's: the fact's columns.
 FACT_COLUMNS = ("id_cliente", "id_tienda", "id_producto", "fecha", "id_venta",
                 "cantidad", "monto", "fecha_venta", "anio_mes")
 
@@ -47,7 +51,8 @@ def fact_ventas(ventas: DataFrame, dims: Mapping[str, DataFrame], as_of=None) ->
     dimension frames.
     """
     v = with_fecha(ventas)
-    for name, key in REJECT_CHECKS:
+    # semi joins commute: the small dimensions thin the sales before the large ones
+    for name, key in sorted(REJECT_CHECKS, key=lambda c: SMALL_FIRST.index(c[0])):
         v = semi_join_check(v, dims[name], key)
     return v.select(*FACT_COLUMNS, as_of_timestamp(as_of).alias("creation_date"))
 

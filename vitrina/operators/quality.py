@@ -79,8 +79,9 @@ def apply_expectations(df: DataFrame, rules: Iterable[Expectation],
     cleaned columns are computed once per row and not re-inlined into
     every predicate that reads them.
 
-    Fail rules run first, on the unfiltered input: a failing row raises
-    through ``raise_error`` inside the filter.
+    Fail and drop rules are one expression in one filter: it raises for a row
+    that fails a fail rule before it looks at the drop rules, so the optimizer
+    cannot test a drop rule first.
     """
     rules = list(rules)
     if not rules:
@@ -91,35 +92,31 @@ def apply_expectations(df: DataFrame, rules: Iterable[Expectation],
         df = df.observe(observation, *_observe_exprs(rules))
     fails = [r for r in rules if r.action == "fail"]
     drops = [r for r in rules if r.action == "drop"]
-    for r in fails:
-        msg = f"expectation '{r.name}' failed"
-        df = df.filter(F.when(r.passed(), F.lit(True)).otherwise(F.raise_error(F.lit(msg))))
-    if drops:
-        keep = drops[0].passed()
-        for r in drops[1:]:
-            keep = keep & r.passed()
-        df = df.filter(keep)
-    return df
+    keep = F.lit(True)
+    for r in drops:
+        keep = keep & r.passed()
+    for r in reversed(fails):
+        keep = F.when(r.passed(), keep).otherwise(F.raise_error(F.lit(f"expectation '{r.name}' failed")).cast("boolean"))
+    return df.filter(keep) if fails or drops else df
 
 
 def expectation_metrics(df: DataFrame, rules: Iterable[Expectation]) -> DataFrame:
     """One row per rule (rule, action, passed_records, failed_records).
 
     One pass over ``df``: a single global aggregate (partial on every task,
-    one tiny final merge), then ``stack`` to rows.
+    one tiny final merge), then one row per rule.
     """
     rules = list(rules)
     aggs = [F.count(F.lit(1)).alias("total")]
     aggs += [F.count_if(~r.passed()).alias(f"f{i}") for i, r in enumerate(rules)]
     counts = df.agg(*aggs)
-    stack_args = ", ".join(
-        f"'{r.name}', '{r.action}', f{i}" for i, r in enumerate(rules)
-    )
-    out = counts.selectExpr("total", f"stack({len(rules)}, {stack_args}) AS (rule, action, failed_records)")
-    return out.select(
-        "rule", "action",
-        (F.col("total") - F.col("failed_records")).alias("passed_records"),
-        F.col("failed_records").cast("long").alias("failed_records"),
+    per_rule = F.array(*[
+        F.struct(F.lit(r.name).alias("rule"), F.lit(r.action).alias("action"), F.col(f"f{i}").alias("failed"))
+        for i, r in enumerate(rules)])
+    return counts.select("total", F.explode(per_rule).alias("m")).select(
+        "m.rule", "m.action",
+        (F.col("total") - F.col("m.failed")).alias("passed_records"),
+        F.col("m.failed").cast("long").alias("failed_records"),
     )
 
 
@@ -231,3 +228,12 @@ def ventas_constraints() -> list[Expectation]:
         expect_or_drop("valid_cantidad", F.col("cantidad") > 0),
         expect_or_drop("valid_monto", F.col("monto") >= 0),
     ]
+
+
+def common_constraints(id_column: str, number_columns: Sequence[str]) -> list[Expectation]:
+    """The rules every table shares: an id is there, no number is negative
+    (a missing number is not)."""
+    return [
+        expect_or_fail("valid_id", F.col(id_column).isNotNull()),
+        *[expect_or_drop(f"no_negative_{c}", F.col(c).isNull() | (F.col(c) >= 0)) for c in number_columns],
+    ]

@@ -18,11 +18,12 @@ def enforce_schema(df: DataFrame, ddl: str | StructType, check_not_null: bool =
     Columns are selected in target order and converted with ``try_cast``
     (a bad value becomes NULL instead of aborting the job); missing
     nullable columns become typed NULLs; extra columns are dropped. A NULL
-    in a NOT NULL column raises, checked inside the same projection.
+    in a NOT NULL column raises; the check is a filter, so it runs whatever
+    columns are read afterwards.
     """
     schema = parse_ddl(ddl) if isinstance(ddl, str) else ddl
     have = set(df.columns)
-    cols = []
+    cols, whole = [], F.lit(True)
     for field in schema.fields:
         if field.name in have:
             c = F.col(field.name).try_cast(field.dataType)
@@ -32,9 +33,10 @@ def enforce_schema(df: DataFrame, ddl: str | StructType, check_not_null: bool =
             raise ValueError(f"NOT NULL column {field.name!r} is missing from the input")
         if check_not_null and not field.nullable:
             msg = f"NULL in NOT NULL column {field.name}"
-            c = F.when(c.isNotNull(), c).otherwise(F.raise_error(F.lit(msg)).cast(field.dataType))
+            whole = F.when(c.isNotNull(), whole).otherwise(F.raise_error(F.lit(msg)).cast("boolean"))
         cols.append(c.alias(field.name))
-    return df.select(*cols)
+    checked = df.filter(whole) if check_not_null and any(not f.nullable for f in schema.fields) else df
+    return checked.select(*cols)
 
 
 def align_to_target(df: DataFrame, target_columns: list[str]) -> DataFrame:

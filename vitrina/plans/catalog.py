@@ -24,7 +24,7 @@ from vitrina.operators import quality as Q
 from vitrina.operators.schema import align_to_target, enforce_schema
 from vitrina.operators.scd import scd1_latest
 from vitrina.plans import testfeeds as TF
-from vitrina.session import ensure_checkpoint_dir
+from vitrina.session import work_dir
 
 AS_OF = TF.AS_OF
 
@@ -32,7 +32,8 @@ AS_OF = TF.AS_OF
 class Medallion:
     """Lazily built bronze -> silver -> gold plans over one testdata folder.
 
-    Nothing here runs a job; every property is a DataFrame plan.
+    Every property is a DataFrame plan and runs no job, but for
+    ``silver_ventas_shared``, which writes the silver sales.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of=AS_OF):
@@ -78,16 +79,12 @@ class Medallion:
 
     @cached_property
     def silver_ventas_shared(self) -> DataFrame:
-        """The silver sales snapshot, materialised once.
-
-        Gold reads the sales twice (the date dimension is derived from
-        them, then the fact checks against it). A job writes the silver
-        table once and reads it back; here a reliable checkpoint into
-        ``spark.checkpoint.dir`` plays that part, so the second reader does
-        not recompute feed, cleaning and SCD-1 again.
-        """
-        ensure_checkpoint_dir(self.spark)
-        return self.silver_ventas.checkpoint(eager=True)
+        """The silver sales, written once as Parquet in the shared folder and
+        read back: the fact and reject plans read them several times, each time
+        only the columns they need, and the planner knows their size."""
+        path = f"{work_dir(self.spark, 'silver-ventas')}/ventas"
+        self.silver_ventas.write.parquet(path)
+        return self.spark.read.schema(self.silver_ventas.schema).parquet(path)
 
     @cached_property
     def silver_clientes(self) -> DataFrame:
@@ -105,15 +102,26 @@ class Medallion:
     def silver_tiendas(self) -> DataFrame:
         return self._scd("tiendas", self.tiendas_clean)
 
+    def first_load(self, entity: str) -> DataFrame:
+        """The silver table after the first landing batch alone."""
+        raw = self.raw(entity).where("_lote = 0")
+        clean = {"ventas": lambda: E.clean_ventas(raw, self.as_of),
+                 "clientes": lambda: Q.clientes_validos(E.clean_clientes(raw, self.as_of), self.as_of),
+                 "productos": lambda: E.clean_productos(raw), "tiendas": lambda: E.clean_tiendas(raw)}
+        return self._scd(entity, clean[entity]())
+
     # gold
+    def dim(self, name: str) -> DataFrame:
+        """One dimension from the current silver table."""
+        if name == "tiempo":
+            return D.dim_tiempo(self.silver_ventas_shared, self.as_of)
+        return {"cliente": lambda: D.dim_cliente(self.silver_clientes, self.as_of),
+                "tienda": lambda: D.dim_tienda(self.silver_tiendas, self.as_of),
+                "producto": lambda: D.dim_producto(self.silver_productos, self.as_of)}[name]()
+
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
-        return {
-            "cliente": D.dim_cliente(self.silver_clientes, self.as_of),
-            "tienda": D.dim_tienda(self.silver_tiendas, self.as_of),
-            "producto": D.dim_producto(self.silver_productos, self.as_of),
-            "tiempo": D.dim_tiempo(self.silver_ventas_shared, self.as_of),
-        }
+        return {name: self.dim(name) for name, _ in FX.REJECT_CHECKS}
 
 
 def _m(spark, sf_dir) -> Medallion:
@@ -274,6 +282,19 @@ def q_constraint_set_ventas(spark, sf_dir):
     return Q.apply_expectations(_m(spark, sf_dir).ventas_clean, Q.ventas_constraints())
 
 
+def q_constraint_set_clientes(spark, sf_dir):
+    """Q4, customers: the fail rule holds for the rows with an id."""
+    with_id = _m(spark, sf_dir).clientes_clean.where("id_cliente is not null")
+    return Q.apply_expectations(with_id, Q.clientes_constraints())
+
+
+def q_constraint_set_comun(spark, sf_dir):
+    """Q4, the set all tables share, on the products' raw prices."""
+    r = _m(spark, sf_dir).raw("productos").where("id_producto is not null").select(
+        F.col("id_producto").try_cast("long").alias("id_producto"), F.col("precio").try_cast("double").alias("precio"))
+    return Q.apply_expectations(r, Q.common_constraints("id_producto", ["precio"]))
+
+
 # --- SCD-1, dimensions, facts --------------------------------------------------------
 
 def q_scd1_ventas(spark, sf_dir):
@@ -297,24 +318,27 @@ def q_scd1_tiendas(spark, sf_dir):
 
 
 def q_dim_cliente(spark, sf_dir):
-    return _m(spark, sf_dir).dims["cliente"]
+    m = _m(spark, sf_dir)
+    return D.dim_flow("cliente", [m.first_load("clientes"), m.silver_clientes], AS_OF)
 
 
 def q_dim_tienda(spark, sf_dir):
-    return _m(spark, sf_dir).dims["tienda"]
+    m = _m(spark, sf_dir)
+    return D.dim_flow("tienda", [m.first_load("tiendas"), m.silver_tiendas], AS_OF)
 
 
 def q_dim_producto(spark, sf_dir):
-    return _m(spark, sf_dir).dims["producto"]
+    m = _m(spark, sf_dir)
+    return D.dim_flow("producto", [m.first_load("productos"), m.silver_productos], AS_OF)
 
 
 def q_dim_tiempo(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return D.dim_tiempo(m.silver_ventas, AS_OF)
+    return D.dim_flow("tiempo", [m.first_load("ventas"), m.silver_ventas], AS_OF)
 
 
 def q_distinct_keys(spark, sf_dir):
-    return D.distinct_keys(_m(spark, sf_dir).dims["tienda"], "id_tienda")
+    return D.distinct_keys(_m(spark, sf_dir).dim("tienda"), "id_tienda")
 
 
 def q_fact_ventas(spark, sf_dir):
@@ -324,13 +348,13 @@ def q_fact_ventas(spark, sf_dir):
 
 def q_fact_join_expr(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return FX.fact_join_expr(m.silver_ventas_shared, m.dims["tiempo"])
+    return FX.fact_join_expr(m.silver_ventas_shared, m.dim("tiempo"))
 
 
 def _reject_query(reason: str, key: str):
     def q(spark, sf_dir):
         m = _m(spark, sf_dir)
-        return FX.reject_by(m.silver_ventas_shared, m.dims[reason], key, reason, AS_OF)
+        return FX.reject_by(m.silver_ventas_shared, m.dim(reason), key, reason, AS_OF)
     q.__name__ = f"q_reject_{reason}"
     return q
 
@@ -397,6 +421,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expect_drop_productos": q_expect_drop_productos,
     "expectation_metrics": q_expectation_metrics,
     "constraint_set_ventas": q_constraint_set_ventas,
+    "constraint_set_clientes": q_constraint_set_clientes,
+    "constraint_set_comun": q_constraint_set_comun,
     "scd1_ventas": q_scd1_ventas,
     "scd1_clientes": q_scd1_clientes,
     "scd1_devoluciones": q_scd1_devoluciones,

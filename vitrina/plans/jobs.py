@@ -7,25 +7,31 @@ pipeline task does, as ordinary Spark jobs:
    (file stream, ``availableNow``, exactly-once parquet sink);
 2. silver: each bronze table is read incrementally; every micro-batch is
    cleaned, checked (metrics to ``auditoria/expectation_metrics``),
-   upserted into the versioned SCD-1 target ``silver/<entity>`` and logged
+   added to the change table ``silver/<entity>`` and logged
    to ``auditoria/ingestion_log``; rejected customers are appended to
    ``silver/clientes_cuarentena``;
-3. gold: dimensions are rebuilt from the current silver snapshots, and
-   the fact table and rejected-sales audit come from one tagged pass over
-   the sales.
-
-Every step restarts from its checkpoint or its committed snapshot, so a
-failed run can simply be run again.
+3. gold: each dimension is a keyed change table that every run appends the
+   current silver rows to, so dates and members that silver no longer has
+   stay; the fact table (by month) and the rejected-sales audit come from
+   the silver sales, which the run writes once.
+
+A run writes gold into a folder of its own, ``gold/run=<id>``, and publishes it
+by a marker when all tables are there; readers take the newest published run.
+Every step restarts from its checkpoint, so a failed run can simply be run
+again.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
 from vitrina.operators import dims as D
 from vitrina.operators import entities as E
 from vitrina.operators import facts as FX
+from vitrina.sources import files
+from vitrina.streaming.change_table import ChangeTable
 from vitrina.streaming.flows import read_target, upsert_stream
 from vitrina.streaming.ingest import ingest_to_bronze
 
@@ -43,20 +49,17 @@ def _paths(out_dir: str) -> dict[str, str]:
     }
 
 
-# Bound each micro-batch: a backlog of landed files is worked off in
-# several batches of at most this many files, not one unbounded batch.
-MAX_FILES_PER_TRIGGER = 1000
-
-
 def run_bronze(spark: SparkSession, landing_dir: str, out_dir: str,
-               max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> dict:
+               max_files_per_trigger: int | None = None) -> dict:
     p = _paths(out_dir)
     return {feed: ingest_to_bronze(spark, landing_dir, feed, f"{p['bronze']}/{feed}_raw",
                                    f"{p['ckpt']}/bronze_{feed}", max_files_per_trigger)
             for feed in FEEDS}
 
 
-def run_silver(spark: SparkSession, out_dir: str, as_of=None, buckets: int = 256) -> dict:
+def run_silver(spark: SparkSession, out_dir: str, as_of=None, max_files_per_trigger: int | None = None) -> dict:
+    """``max_files_per_trigger`` bounds a micro-batch: a backlog is then worked
+    off in several batches."""
     p = _paths(out_dir)
     done = {}
     for entity in FEEDS:
@@ -66,7 +69,7 @@ def run_silver(spark: SparkSession, out_dir: str, as_of=None, buckets: int = 256
             log_dir=f"{p['audit']}/ingestion_log",
             metrics_dir=f"{p['audit']}/expectation_metrics",
             quarantine_dir=f"{p['silver']}/clientes_cuarentena" if entity == "clientes" else None,
-            buckets=buckets)
+            max_files_per_trigger=max_files_per_trigger)
     return done
 
 
@@ -75,38 +78,52 @@ def silver_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     return {e: read_target(spark, f"{p['silver']}/{e}", e) for e in FEEDS}
 
 
+def _dim_keys(name: str) -> tuple[tuple[str, ...], str]:
+    return (("fecha",), "creation_date") if name == "tiempo" else D.DIM_SPECS[name][1:]
+
+
+def published_gold(spark: SparkSession, out_dir: str) -> dict[str, str]:
+    """The folders of the newest published run's tables."""
+    gold = _paths(out_dir)["gold"]
+    runs = files.list_names(spark, f"{gold}/_published")
+    if not runs:
+        return {}
+    tables = [*[f"dim_{name}" for name, _ in FX.REJECT_CHECKS], "fact_ventas", "fact_ventas_rechazadas"]
+    return {t: f"{gold}/run={runs[-1]}/{t}" for t in tables}
+
+
 def run_gold(spark: SparkSession, out_dir: str, as_of=None) -> dict[str, str]:
     p = _paths(out_dir)
+    now = dt.datetime.now(dt.timezone.utc)
+    run_id = now.strftime("%Y%m%dT%H%M%S%f")
+    base = f"{p['gold']}/run={run_id}"
     s = silver_tables(spark, out_dir)
-    dims = {
+    # read by the date dimension, the fact and the rejects
+    s["ventas"].write.parquet(f"{base}/_silver_ventas")
+    ventas = spark.read.schema(s["ventas"].schema).parquet(f"{base}/_silver_ventas")
+    rows = {
         "cliente": D.dim_cliente(s["clientes"], as_of),
         "tienda": D.dim_tienda(s["tiendas"], as_of),
         "producto": D.dim_producto(s["productos"], as_of),
-        "tiempo": D.dim_tiempo(s["ventas"], as_of),
+        "tiempo": D.dim_tiempo(ventas, as_of),
     }
-    written = {}
-    for name, df in dims.items():
-        path = f"{p['gold']}/dim_{name}"
-        df.write.mode("overwrite").parquet(path)
-        written[f"dim_{name}"] = path
-    # read the dimensions back: the fact checks against what was published
-    published = {n: spark.read.parquet(written[f"dim_{n}"]) for n in dims}
+    dims = {}
+    for name, df in rows.items():
+        flow = ChangeTable(spark, f"{p['gold']}/_flows/dim_{name}", *_dim_keys(name))
+        flow.append(df, f"gold-{run_id}", 0)
+        flow.read().write.parquet(f"{base}/dim_{name}")
+        # the fact checks against what is published
+        dims[name] = spark.read.parquet(f"{base}/dim_{name}")
     keys, _ = E.SILVER_FLOWS["ventas"]
-    tagged = FX.tag_sales(s["ventas"], published).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        FX.fact_from_tagged(tagged, as_of).write.mode("overwrite").parquet(f"{p['gold']}/fact_ventas")
-        FX.rejects_from_tagged(tagged, as_of, unique_on=keys).write.mode("overwrite") \
-            .parquet(f"{p['gold']}/fact_ventas_rechazadas")
-    finally:
-        tagged.unpersist()
-    written["fact_ventas"] = f"{p['gold']}/fact_ventas"
-    written["fact_ventas_rechazadas"] = f"{p['gold']}/fact_ventas_rechazadas"
-    return written
-
-
-def run(spark: SparkSession, landing_dir: str, out_dir: str, as_of=None, buckets: int = 256) -> dict:
+    FX.fact_ventas(ventas, dims, as_of).write.partitionBy("anio_mes").parquet(f"{base}/fact_ventas")
+    FX.rejects_single_pass(ventas, dims, as_of, unique_on=keys).write.parquet(f"{base}/fact_ventas_rechazadas")
+    files.mkdirs(spark, f"{p['gold']}/_published/{run_id}")
+    return published_gold(spark, out_dir)
+
+
+def run(spark: SparkSession, landing_dir: str, out_dir: str, as_of=None, max_files_per_trigger: int | None = None) -> dict:
     """One scheduled run over whatever has landed since the last one."""
-    bronze = run_bronze(spark, landing_dir, out_dir)
-    silver = run_silver(spark, out_dir, as_of, buckets)
+    bronze = run_bronze(spark, landing_dir, out_dir, max_files_per_trigger)
+    silver = run_silver(spark, out_dir, as_of, max_files_per_trigger)
     gold = run_gold(spark, out_dir, as_of)
     return {"bronze": bronze, "silver": silver, "gold": gold}

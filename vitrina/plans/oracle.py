@@ -9,7 +9,7 @@ supplier region part events`` are registered by the caller.
 
 from __future__ import annotations
 
-from vitrina.plans.testfeeds import AS_OF, LOAD_1, LOAD_2, SHIFT_DAYS, WORDS
+from vitrina.plans.testfeeds import AS_OF, LOAD_1, LOAD_2, NO_DIMENSION, SHIFT_DAYS, WORDS
 
 AS_OF_TS = f"TIMESTAMP '{AS_OF}'"
 AS_OF_DATE = f"DATE '{AS_OF[:10]}'"
@@ -30,11 +30,15 @@ def _words_case(x: str) -> str:
     return f"CASE lower(trim({x})) {whens} END"
 
 
+def _id(x: str) -> str:
+    return f"CASE WHEN {x} % 10 = 0 THEN {x} + {NO_DIMENSION} ELSE {x} END"
+
+
 # --- raw feeds -----------------------------------------------------------------
 
 VENTAS_RAW = f"""
 ventas_src AS (
-  SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, o.o_custkey,
+  SELECT l.l_orderkey, {_id('l.l_partkey')} AS l_partkey, {_id('l.l_suppkey')} AS l_suppkey, {_id('o.o_custkey')} AS o_custkey,
          CAST(l.l_quantity AS INTEGER) AS q,
          CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS m,
          l.l_orderkey * 8 + l.l_linenumber AS k,
@@ -89,7 +93,6 @@ CLIENTES_RAW = """
 clientes_base AS (
   SELECT c.c_custkey, c.c_name, n.n_name
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-  WHERE c.c_custkey % 10 <> 0
 ),
 clientes_src AS (
   SELECT *, 1 AS v FROM clientes_base
@@ -168,7 +171,7 @@ devoluciones_raw AS (
 PRODUCTOS_RAW = f"""
 prod_base AS (
   SELECT p_partkey, p_name, p_type, CAST(p_retailprice AS DECIMAL(18,2)) AS pr
-  FROM part WHERE p_partkey % 10 <> 0
+  FROM part
 ),
 prod_src AS (
   SELECT p_partkey, p_name, p_type, pr, 1 AS v, TIMESTAMP '{LOAD_1}' AS _created_at FROM prod_base
@@ -198,7 +201,6 @@ tienda_base AS (
   SELECT s.s_suppkey, s.s_name, n.n_name, r.r_name
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
                   JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE s.s_suppkey % 10 <> 0
 ),
 tienda_src AS (
   SELECT s_suppkey, s_name, n_name, r_name, 1 AS v, TIMESTAMP '{LOAD_1}' AS _created_at FROM tienda_base
@@ -528,6 +530,11 @@ FINAL["expectation_metrics"] = " UNION ALL ".join(
 FINAL["constraint_set_ventas"] = ("SELECT * FROM ventas_clean WHERE coalesce(cantidad > 0, false) "
                                   "AND coalesce(monto >= 0, false)")
 
+FINAL["constraint_set_clientes"] = f"SELECT * FROM clientes_t WHERE id_cliente IS NOT NULL AND coalesce(regexp_matches(email, '{EMAIL_RE}'), false)"
+FINAL["constraint_set_comun"] = (
+    f"SELECT * FROM (SELECT {_long('id_producto')} AS id_producto, try_cast(trim(precio) AS DOUBLE) AS precio "
+    "FROM productos_raw WHERE id_producto IS NOT NULL) WHERE precio IS NULL OR precio >= 0")
+
 
 # A CSV field holding empty text reads back as NULL (Spark's CSV source,
 # default options, like the reference's reader), hence the nullif.
@@ -546,6 +553,9 @@ FINAL["audit_columns"] = "SELECT id_cliente, _lote, true AS has_src_file, true A
 FINAL["scd1_ventas_stream"] = "SELECT * FROM silver_ventas"
 FINAL["scd1_clientes_stream"] = "SELECT * FROM silver_clientes"
 FINAL["scd1_devoluciones_stream"] = "SELECT * FROM silver_devoluciones"
+# the stream's sequence is the load time; the second load is the later one here too
+FINAL["scd1_productos_stream"] = "SELECT id_producto, nombre, categoria, precio FROM silver_productos"
+FINAL["scd1_tiendas_stream"] = "SELECT id_tienda, nombre, ciudad, region FROM silver_tiendas"
 
 _V_CLEAN_L = ("SELECT id_venta, id_cliente, id_tienda, id_producto, cantidad, monto, fecha_venta, updated_at, "
               "strftime(fecha_venta, '%Y-%m') AS anio_mes, _lote FROM ventas_t "

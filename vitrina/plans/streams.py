@@ -17,13 +17,11 @@ from vitrina.plans.testfeeds import AS_OF, raw_feed
 from vitrina.session import work_dir
 from vitrina.sources.feeds import FEED_SCHEMAS
 from vitrina.sources.routing import file_mapping, list_files, route_files
-from vitrina.streaming.flows import upsert_stream
+from vitrina.streaming.change_table import read_batches
+from vitrina.streaming.flows import read_target, upsert_stream
 from vitrina.streaming.ingest import ingest_to_bronze, read_bronze
-from vitrina.streaming.scd_target import Scd1Target
 
 VENTAS_FAMILIES = {0: "ventas", 1: "fact_sales", 2: "sales"}
-# SCD-1 target buckets for test-scale folders (jobs default to 256).
-TEST_BUCKETS = 16
 
 
 def feed_columns(feed: str) -> list[str]:
@@ -115,8 +113,7 @@ def _ventas_stream(spark, sf_dir):
         z.land(sf_dir, "ventas", lotes)
         z.ingest("ventas")
         upsert_stream(spark, z.bronze("ventas"), "ventas", target,
-                      f"{z.root}/_checkpoints/silver_ventas", as_of=AS_OF, log_dir=log,
-                      buckets=TEST_BUCKETS)
+                      f"{z.root}/_checkpoints/silver_ventas", as_of=AS_OF, log_dir=log)
     return z, target, log
 
 
@@ -124,8 +121,7 @@ def q_scd1_ventas_stream(spark, sf_dir):
     """C1 as a stream: two landing rounds through bronze into a versioned
     SCD-1 target; equals the batch result."""
     _, target, _ = _ventas_stream(spark, sf_dir)
-    keys, seq = E.SILVER_FLOWS["ventas"]
-    return Scd1Target(spark, target, keys, seq).read()
+    return read_target(spark, target, "ventas")
 
 
 def q_ingestion_log(spark, sf_dir):
@@ -145,36 +141,48 @@ def _clientes_stream(spark, sf_dir):
         z.ingest("clientes")
         upsert_stream(spark, z.bronze("clientes"), "clientes", target,
                       f"{z.root}/_checkpoints/silver_clientes", as_of=AS_OF,
-                      quarantine_dir=quarantine, buckets=TEST_BUCKETS)
+                      quarantine_dir=quarantine)
     return target, quarantine
 
 
 def q_scd1_clientes_stream(spark, sf_dir):
     """C2 + Q6 as a stream: valid customers upserted per micro-batch."""
     target, _ = _clientes_stream(spark, sf_dir)
-    keys, seq = E.SILVER_FLOWS["clientes"]
-    return Scd1Target(spark, target, keys, seq).read()
+    return read_target(spark, target, "clientes")
 
 
 def q_clientes_cuarentena_stream(spark, sf_dir):
     """Q6/Q7 as a stream: rejected customers appended with reasons."""
     _, quarantine = _clientes_stream(spark, sf_dir)
-    return spark.read.parquet(quarantine)
+    return read_batches(spark, quarantine)
+
+
+def _rounds_stream(spark, sf_dir, entity, rounds) -> DataFrame:
+    z = Landing(spark, f"stream-{entity}")
+    target = f"{z.root}/silver/{entity}"
+    for lotes in rounds:
+        z.land(sf_dir, entity, lotes)
+        z.ingest(entity)
+        upsert_stream(spark, z.bronze(entity), entity, target, f"{z.root}/_checkpoints/silver_{entity}", as_of=AS_OF)
+    return read_target(spark, target, entity)
 
 
 def q_scd1_devoluciones_stream(spark, sf_dir):
     """C3 as a stream with late data: the base load lands first, then a
     round of corrections in which every other row is older than the stored
     one (it must lose) and the rest are newer (they must win)."""
-    z = Landing(spark, "stream-devoluciones")
-    target = f"{z.root}/silver/devoluciones"
-    for lotes in ([1], [0]):
-        z.land(sf_dir, "devoluciones", lotes)
-        z.ingest("devoluciones")
-        upsert_stream(spark, z.bronze("devoluciones"), "devoluciones", target,
-                      f"{z.root}/_checkpoints/silver_devoluciones", as_of=AS_OF, buckets=TEST_BUCKETS)
-    keys, seq = E.SILVER_FLOWS["devoluciones"]
-    return Scd1Target(spark, target, keys, seq).read()
+    return _rounds_stream(spark, sf_dir, "devoluciones", ([1], [0]))
+
+
+def q_scd1_productos_stream(spark, sf_dir):
+    """C4 as a stream: the second load replaces rows of the first, by load
+    time (the sequence column; it is the clock here, so it is left out)."""
+    return _rounds_stream(spark, sf_dir, "productos", ([0], [1])).drop("_created_at")
+
+
+def q_scd1_tiendas_stream(spark, sf_dir):
+    """C5 as a stream, like C4."""
+    return _rounds_stream(spark, sf_dir, "tiendas", ([0], [1])).drop("_created_at")
 
 
 def q_route_files(spark, sf_dir):
@@ -200,4 +208,6 @@ STREAM_QUERIES = {
     "scd1_clientes_stream": q_scd1_clientes_stream,
     "clientes_cuarentena_stream": q_clientes_cuarentena_stream,
     "scd1_devoluciones_stream": q_scd1_devoluciones_stream,
+    "scd1_productos_stream": q_scd1_productos_stream,
+    "scd1_tiendas_stream": q_scd1_tiendas_stream,
 }

@@ -8,7 +8,8 @@ on each row's own key, so the same rows come out on every run, and the
 DuckDB oracle (``vitrina.plans.oracle``) builds byte-identical feeds.
 
 Every feed is a projection of whole tables (plus the dimension joins of
-the star schema), so its size grows with the input.
+the star schema), so its size grows with the input. No row is left out:
+foreign-key holes are sales whose id belongs to no dimension.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrina.functions.numeric import SPELLED_NUMBERS
-from vitrina.session import spread
 
 # Fixed evaluation instant for every compared query (replaces the clock).
 AS_OF = "2024-01-20 12:00:00"
@@ -26,42 +26,26 @@ LOAD_1 = "2024-01-01 00:00:00"
 LOAD_2 = "2024-01-02 00:00:00"
 # Sales dates are shifted so most fall inside the [2000-01-01, as_of] range.
 SHIFT_DAYS = 3652
+# Added to the sales' foreign keys that are to miss their dimension.
+NO_DIMENSION = 9_000_000_000_000
 WORDS = list(SPELLED_NUMBERS)  # cero .. diez, value i at position i
 
 
-# Key columns used to spread an under-partitioned table over all cores
-# (tables whose rows then get per-row parsing work; orders only feeds the
-# build side of the sales join, so spreading it would buy nothing).
-_SPREAD_KEYS = {
-    "lineitem": ("l_orderkey", "l_linenumber"),
-    "customer": ("c_custkey",),
-    "part": ("p_partkey",),
-    "events": ("event_id",),
-}
-
-
-_SOURCES: dict[tuple[int, str], DataFrame] = {}
-
-
 # Every raw feed carries ``_lote``: the landing batch a row's file belongs
 # to when the feed is written out as CSV files (sales: 0..2, others 0..1;
 # the dimension feeds' second load is their second batch).
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The (spread) scan of one testdata table.
+    """The scan of one testdata table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
 
-    Handles are kept per session and path: a DataFrame is only a plan, and
-    re-reading a parquet footer or re-planning the spread for every query
-    is pure driver overhead.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _SOURCES:
-        df = spark.read.parquet(path)
-        keys = _SPREAD_KEYS.get(name)
-        _SOURCES[key] = spread(df, *keys) if keys else df
-    return _SOURCES[key]
+def _id(c: str) -> Column:
+    """A foreign key of the sales as text: one in ten keys is moved to an id
+    that no dimension has."""
+    key = F.col(c)
+    return F.when(key % 10 == 0, key + NO_DIMENSION).otherwise(key).cast("string")
 
 
 def _s(c) -> Column:
@@ -101,10 +85,10 @@ def ventas_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     ymd_hms = _fmt(fv, "yyyy-MM-dd HH:mm:ss")
     return j.select(
         F.when(k % 499 == 0, _null()).otherwise(_s("l_orderkey")).alias("id_venta"),
-        F.when(k % 211 == 0, _null()).otherwise(_s("o_custkey")).alias("id_cliente"),
-        F.when(k % 307 == 0, F.concat(F.lit(" "), _s("l_suppkey"), F.lit(" ")))
-         .otherwise(_s("l_suppkey")).alias("id_tienda"),
-        F.when(k % 401 == 0, F.lit("N/D")).otherwise(_s("l_partkey")).alias("id_producto"),
+        F.when(k % 211 == 0, _null()).otherwise(_id("o_custkey")).alias("id_cliente"),
+        F.when(k % 307 == 0, F.concat(F.lit(" "), _id("l_suppkey"), F.lit(" ")))
+         .otherwise(_id("l_suppkey")).alias("id_tienda"),
+        F.when(k % 401 == 0, F.lit("N/D")).otherwise(_id("l_partkey")).alias("id_producto"),
         _case(k, 16, {
             0: F.when(q <= 10, word).otherwise(_s(q)),
             1: F.when(q <= 10, F.concat(F.lit(" "), F.upper(word), F.lit(" "))).otherwise(_s(q)),
@@ -137,11 +121,10 @@ def ventas_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clientes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer feed: two loads (every kept customer, then an update of
-    every 7th), customers with key % 10 = 0 left out (foreign-key holes)."""
+    """Customer feed: two loads (every customer, then an update of every 7th)."""
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    base = c.join(n, c.c_nationkey == n.n_nationkey).filter(F.col("c_custkey") % 10 != 0)
+    base = c.join(n, c.c_nationkey == n.n_nationkey)
     src = base.withColumn("v", F.lit(1)).unionByName(
         base.filter(F.col("c_custkey") % 7 == 0).withColumn("v", F.lit(2)))
     k = F.col("c_custkey") * 2 + F.col("v")
@@ -226,9 +209,8 @@ def devoluciones_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def productos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product feed: two loads; parts with key % 10 = 0 left out."""
+    """Product feed: two loads (every part, then a new price of every 9th)."""
     p = (_t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
-         .filter(F.col("p_partkey") % 10 != 0)
          .withColumn("pr", F.col("p_retailprice").cast("decimal(18,2)")))
     src = p.select("*", F.lit(1).alias("v"), F.lit(LOAD_1).cast("timestamp").alias("_created_at")).unionByName(
         p.filter(F.col("p_partkey") % 9 == 0).select(
@@ -256,13 +238,12 @@ def productos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tiendas_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store feed: supplier, nation and region; two loads; suppliers with
-    key % 10 = 0 left out."""
+    """Store feed: supplier, nation and region; two loads (every supplier,
+    then a new name of every third)."""
     s = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = _t(spark, sf_dir, "region").select("r_regionkey", "r_name")
     base = (s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
-            .filter(F.col("s_suppkey") % 10 != 0)
             .select("s_suppkey", "s_name", "n_name", "r_name"))
     src = base.select("*", F.lit(1).alias("v"), F.lit(LOAD_1).cast("timestamp").alias("_created_at")).unionByName(
         base.filter(F.col("s_suppkey") % 3 == 0).select(
@@ -281,22 +262,15 @@ def tiendas_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_BUILDERS = {
+RAW_FEEDS = {
     "ventas": ventas_raw,
     "clientes": clientes_raw,
     "devoluciones": devoluciones_raw,
     "productos": productos_raw,
     "tiendas": tiendas_raw,
 }
-_FEEDS: dict[tuple[int, str, str], DataFrame] = {}
 
 
 def raw_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
-    """The raw feed plan, built once per session and folder (a plan, not data)."""
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), feed)
-    if key not in _FEEDS:
-        _FEEDS[key] = _BUILDERS[feed](spark, sf_dir)
-    return _FEEDS[key]
-
-
-RAW_FEEDS = {name: (lambda spark, sf_dir, _n=name: raw_feed(spark, sf_dir, _n)) for name in _BUILDERS}
+    """The raw feed of this name."""
+    return RAW_FEEDS[feed](spark, sf_dir)

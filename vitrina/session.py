@@ -58,12 +58,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder for checkpoints and scratch tables.
 
     ``spark.checkpoint.dir`` - the cluster's shared folder - always wins.
-    Only when it is unset (unit tests, a laptop) is a scratch folder of our
-    own created; it is handed to ``setCheckpointDir`` (a core setting cannot
-    be changed through the SQL conf at run time).
+    Only when it is unset on a local master (unit tests, a laptop) is a
+    scratch folder of our own created; it is handed to ``setCheckpointDir``
+    (a core setting cannot be changed through the SQL conf at run time). On a
+    cluster an unset folder is an error: executors could not share ours.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by the driver and all executors")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="vitrina-ckpt-"))
     return (configured or sc.getCheckpointDir()).rstrip("/")
@@ -72,20 +75,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint directory."""
     return f"{ensure_checkpoint_dir(spark)}/vitrina/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def spread(df, *keys: str):
-    """Hash-spread an under-partitioned source over every core.
-
-    A source stored as a few large, unsplittable row groups is read by a few
-    tasks, and every narrow per-row step after it (parsing, cleaning) runs
-    on those tasks alone. When the scan has fewer partitions than the
-    session's default parallelism, hash-partition it by ``keys`` (a
-    deterministic placement, safe on task retry). A large input already has
-    far more partitions than cores and passes through untouched, so this
-    never adds a shuffle at scale. Only planning happens here, no job.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)

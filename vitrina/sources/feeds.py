@@ -34,13 +34,14 @@ CSV_OPTIONS = {"header": "true", "sep": ","}
 
 
 def add_audit_columns(df: DataFrame, load_ts=None) -> DataFrame:
-    """``_src_file`` from the hidden file metadata, ``_created_at`` load time.
+    """``_src_file`` from the hidden file metadata, ``_created_at`` load
+    time; ``_src_bytes``, the file's size, for the ingestion log.
 
     Must be applied directly on a file source, before any operator that
     loses the ``_metadata`` column.
     """
     ts = F.current_timestamp() if load_ts is None else load_ts
-    return df.withColumns({"_src_file": F.col("_metadata.file_path"), "_created_at": ts})
+    return df.withColumns({"_src_file": F.col("_metadata.file_path"), "_src_bytes": F.col("_metadata.file_size"), "_created_at": ts})
 
 
 def feed_path(landing_dir: str, feed: str) -> str:

@@ -1,6 +1,6 @@
 """Driver-side file-system metadata calls through the Hadoop FileSystem API.
 
-Only names, markers and renames go through here (no data), so the same
+Only names, renames and removals go through here (no data), so the same
 code works on a local disk, HDFS or an object store the cluster mounts.
 """
 
@@ -39,22 +39,7 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(p, jvm.org.apache.hadoop.fs.Path(dst)))
 
 
-def write_marker(spark: SparkSession, path: str, text: str = "") -> None:
-    """Create a small marker file; written last, it commits what precedes it."""
+def delete(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder."""
     fs, p = _fs(spark, path)
-    out = fs.create(p, True)
-    try:
-        if text:
-            out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-
-
-def read_marker(spark: SparkSession, path: str) -> str:
-    fs, p = _fs(spark, path)
-    jvm = spark._jvm
-    stream = fs.open(p)
-    try:
-        return str(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
+    return bool(fs.delete(p, True))

@@ -1,9 +1,11 @@
 """Silver change flows as Structured Streaming queries.
 
 ``upsert_stream`` reads an append-only bronze table incrementally and, per
-micro-batch (``foreachBatch``), cleans it, applies the entity's quality
-rules (metrics observed in the same pass), upserts the survivors into a
-versioned SCD-1 target and appends one ingestion-log record.
+micro-batch (``foreachBatch``), cleans it once, checks the entity's quality
+rules, appends the survivors to the entity's change table and writes metrics,
+quarantine and one ingestion-log record. Every sink holds one partition per
+flow and batch and a retried batch overwrites its own, so a failure at any
+point leaves no row twice.
 """
 
 from __future__ import annotations
@@ -13,23 +15,22 @@ import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrina.operators import entities as E
 from vitrina.operators import quality as Q
-from vitrina.operators.audit import change_counts, ingestion_log_row
+from vitrina.operators.audit import ingestion_log_row
+from vitrina.streaming.change_table import ChangeTable, overwrite_batch
 from vitrina.streaming.ingest import read_bronze_stream
-from vitrina.streaming.scd_target import Scd1Target
-
-CLEANERS: dict[str, Callable] = {
-    "ventas": lambda df, as_of, obs: E.clean_ventas(df, as_of, obs),
-    "clientes": lambda df, as_of, obs: Q.clientes_validos(E.clean_clientes(df, as_of, obs), as_of),
-    "devoluciones": lambda df, as_of, obs: E.clean_devoluciones(df, as_of, obs),
-    "productos": lambda df, as_of, obs: E.clean_productos(df, obs),
-    "tiendas": lambda df, as_of, obs: E.clean_tiendas(df, obs),
-}
 
+TRANSFORMS: dict[str, Callable] = {
+    "ventas": E.transform_ventas,
+    "clientes": E.transform_clientes,
+    "devoluciones": E.transform_devoluciones,
+    "productos": lambda df, as_of: E.transform_productos(df),
+    "tiendas": lambda df, as_of: E.transform_tiendas(df),
+}
 
 RULES: dict[str, Callable] = {
     "ventas": lambda as_of: E.ventas_rules(),
@@ -40,69 +41,55 @@ RULES: dict[str, Callable] = {
 }
 
 
-def _file_bytes(spark: SparkSession, batch: DataFrame) -> int:
-    """Bytes of the files behind a micro-batch (one name per file reaches
-    the driver, never a row)."""
-    if "_src_file" not in batch.columns:
+def flow_id(spark: SparkSession) -> str:
+    """The id of the streaming query that runs this batch: it lives in the
+    query's checkpoint, so it survives restarts and is new with a new one."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
+def file_bytes(batch: DataFrame) -> int:
+    """Bytes of the files behind a micro-batch, from their metadata."""
+    if "_src_bytes" not in batch.columns:
         return 0
-    total = 0
-    for r in batch.select("_src_file").distinct().collect():
-        path = r[0]
-        if path:
-            fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-            fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
-            if fs.exists(fs_path):
-                total += int(fs.getFileStatus(fs_path).getLen())
-    return total
+    return int(batch.select("_src_file", "_src_bytes").distinct().agg(F.coalesce(F.sum("_src_bytes"), F.lit(0))).first()[0])
 
 
 def upsert_stream(spark: SparkSession, bronze_dir: str, entity: str, target_root: str,
                   checkpoint_dir: str, as_of=None, log_dir: str | None = None,
                   quarantine_dir: str | None = None, metrics_dir: str | None = None,
-                  buckets: int = 256, max_files_per_trigger: int | None = 1000) -> list[int]:
+                  max_files_per_trigger: int | None = None) -> list[int]:
     """Run the entity's silver flow over every new bronze file, then stop."""
     keys, seq = E.SILVER_FLOWS[entity]
-    target = Scd1Target(spark, target_root, keys, seq, buckets=buckets)
+    target = ChangeTable(spark, target_root, keys, seq)
     done: list[int] = []
 
     def batch(df: DataFrame, batch_id: int) -> None:
         start = dt.datetime.now().replace(microsecond=0)
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        session, rules = df.sparkSession, RULES[entity](as_of)
+        flow = flow_id(session)
+        # read by the table, the metrics and the quarantine: cleaned once
+        cleaned = TRANSFORMS[entity](df, as_of).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            obs = Observation(f"clean_{entity}_{batch_id}")
-            clean = CLEANERS[entity](df, as_of, obs)
+            survivors = Q.apply_expectations(cleaned, rules)
             t0 = time.perf_counter()
-            target.upsert(clean, batch_id)
+            target.append(Q.clientes_validos(survivors, as_of) if entity == "clientes" else survivors, flow, batch_id)
             merge_s = time.perf_counter() - t0
             if metrics_dir:
-                rows = [(f"bronze.{entity}_clean", batch_id, m["rule"], m["action"],
-                         int(m["passed_records"]), int(m["failed_records"]))
-                        for m in Q.observed_metrics(obs, RULES[entity](as_of))]
-                spark.createDataFrame(rows, "table_name STRING, batch_id BIGINT, rule STRING, action STRING, "
-                                            "passed_records BIGINT, failed_records BIGINT") \
-                     .write.mode("append").parquet(metrics_dir)
+                metrics = Q.expectation_metrics(cleaned, rules).select(
+                    F.lit(f"bronze.{entity}_clean").alias("table_name"), F.lit(batch_id).cast("long").alias("batch"),
+                    "rule", "action", "passed_records", "failed_records")
+                overwrite_batch(metrics, metrics_dir, flow, batch_id)
             if entity == "clientes" and quarantine_dir:
-                quarantine = Q.clientes_cuarentena(E.clean_clientes(df, as_of), as_of)
-                quarantine.write.mode("append").parquet(quarantine_dir)
+                overwrite_batch(Q.clientes_cuarentena(survivors, as_of), quarantine_dir, flow, batch_id)
             if log_dir:
-                # untouched buckets are identical by construction: compare
-                # only the buckets this batch rewrote
-                touched = target.touched_buckets(batch_id)
-                new = target.read(batch_id, touched)
-                base_v = target.base_of(batch_id)
-                old = target.read(base_v, touched) if base_v is not None else None
-                counts = change_counts(old, new, keys).first().asDict()
-                rows_in = int(obs.get.get("__rows", 0))
                 rec = ingestion_log_row(
-                    spark, table=f"silver.{entity}", layer="silver", rows_in=rows_in, counts=counts,
-                    file_bytes=_file_bytes(spark, df), start=start,
-                    end=dt.datetime.now().replace(microsecond=0), merge_seconds=merge_s,
-                    job_run_id=batch_id)
-                rec.withColumn("version", F.lit(batch_id).cast("long")) \
-                   .write.mode("append").parquet(log_dir)
+                    session, table=f"silver.{entity}", layer="silver", rows_in=cleaned.count(),
+                    counts=target.counts(flow, batch_id).first().asDict(), file_bytes=file_bytes(df), start=start,
+                    end=dt.datetime.now().replace(microsecond=0), merge_seconds=merge_s, job_run_id=batch_id)
+                overwrite_batch(rec.withColumn("version", F.lit(batch_id).cast("long")), log_dir, flow, batch_id)
             done.append(batch_id)
         finally:
-            df.unpersist()
+            cleaned.unpersist()
 
     q = (read_bronze_stream(spark, bronze_dir, max_files_per_trigger).writeStream
          .foreachBatch(batch)
@@ -115,7 +102,7 @@ def upsert_stream(spark: SparkSession, bronze_dir: str, entity: str, target_root
 
 def read_target(spark: SparkSession, target_root: str, entity: str) -> DataFrame | None:
     keys, seq = E.SILVER_FLOWS[entity]
-    return Scd1Target(spark, target_root, keys, seq).read()
+    return ChangeTable(spark, target_root, keys, seq).read()
 
 
-__all__ = ["upsert_stream", "read_target", "CLEANERS", "RULES"]
+__all__ = ["upsert_stream", "read_target", "TRANSFORMS", "RULES"]
