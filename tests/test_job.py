@@ -49,3 +49,10 @@ def test_two_runs_equal_batch(spark):
     assert metrics.filter("rule = 'warning_email_format'").count() == 2
     quarantine = spark.read.parquet(f"{out}/silver/clientes_cuarentena")
     assert quarantine.count() == QUERIES["clientes_cuarentena"](spark, SF).count()
+
+    # audit columns and declared schemas at the sinks
+    for entity in jobs.FEEDS:
+        assert silver[entity].where("_created_at is null or _last_updated_at is null").count() == 0
+    dim = spark.read.parquet(result["gold"]["dim_cliente"])
+    assert dim.where("_created_at is null or _last_updated_at is null").count() == 0
+    assert "anio_mes=" in "".join(fact.inputFiles())

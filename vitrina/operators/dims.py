@@ -22,9 +22,26 @@ DIM_SPECS = {
 }
 
 
+AUDIT_COLUMNS = ("_created_at", "_last_updated_at")
+
+# Fixed values that must equal the reference's: declared dimension tables.
+GOLD_DDL = {
+    "cliente": ("id_cliente BIGINT NOT NULL, nombre STRING, email STRING, ciudad STRING, fecha_registro DATE, "
+                "creation_date TIMESTAMP, _created_at TIMESTAMP, _last_updated_at TIMESTAMP"),
+    "tienda": ("id_tienda BIGINT NOT NULL, nombre STRING, ciudad STRING, region STRING, "
+               "creation_date TIMESTAMP, _created_at TIMESTAMP, _last_updated_at TIMESTAMP"),
+    "producto": ("id_producto BIGINT NOT NULL, nombre STRING, categoria STRING, precio DECIMAL(18,2), "
+                 "creation_date TIMESTAMP, _created_at TIMESTAMP, _last_updated_at TIMESTAMP"),
+    "tiempo": ("fecha DATE NOT NULL, anio INT, mes INT, dia INT, anio_mes STRING, nombre_mes STRING, dia_semana INT, "
+               "nombre_dia STRING, trimestre INT, creation_date TIMESTAMP, _created_at TIMESTAMP, _last_updated_at TIMESTAMP"),
+}
+
+
 def enrich(df: DataFrame, columns: Sequence[str], as_of=None) -> DataFrame:
-    """Project the silver columns and stamp ``creation_date``."""
-    return df.select(*columns, as_of_timestamp(as_of).alias("creation_date"))
+    """Project the silver columns, with the audit columns the silver
+    table has, and stamp ``creation_date``."""
+    audit = [c for c in AUDIT_COLUMNS if c in df.columns and c not in columns]
+    return df.select(*columns, *audit, as_of_timestamp(as_of).alias("creation_date"))
 
 
 def _dim(kind: str, silver: DataFrame, as_of=None, source_is_current: bool = True) -> DataFrame:

@@ -34,7 +34,7 @@ def _long(c: str):
     return F.col(c).try_cast("long").alias(c)
 
 
-# --- rules (Q2) -------------------------------------------------------------
+# --- rules (Q2); rule names are fixed values that must equal the reference's -------------------------------------------------------------
 
 def ventas_rules() -> list[Expectation]:
     return [expect_or_drop("valid_id_venta", F.col("id_venta").isNotNull()),
@@ -160,6 +160,7 @@ SILVER_FLOWS = {
     "tiendas": (("id_tienda",), "_created_at"),
 }
 
+# Fixed values that must equal the reference's: declared silver tables.
 SILVER_DDL = {
     "ventas": ("id_venta BIGINT NOT NULL, id_cliente BIGINT, id_tienda BIGINT, "
                "id_producto BIGINT NOT NULL, cantidad INT, monto DECIMAL(18,2), "

@@ -136,7 +136,8 @@ def observed_metrics(observation: Observation, rules: Iterable[Expectation]) ->
 # Customers: warnings, valid / quarantine split, reasons
 # ---------------------------------------------------------------------------
 
-# Fixed values that must equal the reference's.
+# Fixed values that must equal the reference's: limits, states, reason texts,
+# and the rule names below.
 DATE_LOWER = "1900-01-01"
 QUARANTINE_STATE = "PENDIENTE_REVISION"
 REASON_ID_MISSING = "ID cliente faltante"

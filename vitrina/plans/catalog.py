@@ -380,6 +380,18 @@ def q_enforce_schema(spark, sf_dir):
     return enforce_schema(_m(spark, sf_dir).silver_ventas, E.SILVER_DDL["ventas"])
 
 
+def _enforced(entity: str):
+    def q(spark, sf_dir):
+        return enforce_schema(getattr(_m(spark, sf_dir), f"silver_{entity}"), E.SILVER_DDL[entity])
+    return q
+
+
+def _enforced_dim(name: str):
+    def q(spark, sf_dir):
+        return enforce_schema(_m(spark, sf_dir).dim(name), D.GOLD_DDL[name])
+    return q
+
+
 def q_align_to_target(spark, sf_dir):
     """Clean sales aligned to a target column list (all STRING)."""
     return align_to_target(_m(spark, sf_dir).ventas_clean, ALIGN_TARGET_COLUMNS)
@@ -442,6 +454,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_ventas_rechazadas": q_fact_ventas_rechazadas,
     "union_rejects": q_union_rejects,
     "enforce_schema": q_enforce_schema,
+    **{f"enforce_schema_{e}": _enforced(e) for e in E.SILVER_DDL},
+    **{f"enforce_schema_dim_{d}": _enforced_dim(d) for d in D.GOLD_DDL},
     "align_to_target": q_align_to_target,
     "project_rename": q_project_rename,
 }

@@ -26,10 +26,12 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vitrina.operators import dims as D
 from vitrina.operators import entities as E
 from vitrina.operators import facts as FX
+from vitrina.operators.schema import enforce_schema
 from vitrina.sources import files
 from vitrina.streaming.change_table import ChangeTable
 from vitrina.streaming.flows import read_target, upsert_stream
@@ -69,7 +71,7 @@ def run_silver(spark: SparkSession, out_dir: str, as_of=None, max_files_per_trig
             log_dir=f"{p['audit']}/ingestion_log",
             metrics_dir=f"{p['audit']}/expectation_metrics",
             quarantine_dir=f"{p['silver']}/clientes_cuarentena" if entity == "clientes" else None,
-            max_files_per_trigger=max_files_per_trigger)
+            max_files_per_trigger=max_files_per_trigger, declared=E.SILVER_DDL[entity])
     return done
 
 
@@ -110,7 +112,8 @@ def run_gold(spark: SparkSession, out_dir: str, as_of=None) -> dict[str, str]:
     dims = {}
     for name, df in rows.items():
         flow = ChangeTable(spark, f"{p['gold']}/_flows/dim_{name}", *_dim_keys(name))
-        flow.append(df, f"gold-{run_id}", 0)
+        stamped = df if "_created_at" in df.columns else df.withColumns({c: F.col("creation_date") for c in D.AUDIT_COLUMNS})
+        flow.append(enforce_schema(stamped, D.GOLD_DDL[name]), f"gold-{run_id}", 0)
         flow.read().write.parquet(f"{base}/dim_{name}")
         # the fact checks against what is published
         dims[name] = spark.read.parquet(f"{base}/dim_{name}")

@@ -549,6 +549,8 @@ FINAL["ingest_stream_raw"] = (
 FINAL["ingest_multi_pattern"] = (
     f"SELECT {_nz('id_venta, id_cliente, id_tienda, id_producto, cantidad, monto, fecha_venta, updated_at')}, "
     "CASE _lote WHEN 0 THEN 'ventas' WHEN 1 THEN 'fact_sales' ELSE 'sales' END AS familia FROM ventas_raw")
+FINAL["ingest_header_order"] = FINAL["ingest_multi_pattern"].replace(
+    "CASE _lote WHEN 0", "CASE WHEN _lote = 1 THEN 'c' || id_venta END AS canal, CASE _lote WHEN 0")
 FINAL["audit_columns"] = "SELECT id_cliente, _lote, true AS has_src_file, true AS has_created_at FROM clientes_raw"
 FINAL["scd1_ventas_stream"] = "SELECT * FROM silver_ventas"
 FINAL["scd1_clientes_stream"] = "SELECT * FROM silver_clientes"
@@ -611,6 +613,15 @@ FINAL["route_files"] = (
 
 FINAL["enforce_schema"] = ("SELECT *, CAST(NULL AS TIMESTAMP) AS _created_at, "
                            "CAST(NULL AS TIMESTAMP) AS _last_updated_at FROM silver_ventas")
+for _t, _dim in (("silver_clientes", False), ("silver_devoluciones", False), ("silver_productos", False), ("silver_tiendas", False),
+                 ("silver_clientes", True), ("silver_tiendas", True), ("silver_productos", True)):
+    _key = {"silver_clientes": "cliente", "silver_tiendas": "tienda", "silver_productos": "producto"}.get(_t) if _dim else _t[7:]
+    _created = "" if _t in ("silver_productos", "silver_tiendas") else "CAST(NULL AS TIMESTAMP) AS _created_at, "
+    _date = f"{AS_OF_TS} AS creation_date, " if _dim else ""
+    FINAL[f"enforce_schema_{'dim_' if _dim else ''}{_key}"] = f"SELECT *, {_date}{_created}CAST(NULL AS TIMESTAMP) AS _last_updated_at FROM {_t}"
+FINAL["enforce_schema_ventas"] = FINAL["enforce_schema"]
+FINAL["enforce_schema_dim_tiempo"] = ("SELECT *, CAST(NULL AS TIMESTAMP) AS _created_at, CAST(NULL AS TIMESTAMP) AS _last_updated_at "
+                                      "FROM dim_tiempo")
 FINAL["align_to_target"] = ("SELECT CAST(id_venta AS VARCHAR) AS id_venta, CAST(id_producto AS VARCHAR) AS id_producto, "
                             "CAST(monto AS VARCHAR) AS monto, CAST(fecha_venta AS VARCHAR) AS fecha_venta, "
                             "CAST(NULL AS VARCHAR) AS canal FROM ventas_clean")

@@ -97,6 +97,25 @@ def q_ingest_multi_pattern(spark, sf_dir):
                     F.regexp_extract("_src_file", r"/([a-z_]+)_\d+_\d+\.csv$", 1).alias("familia"))
 
 
+# Column orders of the sales families in ``ingest_header_order``.
+HEADER_ORDERS = {0: lambda c: c, 1: lambda c: [*c[::-1], "canal"], 2: lambda c: [*c[3:], *c[:3]]}
+
+
+def q_ingest_header_order(spark, sf_dir):
+    """Three sales families with other column orders, one with a
+    further column, land together; columns are found by name."""
+    z = Landing(spark, "ingest-header")
+    for lote, order in HEADER_ORDERS.items():
+        family, stage = VENTAS_FAMILIES[lote], f"{z.root}/_stage/header-{lote}"
+        rows = raw_feed(spark, sf_dir, "ventas").where(F.col("_lote") == lote).withColumn("canal", F.concat(F.lit("c"), "id_venta"))
+        stage_feed(spark, rows, order(feed_columns("ventas")), stage)
+        land_staged(spark, stage, lote, z.landing, family)
+    z.ingest("ventas")
+    b = read_bronze(spark, z.bronze("ventas"))
+    return b.select(*feed_columns("ventas"), F.col("_extra")["canal"].alias("canal"),
+                    F.regexp_extract("_src_file", r"/([a-z_]+)_\d+_\d+\.csv$", 1).alias("familia"))
+
+
 def q_audit_columns(spark, sf_dir):
     """``_src_file`` from file metadata and ``_created_at`` load time."""
     b = _ingested(spark, sf_dir, "clientes", [[0, 1]])
@@ -201,6 +220,7 @@ STREAM_QUERIES = {
     "ingest_stream_clientes": q_ingest_stream_clientes,
     "ingest_stream_raw": q_ingest_stream_raw,
     "ingest_multi_pattern": q_ingest_multi_pattern,
+    "ingest_header_order": q_ingest_header_order,
     "audit_columns": q_audit_columns,
     "scd1_ventas_stream": q_scd1_ventas_stream,
     "ingestion_log": q_ingestion_log,

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from vitrina.operators import entities as E
 from vitrina.operators import quality as Q
 from vitrina.operators.audit import ingestion_log_row
+from vitrina.operators.scd import key_not_null
+from vitrina.operators.schema import enforce_schema
 from vitrina.streaming.change_table import ChangeTable, overwrite_batch
 from vitrina.streaming.ingest import read_bronze_stream
 
@@ -57,8 +59,10 @@ def file_bytes(batch: DataFrame) -> int:
 def upsert_stream(spark: SparkSession, bronze_dir: str, entity: str, target_root: str,
                   checkpoint_dir: str, as_of=None, log_dir: str | None = None,
                   quarantine_dir: str | None = None, metrics_dir: str | None = None,
-                  max_files_per_trigger: int | None = None) -> list[int]:
-    """Run the entity's silver flow over every new bronze file, then stop."""
+                  max_files_per_trigger: int | None = None, declared: str | None = None) -> list[int]:
+    """Run the entity's silver flow over every new bronze file, then stop.
+    With a ``declared`` schema the rows get the audit columns and are put into
+    that schema before they are stored."""
     keys, seq = E.SILVER_FLOWS[entity]
     target = ChangeTable(spark, target_root, keys, seq)
     done: list[int] = []
@@ -72,7 +76,12 @@ def upsert_stream(spark: SparkSession, bronze_dir: str, entity: str, target_root
         try:
             survivors = Q.apply_expectations(cleaned, rules)
             t0 = time.perf_counter()
-            target.append(Q.clientes_validos(survivors, as_of) if entity == "clientes" else survivors, flow, batch_id)
+            rows = Q.clientes_validos(survivors, as_of) if entity == "clientes" else survivors
+            if declared:
+                now = F.current_timestamp()
+                rows = rows.withColumns({"_created_at": F.col("_created_at") if "_created_at" in rows.columns else now, "_last_updated_at": now})
+                rows = enforce_schema(rows.where(key_not_null(keys)), declared)
+            target.append(rows, flow, batch_id)
             merge_s = time.perf_counter() - t0
             if metrics_dir:
                 metrics = Q.expectation_metrics(cleaned, rules).select(
