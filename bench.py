@@ -23,6 +23,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from vitrina.plans.catalog import QUERIES  # noqa: E402
+from vitrina.plans.streams import STREAM_QUERIES  # noqa: E402
 from vitrina.session import build_session  # noqa: E402
 
 HEADLINE = [
@@ -31,10 +32,12 @@ HEADLINE = [
     "clientes_cuarentena",
     "expectation_metrics",
     "scd1_ventas",
+    "dim_cliente",
     "dim_tiempo",
     "fact_ventas",
     "fact_ventas_rechazadas",
     "union_rejects",
+    "scd1_tiendas_stream",
 ]
 
 
@@ -44,15 +47,16 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(cpus, 8), app_name="vitrina-bench")
+    queries = {**QUERIES, **STREAM_QUERIES}
     out = {}
     for name in names:
         # timed: building the plan (including any checkpoint it writes) and
         # running it to the end
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         runs = []
         for _ in range(repeat):
             t0 = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - t0)
         out[name] = round(statistics.median(runs), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)

@@ -56,3 +56,34 @@ def test_two_runs_equal_batch(spark):
     dim = spark.read.parquet(result["gold"]["dim_cliente"])
     assert dim.where("_created_at is null or _last_updated_at is null").count() == 0
     assert "anio_mes=" in "".join(fact.inputFiles())
+    layers = {r.layer: r.n for r in log.groupBy("layer").count().withColumnRenamed("count", "n").collect()}
+    assert layers == {"bronze": 10, "silver": 10, "gold": 4}
+    bronze = log.where("`table` = 'bronze.ventas_raw'")
+    assert bronze.agg({"rows_inserted": "sum"}).first()[0] == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert bronze.where("file_bytes > 0 and job_status = 'SUCCESS'").count() == 2
+
+
+def test_failed_step_is_logged(spark, tmp_path):
+    import pytest
+
+    log = jobs.Log(spark, f"file://{tmp_path}")
+    with pytest.raises(ZeroDivisionError):
+        log.step("bronze.x", "bronze", lambda: 1 // 0)
+    assert [(r.job_status, r.layer) for r in spark.read.parquet(log.path).collect()] == [("FAILED", "bronze")]
+
+
+def test_tables_by_name(spark, tmp_path):
+    from vitrina.operators.schema import align_to_target
+    from vitrina.streaming.ingest import read_bronze, read_bronze_stream
+
+    spark.sql(f"create table bronze_by_name (a int, b string) using parquet location 'file://{tmp_path}/t'")
+    try:
+        spark.createDataFrame([(1, "x")], "a int, b string").write.insertInto("bronze_by_name")
+        assert read_bronze(spark, "bronze_by_name").count() == 1
+        out = []
+        read_bronze_stream(spark, "bronze_by_name").writeStream.foreachBatch(lambda df, i: out.extend(df.collect())).option(
+            "checkpointLocation", f"file://{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+        assert [tuple(r) for r in out] == [(1, "x")]
+        assert align_to_target(spark.createDataFrame([(2.5,)], "b double"), "bronze_by_name").first().asDict() == {"a": None, "b": "2.5"}
+    finally:
+        spark.sql("drop table bronze_by_name")

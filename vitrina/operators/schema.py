@@ -39,9 +39,11 @@ def enforce_schema(df: DataFrame, ddl: str | StructType, check_not_null: bool =
     return checked.select(*cols)
 
 
-def align_to_target(df: DataFrame, target_columns: list[str]) -> DataFrame:
+def align_to_target(df: DataFrame, target: list[str] | str) -> DataFrame:
     """Add missing columns as NULL, keep target order, drop extras,
-    and cast every column to STRING."""
+    and cast every column to STRING. ``target`` is a column list or the name
+    of a table."""
+    target_columns = df.sparkSession.read.table(target).columns if isinstance(target, str) else target
     have = set(df.columns)
     return df.select(*[
         (F.col(c).cast("string") if c in have else F.lit(None).cast("string")).alias(c)

@@ -24,6 +24,7 @@ again.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,9 +34,10 @@ from vitrina.operators import entities as E
 from vitrina.operators import facts as FX
 from vitrina.operators.schema import enforce_schema
 from vitrina.sources import files
-from vitrina.streaming.change_table import ChangeTable
-from vitrina.streaming.flows import read_target, upsert_stream
-from vitrina.streaming.ingest import ingest_to_bronze
+from vitrina.operators.audit import ingestion_log_row
+from vitrina.streaming.change_table import ChangeTable, overwrite_batch
+from vitrina.streaming.flows import file_bytes, read_target, upsert_stream
+from vitrina.streaming.ingest import ingest_to_bronze, read_bronze
 
 FEEDS = ("clientes", "tiendas", "productos", "ventas", "devoluciones")
 
@@ -51,12 +53,50 @@ def _paths(out_dir: str) -> dict[str, str]:
     }
 
 
+def _totals(spark: SparkSession, table: str) -> tuple[int, int]:
+    """Rows of a bronze table and bytes of the files behind them."""
+    if not files.exists(spark, table):
+        return 0, 0
+    df = read_bronze(spark, table)
+    return df.count(), file_bytes(df)
+
+
+class Log:
+    """The ingestion log: one record per table and step, also of failed ones."""
+
+    def __init__(self, spark: SparkSession, out_dir: str):
+        self.spark, self.path = spark, f"{_paths(out_dir)['audit']}/ingestion_log"
+        self.run_id = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1_000_000)
+
+    def step(self, table: str, layer: str, work: Callable[[], tuple[int, dict, int]]) -> None:
+        """Run ``work``, which returns rows_in, change counts and file bytes,
+        and write its record; a failure is recorded and raised again."""
+        start, none = dt.datetime.now().replace(microsecond=0), {"rows_inserted": 0, "rows_updated": 0, "rows_deleted": 0}
+        rows_in, counts, size, status = 0, none, 0, "FAILED"
+        try:
+            rows_in, changed, size = work()
+            counts, status = {**none, **changed}, "SUCCESS"
+        finally:
+            end = dt.datetime.now().replace(microsecond=0)
+            rec = ingestion_log_row(self.spark, table=table, layer=layer, rows_in=rows_in, counts=counts, file_bytes=size, start=start, end=end,
+                                    merge_seconds=(end - start).total_seconds(), status=status, job_run_id=self.run_id)
+            overwrite_batch(rec.withColumn("version", F.lit(0).cast("long")), self.path, f"{self.run_id}-{table}", 0)
+
+
 def run_bronze(spark: SparkSession, landing_dir: str, out_dir: str,
                max_files_per_trigger: int | None = None) -> dict:
-    p = _paths(out_dir)
-    return {feed: ingest_to_bronze(spark, landing_dir, feed, f"{p['bronze']}/{feed}_raw",
-                                   f"{p['ckpt']}/bronze_{feed}", max_files_per_trigger)
-            for feed in FEEDS}
+    p, log, done = _paths(out_dir), Log(spark, out_dir), {}
+    for feed in FEEDS:
+        table = f"{p['bronze']}/{feed}_raw"
+
+        def work(feed=feed, table=table):
+            rows, size = _totals(spark, table)
+            done[feed] = ingest_to_bronze(spark, landing_dir, feed, table, f"{p['ckpt']}/bronze_{feed}", max_files_per_trigger)
+            rows_now, size_now = _totals(spark, table)
+            return rows_now - rows, {"rows_inserted": rows_now - rows}, size_now - size
+
+        log.step(f"bronze.{feed}_raw", "bronze", work)
+    return done
 
 
 def run_silver(spark: SparkSession, out_dir: str, as_of=None, max_files_per_trigger: int | None = None) -> dict:
@@ -118,8 +158,17 @@ def run_gold(spark: SparkSession, out_dir: str, as_of=None) -> dict[str, str]:
         # the fact checks against what is published
         dims[name] = spark.read.parquet(f"{base}/dim_{name}")
     keys, _ = E.SILVER_FLOWS["ventas"]
-    FX.fact_ventas(ventas, dims, as_of).write.partitionBy("anio_mes").parquet(f"{base}/fact_ventas")
-    FX.rejects_single_pass(ventas, dims, as_of, unique_on=keys).write.parquet(f"{base}/fact_ventas_rechazadas")
+    log, rows_in = Log(spark, out_dir), ventas.count()
+
+    def store(df: DataFrame, table: str, by: list[str]) -> None:
+        def work():
+            df.write.partitionBy(*by).parquet(f"{base}/{table}")
+            return rows_in, {"rows_inserted": spark.read.schema(df.schema).parquet(f"{base}/{table}").count()}, 0
+
+        log.step(f"gold.{table}", "gold", work)
+
+    store(FX.fact_ventas(ventas, dims, as_of), "fact_ventas", ["anio_mes"])
+    store(FX.rejects_single_pass(ventas, dims, as_of, unique_on=keys), "fact_ventas_rechazadas", [])
     files.mkdirs(spark, f"{p['gold']}/_published/{run_id}")
     return published_gold(spark, out_dir)
 

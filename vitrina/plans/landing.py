@@ -1,10 +1,10 @@
 """Land raw feeds as CSV files, the way an upstream system drops them.
 
 Each feed is written by Spark (one task per partition, in parallel) into a
-staging folder, then its part files are renamed into the landing folder
-with the family prefix the ingest globs look for, one landing batch
-(``_lote``) at a time. Renames are atomic, so a file stream never sees a
-half-written file.
+staging folder, one folder per landing batch (``_lote``). Landing a batch
+renames its folder to ``<family>_<lote>.csv`` in the landing folder: one
+rename whatever the number of files, and atomic, so a file stream never sees a
+half-written file. The ingest globs take the files of a folder they match.
 """
 
 from __future__ import annotations
@@ -28,15 +28,11 @@ def stage_feed(spark: SparkSession, feed_df: DataFrame, feed_columns: list[str],
      .write.mode("overwrite").partitionBy("_lote").options(**CSV_WRITE_OPTIONS).csv(stage_dir))
 
 
-def land_staged(spark: SparkSession, stage_dir: str, lote: int, landing_dir: str, family: str) -> list[str]:
-    """Move the staged parts of one landing batch to ``<family>_<lote>_NNNNN.csv``
-    (renames only: no data is read or rewritten)."""
+def land_staged(spark: SparkSession, stage_dir: str, lote: int, landing_dir: str, family: str) -> None:
+    """Move the staged files of one landing batch to ``<family>_<lote>.csv/``
+    (one rename: no data is read or rewritten). A batch without rows lands
+    nothing."""
     src = f"{stage_dir.rstrip('/')}/_lote={lote}"
     files.mkdirs(spark, landing_dir)
-    landed = []
-    parts = [n for n in files.list_names(spark, src) if n.startswith("part-") and n.endswith(".csv")]
-    for i, name in enumerate(parts):
-        dst = f"{landing_dir.rstrip('/')}/{family}_{lote}_{i:05d}.csv"
-        files.rename(spark, f"{src}/{name}", dst)
-        landed.append(dst)
-    return landed
+    if files.exists(spark, src):
+        files.rename(spark, src, f"{landing_dir.rstrip('/')}/{family}_{lote}.csv")

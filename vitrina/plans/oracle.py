@@ -552,6 +552,8 @@ FINAL["ingest_multi_pattern"] = (
 FINAL["ingest_header_order"] = FINAL["ingest_multi_pattern"].replace(
     "CASE _lote WHEN 0", "CASE WHEN _lote = 1 THEN 'c' || id_venta END AS canal, CASE _lote WHEN 0")
 FINAL["audit_columns"] = "SELECT id_cliente, _lote, true AS has_src_file, true AS has_created_at FROM clientes_raw"
+FINAL["ingest_routed"] = FINAL["ingest_stream_raw"]
+FINAL["gold_job"] = FINAL["fact_ventas"]
 FINAL["scd1_ventas_stream"] = "SELECT * FROM silver_ventas"
 FINAL["scd1_clientes_stream"] = "SELECT * FROM silver_clientes"
 FINAL["scd1_devoluciones_stream"] = "SELECT * FROM silver_devoluciones"

@@ -16,7 +16,7 @@ from vitrina.plans.landing import land_staged, stage_feed
 from vitrina.plans.testfeeds import AS_OF, raw_feed
 from vitrina.session import work_dir
 from vitrina.sources.feeds import FEED_SCHEMAS
-from vitrina.sources.routing import file_mapping, list_files, route_files
+from vitrina.sources.routing import file_mapping, list_files, read_routed, route_files
 from vitrina.streaming.change_table import read_batches
 from vitrina.streaming.flows import read_target, upsert_stream
 from vitrina.streaming.ingest import ingest_to_bronze, read_bronze
@@ -60,7 +60,7 @@ class Landing:
 
 
 def _lote_from_file(feed: str):
-    return F.regexp_extract("_src_file", r"_(\d+)_\d+\.csv$", 1).cast("int").alias("_lote")
+    return F.regexp_extract("_src_file", r"_(\d+)\.csv/[^/]+$", 1).cast("int").alias("_lote")
 
 
 def _ingested(spark, sf_dir, feed, rounds) -> DataFrame:
@@ -94,7 +94,7 @@ def q_ingest_multi_pattern(spark, sf_dir):
     z.ingest("ventas")
     b = read_bronze(spark, z.bronze("ventas"))
     return b.select(*feed_columns("ventas"),
-                    F.regexp_extract("_src_file", r"/([a-z_]+)_\d+_\d+\.csv$", 1).alias("familia"))
+                    F.regexp_extract("_src_file", r"/([a-z_]+)_\d+\.csv/[^/]+$", 1).alias("familia"))
 
 
 # Column orders of the sales families in ``ingest_header_order``.
@@ -113,7 +113,7 @@ def q_ingest_header_order(spark, sf_dir):
     z.ingest("ventas")
     b = read_bronze(spark, z.bronze("ventas"))
     return b.select(*feed_columns("ventas"), F.col("_extra")["canal"].alias("canal"),
-                    F.regexp_extract("_src_file", r"/([a-z_]+)_\d+_\d+\.csv$", 1).alias("familia"))
+                    F.regexp_extract("_src_file", r"/([a-z_]+)_\d+\.csv/[^/]+$", 1).alias("familia"))
 
 
 def q_audit_columns(spark, sf_dir):
@@ -211,11 +211,33 @@ def q_route_files(spark, sf_dir):
         z.land(sf_dir, feed, sorted(_families(feed)))
     routed = route_files(list_files(spark, f"{z.landing}/*.csv"), file_mapping(spark, as_of=AS_OF))
     return routed.select(
-        F.regexp_extract("file_name", r"^([a-z_]+)_\d+_\d+\.csv$", 1).alias("familia"),
-        F.regexp_extract("file_name", r"_(\d+)_\d+\.csv$", 1).cast("int").alias("_lote"),
+        F.regexp_extract("file_name", r"^([a-z_]+)_\d+\.csv$", 1).alias("familia"),
+        F.regexp_extract("file_name", r"_(\d+)\.csv$", 1).cast("int").alias("_lote"),
         "target_table", "file_format", "has_header", "delimiter").distinct()
 
 
+def q_ingest_routed(spark, sf_dir):
+    """S10-S12 drive S2: the files of two feeds land in one folder, the mapping
+    table says which target each belongs to and how to read it."""
+    z = Landing(spark, "ingest-routed")
+    for feed in ("devoluciones", "clientes"):
+        z.land(sf_dir, feed, [0, 1])
+    listing = list_files(spark, f"{z.landing}/*.csv")
+    tables = read_routed(spark, route_files(listing, file_mapping(spark, as_of=AS_OF)), z.landing)
+    return tables["bronze.devoluciones_raw"].select(*feed_columns("devoluciones"), _lote_from_file("devoluciones"))
+
+
+def q_gold_job(spark, sf_dir):
+    """The scheduled job from landed files to the published fact."""
+    from vitrina.plans import jobs
+
+    z = Landing(spark, "gold-job")
+    for feed in jobs.FEEDS:
+        z.land(sf_dir, feed, sorted(_families(feed)))
+    out = jobs.run(spark, z.landing, f"{z.root}/out", AS_OF)
+    return spark.read.parquet(out["gold"]["fact_ventas"])
+
+
 STREAM_QUERIES = {
     "ingest_stream_clientes": q_ingest_stream_clientes,
     "ingest_stream_raw": q_ingest_stream_raw,
@@ -225,6 +247,8 @@ STREAM_QUERIES = {
     "scd1_ventas_stream": q_scd1_ventas_stream,
     "ingestion_log": q_ingestion_log,
     "route_files": q_route_files,
+    "ingest_routed": q_ingest_routed,
+    "gold_job": q_gold_job,
     "scd1_clientes_stream": q_scd1_clientes_stream,
     "clientes_cuarentena_stream": q_clientes_cuarentena_stream,
     "scd1_devoluciones_stream": q_scd1_devoluciones_stream,

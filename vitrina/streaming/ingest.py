@@ -30,16 +30,22 @@ def ingest_to_bronze(spark: SparkSession, landing_dir: str, feed: str, bronze_di
     return {"batches": int((q.lastProgress or {}).get("batchId", -1)) + 1}
 
 
-def read_bronze(spark: SparkSession, bronze_dir: str) -> DataFrame:
-    """Batch read of an append table (only committed files, via the sink log)."""
-    return spark.read.parquet(bronze_dir)
+def is_path(table: str) -> bool:
+    """A table is named by its folder, or by its name in the catalog."""
+    return "/" in table
 
 
-def read_bronze_stream(spark: SparkSession, bronze_dir: str,
+def read_bronze(spark: SparkSession, table: str) -> DataFrame:
+    """Batch read of an append table, by folder (only committed files, via
+    the sink log) or by table name."""
+    return spark.read.parquet(table) if is_path(table) else spark.read.table(table)
+
+
+def read_bronze_stream(spark: SparkSession, table: str,
                        max_files_per_trigger: int | None = None) -> DataFrame:
-    """Incremental read of an append table (committed files only)."""
-    schema = spark.read.parquet(bronze_dir).schema
-    reader = spark.readStream.schema(schema)
+    """Incremental read of an append table, by folder (committed files
+    only) or by table name."""
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(bronze_dir)
+    return reader.schema(read_bronze(spark, table).schema).parquet(table) if is_path(table) else reader.table(table)
