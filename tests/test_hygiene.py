@@ -29,3 +29,22 @@ def test_collects_are_bounded():
     for name, text in _sources():
         n = len(re.findall(r"\.collect\(\)", text))
         assert n <= ALLOWED_COLLECTS.get(name, 0), (name, n)
+
+
+def test_nothing_imports_the_optional_part():
+    for name, text in _sources():
+        assert "vitrina.llm" not in text and "corpus_pipeline" not in text, name
+
+
+def test_entry_works_without_the_optional_part(monkeypatch):
+    import sys
+
+    import __spark_entry__ as entry
+
+    for name in [m for m in sys.modules if m.startswith("vitrina.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "vitrina.llm", None)
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    names = set(entry.queries())
+    assert "fact_ventas" in names and "pipeline" not in names
+    assert not any(re.match(r"op\d+_", n) for n in {*names, *entry.oracle_sql()})
