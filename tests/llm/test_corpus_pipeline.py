@@ -64,3 +64,13 @@ def test_stages_take_odd_rows(spark, make_docs, odd_rows, tmp_path):
             docs = spark.read.schema(out.schema).parquet(f"file://{tmp_path}/{i}-{name}")
             if not some:
                 assert docs.count() == 0
+
+
+def test_all_queries_are_registered():
+    import __spark_entry__ as entry
+
+    names, sql = set(entry.queries()), set(entry.oracle_sql())
+    assert "pipeline" in names
+    for n in range(1, 11):
+        assert sum(name.startswith(f"op{n}_") for name in names) == 1
+    assert {n for n in sql if n.startswith("op")} == {"op2_exact_topk", "op3_line_dedup", "op4_substring_dedup", "op5_decontaminate", "op8_url_filter"}
