@@ -74,7 +74,9 @@ def ventas_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_shipdate")
     od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    j = li.join(od, li.l_orderkey == od.o_orderkey)
+    # both sides grow with the business: the plan of a large input at every size,
+    # and the rows' parsing is spread by the join's shuffle
+    j = li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey)
     k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     q = F.col("l_quantity").cast("int")
     m = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
