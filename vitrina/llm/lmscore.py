@@ -34,7 +34,7 @@ from .common import blocks_for, text_hash, written
 
 ORDER = 5
 ALPHA = 0.4
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 PART_BYTES = 2 << 20
 
 
