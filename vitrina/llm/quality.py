@@ -114,7 +114,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, **how) ->
     for value in (0, 1):
         part = usable.where(F.col("quality") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
         sample = part if sample is None else sample.unionByName(part)
-    rows = features(docs.join(sample.select("doc_id").distinct(), "doc_id", "left_semi")).join(sample, "doc_id")
+    # at most 2 * max_rows ids: the texts are not moved to find the sample
+    rows = features(docs.join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")).join(F.broadcast(sample), "doc_id")
     # rows of one doc_id can repeat; the bound holds for what reaches the driver as well
     got = rows.select("x", "quality").limit(4 * max_rows).collect()
     if not got:
