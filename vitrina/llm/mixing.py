@@ -134,7 +134,9 @@ class Mix:
 
     def slots(self) -> DataFrame:
         """(skey, shard, slot, block, words): which block each slot holds, and
-        how many of its words."""
+        how many of its words. Made from the few rows of ``targets``, so the
+        planner takes it for small; it is as large as the mix, and joins of it
+        are sort-merge joins by hint, never broadcasts."""
         b = self.block
         t = self.targets.where("source_size > 0").withColumn("blocks", F.ceil(F.col("source_size") / b))
         t = t.withColumn("passes", F.floor(F.col("target") / F.col("source_size"))).withColumn(
@@ -167,7 +169,7 @@ class Mix:
         placed = written(self.placed(), "placed")
         uses = self.slots().groupBy("skey", "block", "words").agg(F.count("*").alias("times"))
         # a block used whole and cut has two rows
-        got = self.pieces(placed, "bucket", "rank").join(uses, ["skey", "block"]).groupBy("skey", "bucket", "rank").agg(
+        got = self.pieces(placed, "bucket", "rank").join(uses.hint("merge"), ["skey", "block"]).groupBy("skey", "bucket", "rank").agg(
             F.sum(F.col("times") * F.greatest(F.lit(0), F.least(F.col("n"), F.col("words") - F.col("at")))).alias("taken"))
         return (placed.join(got, ["skey", "bucket", "rank"], "left").join(self.targets, "skey")
                 .select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
@@ -177,6 +179,6 @@ class Mix:
         text), the parts of documents that fill each slot in order of at."""
         pieces = self.pieces(self.placed("text", "source"), "doc_id", "source", text=True)
         cut = F.least(F.col("n"), F.col("words") - F.col("at"))
-        return (pieces.join(self.slots(), ["skey", "block"]).where("at < words").withColumn("n_words", cut.cast("long"))
+        return (pieces.join(self.slots().hint("merge"), ["skey", "block"]).where("at < words").withColumn("n_words", cut.cast("long"))
                 .select("shard", "slot", "source", "block", "at", "doc_id", "n_words",
                         F.when(F.col("n_words") == F.col("n"), F.col("text")).otherwise(F.expr("substring_index(text, ' ', int(n_words))")).alias("text")))
