@@ -67,5 +67,11 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
 
 
+def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is computed once per row: it comes out of a generator,
+    into which the optimizer neither merges later expressions nor pushes filters."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def blocks_for(rows: int, per_block: int) -> int:
     return max(1, math.ceil(rows / per_block))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ascii_lower, text_hash, written
+from .common import ascii_lower, once, text_hash, written
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # A vocabulary or window table of up to this many rows is sent to all executors;
@@ -105,7 +105,7 @@ class Index:
         keyed = self.docs.select(F.struct(*self.docs.columns).alias("d")).select("d", F.col("d.doc_id").cast("long").alias("doc_id"), text_hash(F.col("d.text")).alias("th"))
         both = keyed.join(places, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("th") == F.col("p_th")), "left")
         # the remaining terms are compared at the places that are left
-        found = both.withColumn("w", words(F.col("d.text"))).withColumn("m", F.filter(
+        found = once(once(both, "w", words(F.col("d.text"))), "m", F.filter(
             "p", lambda p: phrase_id(F.slice("w", p["start"] + 1, p["len"])) == p["wid"]))
         hit = F.array_distinct(F.flatten(F.transform("m", lambda p: F.sequence(p["start"], p["start"] + p["len"] - 1))))
         return found.select("d", "doc_id", "th", F.size("w").cast("long").alias("n_words"),
