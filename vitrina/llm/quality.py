@@ -117,7 +117,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, **how) ->
     # at most 2 * max_rows ids: the texts are not moved to find the sample
     rows = features(docs.join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")).join(F.broadcast(sample), "doc_id")
     # rows of one doc_id can repeat; the bound holds for what reaches the driver as well
-    got = rows.select("x", "quality").limit(4 * max_rows).collect()
+    # sorted, so that the pairs drawn do not depend on the order of arrival
+    got = sorted(rows.select("x", "quality").limit(4 * max_rows).collect(), key=lambda r: (r.quality, r.x))
     if not got:
         return BradleyTerry([0.0] * len(FEATURES), 0.0, 1.0)
     return fit_pairs(np.array([r.x for r in got]), np.array([r.quality for r in got]), **how)
