@@ -122,3 +122,28 @@ def test_quality_odd_rows(make_docs, odd_rows, spark):
     assert {r.score for r in quality.scored(docs, unlearnt).collect()} == {0.5}
     assert quality.scored(make_docs([]), model).count() == 0 and quality.keep_quality(make_docs([]), model).count() == 0
     assert quality.keep_quality(docs, unlearnt).count() == len(odd_rows)
+
+
+def overlapping_rows(seed=4):
+    """Good and bad documents whose strengths overlap, no two texts alike."""
+    rng = np.random.default_rng(seed)
+
+    def text(i, share):
+        return " ".join("spam" if rng.random() < share else f"w{rng.integers(10 ** 6)}" for _ in range(40 + i))
+    return [(i, text(i, rng.uniform(0.05, 0.5))) for i in range(100)], [(100 + i, text(i, rng.uniform(0.25, 0.7))) for i in range(20)]
+
+
+def test_quality_threshold_covers_all_labelled(make_docs, spark):
+    good, bad = overlapping_rows()
+    docs = make_docs(good + bad)
+    labels = spark.createDataFrame([(d, 1) for d, _ in good] + [(d, 0) for d, _ in bad], "doc_id long, quality int")
+    for max_rows in (10_000, 20, 10):  # the bound holds for neither label, for one, for both
+        model = quality.learn(docs, labels, max_rows=max_rows)
+        assert quality.scored(docs, model).where("predicted = 0").count() == len(bad)
+
+
+def test_strength_of_a_rank(spark):
+    values = [0.0, 1e-300, 5.0, 5.0, 5.0, -3.5, 1e9] + [i / 7 for i in range(60)]
+    df = spark.createDataFrame([(v,) for v in values], "s double")
+    for rank in (0, 1, 2, 30, 40, 65, 66):
+        assert quality.ranked(df, rank, bins=4) == sorted(values)[rank]

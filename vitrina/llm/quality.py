@@ -4,16 +4,18 @@ A document's strength is a linear score of features of its text. For a pair of
 labelled documents of which one is preferred (label 1 over label 0), the model
 gives the preference the logistic probability of the difference of their
 strengths; the weights minimise that loss over pairs. The decision is a quantile
-of the strengths: the share of label 0 among the learning rows decides at which
-quantile of their strengths the threshold lies.
+of the strengths: the share of label 0 among all labelled documents decides at
+which quantile of their strengths the threshold lies.
 
-Only features of the text are inputs. The model is fitted on at most
-``max_rows`` labelled documents per label (those with the smallest hash of
-doc_id, so a rerun learns the same); every document is scored.
+Only features of the text are inputs. The weights are fitted on at most
+``max_rows`` labelled documents per label (those with the smallest hash, so a
+rerun learns the same); threshold and scale cover all labelled documents, and
+every document is scored.
 
 Defined results: a null, empty or blank text has the features of an empty text
 and is scored like any other; labels that are null or neither 0 nor 1, and
-labelled ids without a document, teach nothing; repeated rows get equal scores;
+labelled ids without a document, teach nothing; rows with equal doc_id and text
+are one document when learning and get equal scores;
 with no usable pair every score is 0.5. Columns besides doc_id and text are
 ignored.
 """
@@ -29,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_hash, written
+
 FEATURES = ["repeat", "distinct", "symbol", "upper", "digit", "stop", "line_repeat", "size", "word_length",
             "repeat_any", "symbol_any", "upper_any"]
 # bytes, fixed classes
@@ -58,13 +62,14 @@ def text_features(text: bytes | None) -> list[float]:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """(doc_id, x): the feature vector of every document."""
+    """(doc_id, th, x): text hash and feature vector of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = pa.array([text_features(t) for t in b.column("text").to_pylist()], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), x], ["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), x], ["doc_id", "th", "x"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, "doc_id long, x array<double>")
+    return docs.select(F.col("doc_id").cast("long"), text_hash(F.col("text")).alias("th"), F.col("text").cast("binary")).mapInArrow(
+        run, "doc_id long, th long, x array<double>")
 
 
 @dataclass
@@ -75,18 +80,18 @@ class BradleyTerry:
     threshold: float
     scale: float
 
+    def strength(self, x: Column) -> Column:
+        return F.aggregate(F.zip_with(x, F.array(*[F.lit(float(w)) for w in self.weights]), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+
     def score(self, x: Column) -> Column:
-        dot = F.aggregate(F.zip_with(x, F.array(*[F.lit(float(w)) for w in self.weights]), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-        z = (dot - F.lit(self.threshold)) / F.lit(self.scale)
+        z = (self.strength(x) - F.lit(self.threshold)) / F.lit(self.scale)
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
 
 
-def fit_pairs(x: np.ndarray, y: np.ndarray, pairs: int = 40_000, l2: float = 1e-4, steps: int = 60, seed: int = 7) -> BradleyTerry:
+def fit_pairs(x: np.ndarray, y: np.ndarray, pairs: int = 40_000, l2: float = 1e-4, steps: int = 60, seed: int = 7) -> list[float]:
     """Fit the weights by Newton steps on random pairs of preferred and other
-    rows, then the threshold and scale on the rows' strengths."""
+    rows."""
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    if not len(good) or not len(bad):
-        return BradleyTerry([0.0] * x.shape[1], 0.0, 1.0)
     rng = np.random.default_rng(seed)
     d = x[rng.choice(good, pairs)] - x[rng.choice(bad, pairs)]
     w = np.zeros(x.shape[1])
@@ -98,30 +103,53 @@ def fit_pairs(x: np.ndarray, y: np.ndarray, pairs: int = 40_000, l2: float = 1e-
         w -= step
         if np.abs(step).max() < 1e-6:
             break
-    s = np.sort(x @ w)
-    # between the two strengths around the quantile, so that ties fall on one side
-    at = int(round(len(bad) / len(y) * len(s)))
-    at = min(max(at, 1), len(s) - 1)
-    threshold = (s[at - 1] + s[at]) / 2
-    return BradleyTerry(w.tolist(), float(threshold), float(max(1e-6, np.std(s) / 4)))
+    return w.tolist()
+
+
+def ranked(values: DataFrame, rank: int, bins: int = 1024) -> float:
+    """The value of column s with ``rank`` smaller or equal ones before it in
+    sorted order, by histograms that narrow down to one value; at most ``bins``
+    rows reach the driver at a time."""
+    low, high = values.agg(F.min("s"), F.max("s")).first()
+    while low < high:
+        width = (high - low) / bins
+        at = F.least(F.floor((F.col("s") - F.lit(low)) / F.lit(width)), F.lit(bins - 1)) if width > 0 else (F.col("s") > F.lit(low)).cast("long")
+        inside = values.where(F.col("s").between(F.lit(low), F.lit(high)))
+        for r in inside.groupBy(at.alias("bin")).agg(F.count("*").alias("n"), F.min("s").alias("a"), F.max("s").alias("b")).orderBy("bin").collect():
+            if rank < r.n:
+                low, high = r.a, r.b
+                break
+            rank -= r.n
+    return low
+
+
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, th, x, quality): a row per labelled document and label. Vectors are exchanged, no texts."""
+    usable = labels.where("quality in (0, 1)").select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).dropDuplicates()
+    return features(docs).join(usable, "doc_id").select("doc_id", "th", "x", "quality")
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, **how) -> BradleyTerry:
-    """Fit on the labelled documents given; at most ``max_rows`` of each label
-    reach the driver, as feature vectors."""
-    usable = labels.where("quality in (0, 1)").select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).dropDuplicates()
-    sample = None
-    for value in (0, 1):
-        part = usable.where(F.col("quality") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-        sample = part if sample is None else sample.unionByName(part)
-    # at most 2 * max_rows ids: the texts are not moved to find the sample
-    rows = features(docs.join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")).join(F.broadcast(sample), "doc_id")
-    # rows of one doc_id can repeat; the bound holds for what reaches the driver as well
-    # sorted, so that the pairs drawn do not depend on the order of arrival
-    got = sorted(rows.select("x", "quality").limit(4 * max_rows).collect(), key=lambda r: (r.quality, r.x))
-    if not got:
+    """Fit the weights on at most ``max_rows`` documents of each label, which
+    reach the driver as feature vectors; set the threshold by all of them."""
+    rows = written(labelled(docs, labels), "labelled")
+    n = {r.quality: r.n for r in rows.groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    if len(n) < 2:
         return BradleyTerry([0.0] * len(FEATURES), 0.0, 1.0)
-    return fit_pairs(np.array([r.x for r in got]), np.array([r.quality for r in got]), **how)
+    got = []
+    for value in (0, 1):
+        got += rows.where(F.col("quality") == value).orderBy(F.xxhash64("doc_id", "th"), "doc_id", "th").limit(max_rows).select("x", "quality").collect()
+    # sorted, so that the pairs drawn do not depend on the partitions
+    got.sort(key=lambda r: (r.quality, r.x))
+    model = BradleyTerry(fit_pairs(np.array([r.x for r in got]), np.array([r.quality for r in got]), **how), 0.0, 1.0)
+    strengths = written(rows.select(model.strength(F.col("x")).alias("s")), "strengths")
+    # between the two strengths around the quantile, so that ties fall on one side
+    below = ranked(strengths, n[0] - 1)
+    r = strengths.agg(F.count(F.when(F.col("s") <= below, 1)).alias("n"), F.min(F.when(F.col("s") > below, F.col("s"))).alias("next"),
+                      F.stddev_pop("s").alias("std")).first()
+    above = below if r.n > n[0] else r.next
+    # rounded, as the last digits of the deviation depend on the order of rows
+    return BradleyTerry(model.weights, float((below + above) / 2), float(f"{max(1e-6, r.std / 4):.6g}"))
 
 
 def held_out(doc_id: Column) -> Column:
