@@ -147,3 +147,11 @@ def test_strength_of_a_rank(spark):
     df = spark.createDataFrame([(v,) for v in values], "s double")
     for rank in (0, 1, 2, 30, 40, 65, 66):
         assert quality.ranked(df, rank, bins=4) == sorted(values)[rank]
+
+
+def test_quality_repeated_rows_are_one_document(make_docs, spark):
+    good, bad = overlapping_rows()
+    labels = spark.createDataFrame([(d, 1) for d, _ in good] + [(d, 0) for d, _ in bad], "doc_id long, quality int")
+    once = quality.learn(make_docs(good + bad), labels, max_rows=100)
+    assert any(once.weights)
+    assert quality.learn(make_docs(good[:1] * 800 + good + bad), labels, max_rows=100) == once

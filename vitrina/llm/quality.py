@@ -124,9 +124,11 @@ def ranked(values: DataFrame, rank: int, bins: int = 1024) -> float:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, th, x, quality): a row per labelled document and label. Vectors are exchanged, no texts."""
+    """(doc_id, th, x, quality): a row per labelled document, however often its
+    row repeats, and label. Vectors are exchanged, no texts."""
     usable = labels.where("quality in (0, 1)").select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).dropDuplicates()
-    return features(docs).join(usable, "doc_id").select("doc_id", "th", "x", "quality")
+    single = features(docs).groupBy("doc_id", "th").agg(F.first("x").alias("x"))
+    return single.join(usable, "doc_id").select("doc_id", "th", "x", "quality")
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, **how) -> BradleyTerry:
