@@ -286,3 +286,20 @@ def test_license_odd_rows(make_docs, odd_rows, license_model):
     assert licenses.train(make_docs([])).threshold >= 0.5
 
 
+
+
+def families(found):
+    return sorted((r.paragraph, r.family) for r in found.collect())
+
+
+def test_short_templates_are_compared_by_words(make_docs, license_model):
+    text = "Copyright (c) 2021 the authors. SPDX-License-Identifier: MIT"
+    got = licenses.scan(make_docs([(1, text)]), license_model).collect()
+    assert [(r.family, r.similarity, r.text) for r in got] == [("MIT", 1.0, text)]
+    either = licenses.scan(make_docs([(1, "# SPDX-License-Identifier: MIT OR Apache-2.0")]), license_model).collect()
+    assert len(either) == 1 and either[0].family in ("MIT", "Apache-2.0")
+
+
+def test_license_without_template_is_reported(make_docs, license_model):
+    got = licenses.scan(make_docs([(1, "The river is new.\nDistributed under the Boost Software License")]), license_model)
+    assert families(got) == [(1, "unknown")]
