@@ -303,3 +303,19 @@ def test_short_templates_are_compared_by_words(make_docs, license_model):
 def test_license_without_template_is_reported(make_docs, license_model):
     got = licenses.scan(make_docs([(1, "The river is new.\nDistributed under the Boost Software License")]), license_model)
     assert families(got) == [(1, "unknown")]
+
+
+def test_wrapped_notices(make_docs, license_model):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files, to deal in the\nSoftware without restriction."
+    gpl = " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License, either version 3\n * of the License, or any later version."
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met."
+    isc = "Permission to use, copy,\nmodify, and distribute\nthis software for any\npurpose with or without\nfee is hereby granted."
+    short = "Released under\nthe MIT License."
+    for text, family in ((mit, "MIT"), (gpl, "GPL-3.0"), (bsd, "BSD-3-Clause"), (isc, "ISC"), (short, "MIT")):
+        got = licenses.scan(make_docs([(1, f"The house is new.\n\n{text}\n\nThe river is free.")]), license_model).collect()
+        assert [(r.paragraph, r.family, r.text) for r in got] == [(2, family, text)]
+    # a blank line separates; two notices and a repeated row are reported each
+    apart = licenses.scan(make_docs([(1, short.replace("\n", "\n\n"))]), license_model).collect()
+    assert not any(r.similarity == 1.0 for r in apart)
+    both = licenses.scan(make_docs([(1, f"{mit}\n{gpl}")] * 2), license_model)
+    assert families(both) == [(0, "MIT")] * 2 + [(3, "GPL-3.0")] * 2
