@@ -213,6 +213,15 @@ def test_lm_odd_rows(make_docs, odd_rows):
         lmscore.lm_scores(make_docs([]), order=8)
 
 
+def test_lm_repeated_rows_spread(make_docs, monkeypatch):
+    most = []
+    monkeypatch.setattr(lmscore, "written", lambda df, name, f=lmscore.written: (most.append(f(df, name)), most[-1])[1])
+    got = lmscore.lm_scores(make_docs([(1, "one text " * 20)] * 200 + [(None, "other")]), block_bytes=1800).collect()
+    assert len(got) == 201 and len({(r.doc_id, r.log2_prob) for r in got}) == 2
+    sizes = [r["count"] for r in most[0].groupBy("block").count().collect()]
+    assert most[0].columns == ["doc_id", "text", "half", "block"] and max(sizes) <= 40
+
+
 # --- url filters
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "com", "/en/x")]

@@ -11,7 +11,8 @@ Every document is counted, and no document supports itself: texts are dealt
 into two halves by hash, equal texts into one, and a text is scored with the
 counts of the other half.
 
-Plan: documents are dealt into blocks of bounded text by hash. Per block the
+Plan: rows are dealt into blocks of bounded text by the hash of a row number, so
+that repeats of one document spread too, and are written with their block. Per block the
 distinct n-grams are listed with their counts; the lists are summed into count
 tables partitioned by n-gram; scores follow from joins of each order with its
 contexts and with the next lower order; the blocks' lists are joined to the
@@ -103,9 +104,11 @@ def _summed(order: int):
             for k, (codes, s) in tables.items():
                 at = np.flatnonzero(length == k)
                 value[at] = s[np.searchsorted(codes, code[at]), half[at]]
-            total = np.concatenate(([0.0], np.cumsum(value)))
-            ends = np.cumsum(size)
-            out.append(pd.DataFrame({"doc_id": rows["doc_id"].iloc[a:b], "n_bytes": size, "log2_prob": total[ends] - total[ends - size]}))
+            # each text by itself, so that its sum does not depend on its block
+            total = np.zeros(len(size))
+            if len(value):
+                total[size > 0] = np.add.reduceat(value, (np.cumsum(size) - size)[size > 0])
+            out.append(pd.DataFrame({"doc_id": rows["doc_id"].iloc[a:b], "n_bytes": size, "log2_prob": total}))
         return pd.concat(out) if out else pd.DataFrame({"doc_id": [], "n_bytes": [], "log2_prob": []})
     return run
 
@@ -135,8 +138,9 @@ def lm_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, block_b
     text = F.col("text").cast("binary")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     th = text_hash(F.col("text"))
-    rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.pmod(F.xxhash64(th, F.lit("half")), F.lit(2)).cast("int").alias("half"),
-                       F.pmod(F.xxhash64(th, "doc_id"), F.lit(blocks_for(size, block_bytes))).cast("int").alias("block"))
+    # written once: both passes have to see the same blocks
+    rows = written(docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.pmod(F.xxhash64(th, F.lit("half")), F.lit(2)).cast("int").alias("half"),
+                               F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks_for(size, block_bytes))).cast("int").alias("block")), "lm-rows")
     lists = written(rows.groupBy("block").applyInPandas(_counted(order), "block int, k int, code long, half int, n long"), "block-grams")
     counts = written(lists.groupBy("k", "code").agg(
         F.sum(F.when(F.col("half") == 0, F.col("n")).otherwise(0)).alias("n0"), F.sum(F.when(F.col("half") == 1, F.col("n")).otherwise(0)).alias("n1")), "counts")
