@@ -95,3 +95,37 @@ f AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM p LEFT JOIN f ON p.r = f.r AND k = 1
 """
+
+ORACLE_SQL["op11_prefix_trie"] = r"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, (xor(list_reduce(
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda a, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END, xor(a, b)),
+    CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, 0 AS half, t.pos, role, text FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY half, pos) AS depth FROM r),
+path AS (
+  SELECT conv_id, depth, strlen(text) AS bytes,
+    string_agg(sha256(strlen(role) || ':' || role || text), '' ORDER BY depth) OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING) AS node
+  FROM p
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+n AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM path GROUP BY node, depth),
+up AS (SELECT n.*, parent.conv_id AS parent_conv_id, parent.node AS parent FROM n LEFT JOIN n parent ON parent.depth = n.depth - 1 AND parent.node = left(n.node, 64 * (CAST(n.depth AS INTEGER) - 1)) AND n.depth > 0),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM up WHERE parent IS NOT NULL GROUP BY parent),
+below AS (
+  SELECT a.node, sum(CASE WHEN kids.node IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((d.n_convs - 1) * d.bytes) AS saved_tokens
+  FROM n d JOIN path a ON a.conv_id = d.conv_id AND a.depth <= d.depth LEFT JOIN kids ON kids.node = d.node GROUP BY a.node),
+ends AS (
+  SELECT node, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, arg_max(node, depth) AS node FROM path GROUP BY conv_id) GROUP BY node)
+SELECT up.conv_id, CAST(up.depth AS BIGINT) AS depth, up.parent_conv_id, up.n_convs, CAST(coalesce(n_children, 0) AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM up JOIN below USING (node) LEFT JOIN kids USING (node) LEFT JOIN ends USING (node)
+"""

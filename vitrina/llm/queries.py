@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, linededup, lmscore, mixing, quality, simhash, substring, topk, urlfilter
+from . import convtrie, decontaminate, licenses, linededup, lmscore, mixing, quality, simhash, substring, topk, urlfilter
 from .common import table
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -58,5 +58,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convtrie.prefix_trie(table(spark, sf_dir, "conversations"), rebuilt=True)
+
+
 QUERIES = {q.__name__: q for q in (op1_mix_sources, op2_exact_topk, op3_line_dedup, op4_substring_dedup, op5_decontaminate, op6_simhash,
-                                op7_lm_score, op8_url_filter, op9_license_scan, op10_quality)}
+                                op7_lm_score, op8_url_filter, op9_license_scan, op10_quality, op11_prefix_trie)}
