@@ -129,3 +129,37 @@ SELECT up.conv_id, CAST(up.depth AS BIGINT) AS depth, up.parent_conv_id, up.n_co
        CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
 FROM up JOIN below USING (node) LEFT JOIN kids USING (node) LEFT JOIN ends USING (node)
 """
+
+ORACLE_SQL["op13_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN coalesce(min(d.doc_id) OVER (PARTITION BY text) < d.doc_id, false) THEN 16 ELSE 0 END AS mask
+  FROM d LEFT JOIN l ON l.doc_id = d.doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS g, sum(toxic) AS t FROM m GROUP BY part, mask),
+f(f, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (
+  SELECT [v.f, w.f, x.f, y.f, z.f] AS fs, [v.b, w.b, x.b, y.b, z.b] AS bs FROM f v, f w, f x, f y, f z
+  WHERE v.b + w.b + x.b + y.b + z.b = 31 AND v.b | w.b | x.b | y.b | z.b = 31),
+s AS (
+  SELECT array_to_string(fs, '') AS filter_order, step, bs[step] AS bit, coalesce(list_sum(bs[1:step - 1]), 0) AS before
+  FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+r AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (bit | before) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN g ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN t ELSE 0 END) AS toxic_lost
+  FROM c, (SELECT filter_order, step, CAST(bit AS BIGINT) AS bit, CAST(before AS BIGINT) AS before FROM s) GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+"""

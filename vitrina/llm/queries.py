@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import convtrie, decontaminate, licenses, linededup, lmscore, mixing, quality, simhash, substring, topk, urlfilter
+from . import convtrie, decontaminate, filteraudit, licenses, linededup, lmscore, mixing, pii, quality, simhash, substring, topk, urlfilter
 from .common import table
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -62,5 +62,14 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convtrie.prefix_trie(table(spark, sf_dir, "conversations"), rebuilt=True)
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find_pii(table(spark, sf_dir, "documents")))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
 QUERIES = {q.__name__: q for q in (op1_mix_sources, op2_exact_topk, op3_line_dedup, op4_substring_dedup, op5_decontaminate, op6_simhash,
-                                op7_lm_score, op8_url_filter, op9_license_scan, op10_quality, op11_prefix_trie)}
+                                op7_lm_score, op8_url_filter, op9_license_scan, op10_quality, op11_prefix_trie, op12_pii,
+                                op13_filter_audit)}
