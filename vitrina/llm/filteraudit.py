@@ -51,6 +51,7 @@ BATCH_BYTES_PER_CORE = 32 << 20
 
 COUNTER = ["part", "mask", "good", "toxic"]
 MOVES = "part string, mask int, good boolean, toxic boolean, n long"
+TEXTS = "text_key binary, part string, mask int, good boolean, toxic boolean, doc_id long, n_first long, n long"
 STATE = "doc_id long, part array<string>, good array<boolean>, toxic array<boolean>, n array<long>"
 
 
@@ -159,18 +160,18 @@ class Audit:
     def advance(self) -> None:
         """Count all files that have come since the last call."""
         s = self.session
+        # the folders are there even if no file comes
+        for name, ddl in (("counts", MOVES), ("texts", TEXTS), ("moves", MOVES)):
+            self._write(s.createDataFrame([], ddl), name, 0)
         label_marks(self.labels).write.mode("overwrite").parquet(f"{self.root}/labels")
-        reader = s.readStream.schema(s.read.parquet(self.documents).select("doc_id", "text", "lang").schema)
-        if self.files_per_batch:
-            reader = reader.option("maxFilesPerTrigger", str(self.files_per_batch))
-        else:
-            reader = reader.option("maxBytesPerTrigger", str(BATCH_BYTES_PER_CORE * s.sparkContext.defaultParallelism))
+        size = ("maxFilesPerTrigger", self.files_per_batch) if self.files_per_batch else (
+            "maxBytesPerTrigger", BATCH_BYTES_PER_CORE * s.sparkContext.defaultParallelism)
+        reader = s.readStream.schema(s.read.parquet(self.documents).select("doc_id", "text", "lang").schema).option(*map(str, size))
         # as a glob the path may also name a single file
         folder, _, name = self.documents.rstrip("/").rpartition("/")
         (reader.parquet(f"{folder}/{{{name}}}").writeStream.foreachBatch(self._masks)
          .option("checkpointLocation", f"{self.root}/_masks").trigger(availableNow=True).start().awaitTermination())
-        texts = "text_key binary, part string, mask int, good boolean, toxic boolean, doc_id long, n_first long, n long"
-        keyed = s.readStream.schema(texts).option("recursiveFileLookup", "true").parquet(f"{self.root}/texts").groupBy("text_key").applyInPandasWithState(
+        keyed = s.readStream.schema(TEXTS).option("recursiveFileLookup", "true").option(*map(str, size)).parquet(f"{self.root}/texts").groupBy("text_key").applyInPandasWithState(
             _keyed, MOVES, STATE, "append", "NoTimeout")
         (keyed.writeStream.foreachBatch(lambda df, i: self._write(df.groupBy(*COUNTER).agg(F.sum("n").alias("n")), "moves", i))
          .outputMode("append").option("checkpointLocation", f"{self.root}/_minima").trigger(availableNow=True).start().awaitTermination())

@@ -57,7 +57,7 @@ LOOSE = {
 NEEDS = {"email": r"@|[(\[{]at[)\]}]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"[+(0-9]"}
 
 SHAPE = {
-    "email": r"^[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}$",
+    "email": r"^[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?@(?:(?!-)[A-Za-z0-9-]++(?<!-)\.)++[A-Za-z]{2,24}$",
     "ip": r"^(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}$",
     "card": r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})$",
     "phone": r"^\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}$",
@@ -276,7 +276,10 @@ def report(found: DataFrame) -> DataFrame:
     def listed(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x.kind, x.start.cast("string"), x.end.cast("string"))), ",")
 
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda x: x.base & (x.kind == kind))).cast("long")
+
     base = F.filter("spans", lambda x: x.base)
     return found.select(
-        "doc_id", *[F.size(F.filter("spans", lambda x, k=k: x.base & (x.kind == k))).cast("long").alias(f"n_{k}") for k in KINDS],
+        "doc_id", *[number(k).alias(f"n_{k}") for k in KINDS],
         F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
