@@ -20,9 +20,12 @@ micro-batches:
    retracted in the same way.
 
 The counters are the sum of all moves. Each micro-batch writes its own partition, which a
-retry overwrites, and state lives in the query's checkpoint in the shared folder, in
-RocksDB instances that keep it off the heap. ``Audit.advance`` takes whatever files are new
-since the last call; ``Audit.report`` reads the counters.
+retry overwrites, and state lives in the query's checkpoint in the shared folder, in the
+session's state store (on a cluster whose executors' memory is small beside some 200 bytes
+a text, set ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider). The
+number of state partitions follows the size of the files at the first call.
+``Audit.advance`` takes whatever files are new since the last call; ``Audit.report`` reads
+the counters.
 
 Defined results: a null text is empty, an empty text has no words (fails A alone of A to D);
 a null lang is the part ''. A null doc_id is neither smaller nor larger than any other, so
@@ -48,6 +51,8 @@ E_BIT = 16
 FEW_WORDS = 200
 # Bytes of files in a micro-batch, per core of the cluster.
 BATCH_BYTES_PER_CORE = 32 << 20
+# Bytes of files behind one partition of the state, beyond one partition per core.
+BYTES_PER_STATE = 1 << 30
 
 COUNTER = ["part", "mask", "good", "toxic"]
 MOVES = "part string, mask int, good boolean, toxic boolean, n long"
@@ -142,7 +147,6 @@ class Audit:
         self.root = (root or f"{shared_folder(spark)}/vitrina-llm/filter-audit-{uuid.uuid4().hex[:12]}").rstrip("/")
         # a session of its own: its settings reach no other query
         self.session = spark.newSession()
-        self.session.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
     def _write(self, df: DataFrame, name: str, batch: int) -> None:
         (df.withColumn("batch", F.lit(batch).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -164,9 +168,12 @@ class Audit:
         for name, ddl in (("counts", MOVES), ("texts", TEXTS), ("moves", MOVES)):
             self._write(s.createDataFrame([], ddl), name, 0)
         label_marks(self.labels).write.mode("overwrite").parquet(f"{self.root}/labels")
+        files = s.read.parquet(self.documents)
+        total = files.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0] or 0
+        s.conf.set("spark.sql.shuffle.partitions", str(max(s.sparkContext.defaultParallelism, total // BYTES_PER_STATE)))
         size = ("maxFilesPerTrigger", self.files_per_batch) if self.files_per_batch else (
             "maxBytesPerTrigger", BATCH_BYTES_PER_CORE * s.sparkContext.defaultParallelism)
-        reader = s.readStream.schema(s.read.parquet(self.documents).select("doc_id", "text", "lang").schema).option(*map(str, size))
+        reader = s.readStream.schema(files.select("doc_id", "text", "lang").schema).option(*map(str, size))
         # as a glob the path may also name a single file
         folder, _, name = self.documents.rstrip("/").rpartition("/")
         (reader.parquet(f"{folder}/{{{name}}}").writeStream.foreachBatch(self._masks)
