@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.functions.temporal import as_of_timestamp, calendar_columns
-from vitrina.operators.scd import scd1_latest
+from vitrina.operators.scd import key_not_null, scd1_latest
 
 # Fixed values that must equal the reference's: dimension columns, keys
 # and sequence columns.
@@ -91,6 +91,20 @@ def dim_tiempo(silver_ventas: DataFrame, as_of=None) -> DataFrame:
                          as_of_timestamp(as_of).alias("creation_date"))
 
 
+def dim_tiempo_loads(clean: DataFrame, keys: Sequence[str], sequence_by: str, load: Column, as_of=None) -> DataFrame:
+    """``dim_flow("tiempo", ...)`` of two loads from one pass over the cleaned sales: the
+    dates of the current sales after the first load (rows where ``load`` holds) and after both.
+    One aggregate per sale key, partial on every task, finds the newest row of each; its order
+    is that of ``scd1_latest``."""
+    # what marks the load is last: it decides only between rows that are otherwise equal
+    rest = [c for c in clean.columns if c not in {*keys, sequence_by}]
+    newest = F.struct(sequence_by, *rest)
+    both = clean.where(key_not_null(keys)).groupBy(*keys).agg(
+        F.max(newest).alias("now"), F.max(F.when(load, newest)).alias("first"))
+    dates = both.select(F.explode(F.array("now.fecha_venta", "first.fecha_venta")).alias("fecha_venta"))
+    return dim_tiempo(dates, as_of)
+
+
 def distinct_keys(dim: DataFrame, key: str) -> DataFrame:
     """The distinct keys of a dimension."""
     return dim.select(key).distinct()

@@ -7,6 +7,8 @@ reproducible.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,9 +61,10 @@ def tiendas_rules() -> list[Expectation]:
 # Each transform is two stacked projections: the first parses, the second
 # applies range rules to the parsed *column*. A range rule reads its input
 # three times; Spark does not collapse the two projections when that would
-# copy an expensive expression, so every parse runs once per row.
+# copy an expensive expression, so every parse runs once per row. ``keep`` names
+# further columns to carry along, such as the source file.
 
-def transform_ventas(raw: DataFrame, as_of=None) -> DataFrame:
+def transform_ventas(raw: DataFrame, as_of=None, keep: Sequence[str] = ()) -> DataFrame:
     """E1 projection: quantity words, positive int/amount, three-format
     timestamps, sales date range [2000-01-01, as_of], month key."""
     parsed = raw.select(
@@ -69,13 +72,13 @@ def transform_ventas(raw: DataFrame, as_of=None) -> DataFrame:
         positive_int(decode_spelled_number("cantidad")).alias("cantidad"),
         positive_amount("monto").alias("monto"),
         parse_ts_three("fecha_venta").alias("fecha_venta"),
-        parse_ts_three("updated_at").alias("updated_at"),
+        parse_ts_three("updated_at").alias("updated_at"), *keep,
     )
     ranged = parsed.withColumn("fecha_venta", null_outside_ts("fecha_venta", as_of, upper="instant"))
     return ranged.withColumn("anio_mes", month_key("fecha_venta"))
 
 
-def transform_clientes(raw: DataFrame, as_of=None) -> DataFrame:
+def transform_clientes(raw: DataFrame, as_of=None, keep: Sequence[str] = ()) -> DataFrame:
     """E2 projection: title-case names, e-mail normalise/validate,
     multi-format date with range [1900-01-01, today]."""
     parsed = raw.select(
@@ -83,7 +86,7 @@ def transform_clientes(raw: DataFrame, as_of=None) -> DataFrame:
         clean_title("nombre").alias("nombre"),
         normalize_email("email").alias("email"),
         clean_title("ciudad").alias("ciudad"),
-        parse_date_multi("fecha_registro").alias("fecha_registro"),
+        parse_date_multi("fecha_registro").alias("fecha_registro"), *keep,
     )
     return parsed.withColumns({
         "email": F.when(is_valid_email("email"), F.col("email")),
@@ -91,13 +94,13 @@ def transform_clientes(raw: DataFrame, as_of=None) -> DataFrame:
     })
 
 
-def transform_devoluciones(raw: DataFrame, as_of=None) -> DataFrame:
+def transform_devoluciones(raw: DataFrame, as_of=None, keep: Sequence[str] = ()) -> DataFrame:
     """E3 projection: reason scrub + capitalise, multi-format timestamp with
     range [2000-01-01, today 00:00]."""
     parsed = raw.select(
         _long("id_devolucion"), _long("id_venta"),
         scrub_null_tokens("motivo").alias("motivo"),
-        parse_ts_multi("fecha_devolucion").alias("fecha_devolucion"),
+        parse_ts_multi("fecha_devolucion").alias("fecha_devolucion"), *keep,
     )
     return parsed.withColumns({
         "motivo": capitalize_first("motivo"),
@@ -105,25 +108,25 @@ def transform_devoluciones(raw: DataFrame, as_of=None) -> DataFrame:
     })
 
 
-def transform_productos(raw: DataFrame) -> DataFrame:
+def transform_productos(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """E4 projection: title-case name/category, positive price."""
     return raw.select(
         _long("id_producto"),
         clean_title("nombre").alias("nombre"),
         clean_title("categoria").alias("categoria"),
         positive_amount("precio").alias("precio"),
-        F.col("_created_at"),
+        F.col("_created_at"), *keep,
     )
 
 
-def transform_tiendas(raw: DataFrame) -> DataFrame:
+def transform_tiendas(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """E5 projection: title-case name/city, upper-case region."""
     return raw.select(
         _long("id_tienda"),
         clean_title("nombre").alias("nombre"),
         clean_title("ciudad").alias("ciudad"),
         clean_code("region").alias("region"),
-        F.col("_created_at"),
+        F.col("_created_at"), *keep,
     )
 
 

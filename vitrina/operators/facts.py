@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrina.functions.temporal import as_of_timestamp
@@ -85,8 +85,9 @@ def reject_by(ventas: DataFrame, dim: DataFrame, key: str, reason: str, as_of=No
 
 
 def rejects_union(ventas: DataFrame, dims: Mapping[str, DataFrame], as_of=None,
-                  distinct: bool = True) -> DataFrame:
-    """J10, anti-join form (U1 + U2): four anti joins, union, distinct.
+                  distinct: bool = True, unique_on: Sequence[str] | None = None) -> DataFrame:
+    """J10, anti-join form (U1 + U2): four anti joins, union, distinct. If sales are unique
+    on ``unique_on``, two reject rows are equal when that key and the reason are.
 
     Four scans of the sales; kept as the independent check of the
     single-pass form."""
@@ -94,9 +95,76 @@ def rejects_union(ventas: DataFrame, dims: Mapping[str, DataFrame], as_of=None,
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    if unique_on is not None and distinct:
+        return out.dropDuplicates([*(f"{c}_source" if c.startswith("id_") and c != "id_venta" else c for c in unique_on), "reason"])
     return out.distinct() if distinct else out
 
 
+# Customers with more than this share of a bucket's rows are checked beside the buckets.
+HOT_SHARE = 0.5
+
+
+class BucketedSales:
+    """J1/J5 on co-located tables: sales and customers stored in buckets of the customer id, so
+    that the check of each run reads both sides bucket by bucket, without an exchange.
+
+    A bucket can't be split at run time, so customers that alone hold more than
+    ``HOT_SHARE`` of an average bucket (fewer than 2 * buckets of them, whatever the data) are
+    stored apart, spread over files, and checked against a broadcast of just those ids. Sales
+    without a customer are in neither: they can't pass the check."""
+
+    KEY = "id_cliente"
+
+    def __init__(self, spark: SparkSession, root: str, name: str, buckets: int = 64):
+        self.spark, self.root, self.name, self.buckets = spark, root.rstrip("/"), name, buckets
+
+    def _bucketed(self, df: DataFrame, table: str) -> None:
+        # dealt out as the buckets are: one file a bucket
+        (df.repartition(self.buckets, self.KEY).write.mode("overwrite").bucketBy(self.buckets, self.KEY).sortBy(self.KEY)
+         .option("path", f"{self.root}/{table}").format("parquet").saveAsTable(f"{self.name}_{table}"))
+
+    def store_sales(self, ventas: DataFrame) -> None:
+        known = with_fecha(ventas).where(F.col(self.KEY).isNotNull())
+        per_key = known.groupBy(self.KEY).agg(F.count(F.lit(1)).alias("n"))
+        per_key.write.mode("overwrite").parquet(f"{self.root}/per_key")
+        per_key = self.spark.read.schema("id_cliente long, n long").parquet(f"{self.root}/per_key")
+        limit = (per_key.agg(F.sum("n")).first()[0] or 0) * HOT_SHARE / self.buckets
+        hot = per_key.where(F.col("n") > limit).select(self.KEY)
+        hot.write.mode("overwrite").parquet(f"{self.root}/hot_keys")
+        hot = F.broadcast(self._hot())
+        self._bucketed(known.join(hot, self.KEY, "left_anti"), "ventas")
+        known.join(hot, self.KEY, "left_semi").write.mode("overwrite").parquet(f"{self.root}/ventas_hot")
+
+    def _hot(self) -> DataFrame:
+        return self.spark.read.schema("id_cliente long").parquet(f"{self.root}/hot_keys")
+
+    def store_customers(self, dim: DataFrame) -> None:
+        self._bucketed(dim.select(self.KEY).distinct(), "clientes")
+
+    def _sides(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+        sales, customers = (self.spark.read.table(f"{self.name}_{t}") for t in ("ventas", "clientes"))
+        hot = self.spark.read.schema(sales.schema).parquet(f"{self.root}/ventas_hot")
+        # at most the hot keys
+        return sales, customers, hot, F.broadcast(customers.join(F.broadcast(self._hot()), self.KEY, "left_semi"))
+
+    def with_customer(self) -> DataFrame:
+        """Sales whose customer exists."""
+        sales, customers, hot, known_hot = self._sides()
+        return sales.join(customers.hint("merge"), self.KEY, "left_semi").unionByName(hot.join(known_hot, self.KEY, "left_semi"))
+
+    def without_customer(self) -> DataFrame:
+        """Sales whose customer id no customer has."""
+        sales, customers, hot, known_hot = self._sides()
+        return sales.join(customers.hint("merge"), self.KEY, "left_anti").unionByName(hot.join(known_hot, self.KEY, "left_anti"))
+
+    def fact(self, dims: Mapping[str, DataFrame], as_of=None) -> DataFrame:
+        """The fact, its customer check on the buckets."""
+        v = self.with_customer()
+        for name, key in sorted((c for c in REJECT_CHECKS if c[0] != "cliente"), key=lambda c: SMALL_FIRST.index(c[0])):
+            v = semi_join_check(v, dims[name], key)
+        return v.select(*FACT_COLUMNS, as_of_timestamp(as_of).alias("creation_date"))
+
+
 def tag_sales(ventas: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """One scan of the sales with four flags ``ok_<dimension>``.
 

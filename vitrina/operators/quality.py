@@ -16,11 +16,13 @@ import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vitrina.functions.temporal import as_of_date, as_of_timestamp
 from vitrina.functions.text import EMAIL_PATTERN, join_reasons
+from vitrina.sources import files
 
 ACTIONS = ("warn", "drop", "fail")
 
@@ -120,9 +122,35 @@ def expectation_metrics(df: DataFrame, rules: Iterable[Expectation]) -> DataFram
     )
 
 
-def observed_metrics(observation: Observation, rules: Iterable[Expectation]) -> list[dict]:
-    """Turn an Observation filled by ``apply_expectations`` into metric rows."""
-    got = observation.get
+def observe_rules(df: DataFrame, rules: Iterable[Expectation], name: str) -> DataFrame:
+    """Rows and failures of every rule as metrics of a (streaming) plan; no row changes."""
+    return df.observe(name, *_observe_exprs(list(rules)))
+
+
+def guarded_write(df: DataFrame, rules: Sequence[Expectation], path: str) -> tuple[str | None, int]:
+    """Q3 as a transaction: the rows that pass are written to ``path`` only if no fail rule
+    aborts. Returns (name of the rule that aborted, rows committed).
+
+    The rows are written to a draft folder, which becomes ``path`` by one rename."""
+    spark = df.sparkSession
+    draft, seen = f"{path.rstrip('/')}_draft-{uuid.uuid4().hex[:8]}", Observation()
+    try:
+        apply_expectations(df, rules).observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(draft)
+    except PySparkException as e:
+        files.delete(spark, draft)
+        aborted = next((r.name for r in rules if r.action == "fail" and f"expectation '{r.name}' failed" in str(e)), None)
+        if aborted is None:
+            raise  # another error is no verdict of a rule
+        return aborted, 0
+    files.mkdirs(spark, path.rstrip("/").rpartition("/")[0])
+    files.rename(spark, draft, path)
+    return None, int(seen.get["rows"])
+
+
+def observed_metrics(observation: Observation | dict, rules: Iterable[Expectation]) -> list[dict]:
+    """Turn an Observation filled by ``apply_expectations``, or the metrics that a
+    streaming query reported, into metric rows."""
+    got = observation if isinstance(observation, dict) else observation.get
     total = got["__rows"]
     out = []
     for r in rules:

@@ -61,9 +61,3 @@ def scd1_merge(base: DataFrame | None, changes: DataFrame, keys: Sequence[str],
     changes = changes.select(*base.columns) if base is not None else changes
     src = changes if base is None else base.unionByName(changes)
     return scd1_latest(src, keys, sequence_by, tie_breakers)
-
-
-def scd1_stamped(df: DataFrame, keys: Sequence[str], sequence_by: str, load_ts: Column,
-                 tie_breakers: Sequence[str] = ()) -> DataFrame:
-    """``scd1_latest`` plus the declared ``_last_updated_at`` audit column."""
-    return scd1_latest(df, keys, sequence_by, tie_breakers).withColumn("_last_updated_at", load_ts)

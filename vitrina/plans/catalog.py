@@ -25,6 +25,7 @@ from vitrina.operators.schema import align_to_target, enforce_schema
 from vitrina.operators.scd import scd1_latest
 from vitrina.plans import testfeeds as TF
 from vitrina.session import work_dir
+from vitrina.sources import files
 
 AS_OF = TF.AS_OF
 
@@ -333,8 +334,11 @@ def q_dim_producto(spark, sf_dir):
 
 
 def q_dim_tiempo(spark, sf_dir):
-    m = _m(spark, sf_dir)
-    return D.dim_flow("tiempo", [m.first_load("ventas"), m.silver_ventas], AS_OF)
+    """The first load is the rows of the first landing batch; the sales are cleaned once."""
+    keys, seq = E.SILVER_FLOWS["ventas"]
+    marked = E.transform_ventas(_m(spark, sf_dir).raw("ventas"), AS_OF, ("_lote",))
+    clean = Q.apply_expectations(marked, E.ventas_rules())
+    return D.dim_tiempo_loads(clean, keys, seq, F.col("_lote") == 0, AS_OF)
 
 
 def q_distinct_keys(spark, sf_dir):
@@ -354,7 +358,9 @@ def q_fact_join_expr(spark, sf_dir):
 def _reject_query(reason: str, key: str):
     def q(spark, sf_dir):
         m = _m(spark, sf_dir)
-        return FX.reject_by(m.silver_ventas_shared, m.dim(reason), key, reason, AS_OF)
+        # only the date dimension reads the sales a second time
+        ventas = m.silver_ventas_shared if reason == "tiempo" else m.silver_ventas
+        return FX.reject_by(ventas, m.dim(reason), key, reason, AS_OF)
     q.__name__ = f"q_reject_{reason}"
     return q
 
@@ -367,7 +373,32 @@ def q_fact_ventas_rechazadas(spark, sf_dir):
 
 def q_union_rejects(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return FX.rejects_union(m.silver_ventas_shared, m.dims, AS_OF)
+    keys, _ = E.SILVER_FLOWS["ventas"]
+    return FX.rejects_union(m.silver_ventas_shared, m.dims, AS_OF, unique_on=keys)
+
+
+def q_fact_ventas_bucketed(spark, sf_dir):
+    """J1/J9 on bucketed tables: the customer check has no exchange."""
+    m, root = _m(spark, sf_dir), work_dir(spark, "bucketed")
+    tables = FX.BucketedSales(spark, root, "vitrina_" + root.rpartition("-")[2], buckets=16)
+    tables.store_sales(m.silver_ventas)
+    tables.store_customers(m.dim("cliente"))
+    # dates come from all sales, also those without a customer
+    return tables.fact({"tienda": m.dim("tienda"), "producto": m.dim("producto"), "tiempo": m.dim("tiempo")}, AS_OF)
+
+
+def q_expect_fail_evidence(spark, sf_dir):
+    """Q3: guarded writes of whole tables; an aborted one commits nothing."""
+    m, root = _m(spark, sf_dir), work_dir(spark, "guarded")
+    with_id = m.clientes_clean.where("id_cliente is not null")
+    cases = [("ventas_todas", m.ventas_t, Q.ventas_constraints()), ("ventas_limpias", m.ventas_clean, Q.ventas_constraints()),
+             ("clientes_todos", m.clientes_clean, Q.clientes_constraints()), ("clientes_con_id", with_id, Q.clientes_constraints())]
+    rows = []
+    for name, df, rules in cases:
+        rule, committed = Q.guarded_write(df, rules, f"{root}/{name}")
+        stored = spark.read.parquet(f"{root}/{name}").count() if files.exists(spark, f"{root}/{name}") else 0
+        rows.append((name, rule, rule is not None, committed, stored))
+    return spark.createDataFrame(rows, "caso string, regla string, abortada boolean, filas_confirmadas long, filas_guardadas long")
 
 
 # --- schema operators ------------------------------------------------------------
@@ -453,6 +484,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reject_tiempo": _reject_query("tiempo", "fecha"),
     "fact_ventas_rechazadas": q_fact_ventas_rechazadas,
     "union_rejects": q_union_rejects,
+    "fact_ventas_bucketed": q_fact_ventas_bucketed,
+    "expect_fail_evidence": q_expect_fail_evidence,
     "enforce_schema": q_enforce_schema,
     **{f"enforce_schema_{e}": _enforced(e) for e in E.SILVER_DDL},
     **{f"enforce_schema_dim_{d}": _enforced_dim(d) for d in D.GOLD_DDL},

@@ -1,24 +1,25 @@
 """The scheduled job: landing folder -> bronze -> silver -> gold.
 
 ``run(spark, landing_dir, out_dir, as_of)`` is what the reference's one
-pipeline task does, as ordinary Spark jobs:
-
-1. bronze: each feed's new CSV files are appended to ``bronze/<feed>_raw``
-   (file stream, ``availableNow``, exactly-once parquet sink);
-2. silver: each bronze table is read incrementally; every micro-batch is
-   cleaned, checked (metrics to ``auditoria/expectation_metrics``),
-   added to the change table ``silver/<entity>`` and logged
-   to ``auditoria/ingestion_log``; rejected customers are appended to
-   ``silver/clientes_cuarentena``;
-3. gold: each dimension is a keyed change table that every run appends the
-   current silver rows to, so dates and members that silver no longer has
-   stay; the fact table (by month) and the rejected-sales audit come from
-   the silver sales, which the run writes once.
-
-A run writes gold into a folder of its own, ``gold/run=<id>``, and publishes it
-by a marker when all tables are there; readers take the newest published run.
-Every step restarts from its checkpoint, so a failed run can simply be run
-again.
+pipeline task does, as ordinary Spark jobs. Every layer reads only what is new:
+
+1. bronze: one file stream over the landing folder; the stored mapping table
+   ``auditoria/file_mapping`` says which table each file belongs to
+   (``streaming.mapped``);
+2. silver: each bronze table is read incrementally; every micro-batch is cleaned into
+   ``bronze/<entity>_clean``, checked (rule counts to ``auditoria/expectation_metrics``)
+   and added to the change table ``silver/<entity>``, which is compacted when tiers of it
+   are full; rejected customers are appended to ``silver/clientes_cuarentena``;
+3. gold: each dimension is a keyed change table that takes the current rows of the silver
+   keys that changed since its last run; the fact and the rejected sales are stored by
+   month, and a run replaces the months of changed sales and of rejected sales whose
+   dimension member has come since.
+
+All records of a run in ``auditoria/ingestion_log`` share its run id; failures are
+recorded too. What a gold step has consumed is noted after its result is stored. A
+dimension that changed is published as a new snapshot, and a marker names the snapshots
+that belong together; the newest two runs keep theirs. Every step restarts from its
+checkpoint, so a failed run can simply be run again.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vitrina.operators import dims as D
@@ -35,11 +36,19 @@ from vitrina.operators import facts as FX
 from vitrina.operators.schema import enforce_schema
 from vitrina.sources import files
 from vitrina.operators.audit import ingestion_log_row
-from vitrina.streaming.change_table import ChangeTable, overwrite_batch
-from vitrina.streaming.flows import file_bytes, read_target, upsert_stream
-from vitrina.streaming.ingest import ingest_to_bronze, read_bronze
+from vitrina.streaming.change_table import BATCH, FLOW, ChangeTable, overwrite_batch
+from vitrina.streaming.consumption import Consumption
+from vitrina.streaming.flows import NO_COUNTS, read_target, upsert_stream
+from vitrina.streaming.mapped import Loaded, MappedIngest
 
+# The silver flows; a flow whose bronze table has not come yet waits.
 FEEDS = ("clientes", "tiendas", "productos", "ventas", "devoluciones")
+FACTS = ("fact_ventas", "fact_ventas_rechazadas")
+# Month partition of sales without a date.
+NO_MONTH = "sin_fecha"
+MONTH = "anio_mes"
+# Published dimension snapshots that stay.
+KEPT_RUNS = 2
 
 
 def _paths(out_dir: str) -> dict[str, str]:
@@ -53,129 +62,256 @@ def _paths(out_dir: str) -> dict[str, str]:
     }
 
 
-def _totals(spark: SparkSession, table: str) -> tuple[int, int]:
-    """Rows of a bronze table and bytes of the files behind them."""
-    if not files.exists(spark, table):
-        return 0, 0
-    df = read_bronze(spark, table)
-    return df.count(), file_bytes(df)
-
-
 class Log:
-    """The ingestion log: one record per table and step, also of failed ones."""
+    """The ingestion log: one record per table and step, also of failed ones. All records of a
+    run carry its id."""
 
-    def __init__(self, spark: SparkSession, out_dir: str):
+    def __init__(self, spark: SparkSession, out_dir: str, run_id: int | None = None):
         self.spark, self.path = spark, f"{_paths(out_dir)['audit']}/ingestion_log"
-        self.run_id = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1_000_000)
+        self.run_id = run_id or int(dt.datetime.now(dt.timezone.utc).timestamp() * 1_000_000)
+
+    def record(self, table: str, layer: str, rows_in: int, counts: dict, file_bytes: int, start, end, status: str = "SUCCESS", step: int = 0) -> None:
+        rec = ingestion_log_row(self.spark, table=table, layer=layer, rows_in=rows_in, counts={**NO_COUNTS, **counts}, file_bytes=file_bytes, start=start, end=end,
+                                merge_seconds=(end - start).total_seconds(), status=status, job_run_id=self.run_id)
+        overwrite_batch(rec.withColumn("version", F.lit(step).cast("long")), self.path, f"{self.run_id}-{table}", step)
 
     def step(self, table: str, layer: str, work: Callable[[], tuple[int, dict, int]]) -> None:
         """Run ``work``, which returns rows_in, change counts and file bytes,
         and write its record; a failure is recorded and raised again."""
-        start, none = dt.datetime.now().replace(microsecond=0), {"rows_inserted": 0, "rows_updated": 0, "rows_deleted": 0}
-        rows_in, counts, size, status = 0, none, 0, "FAILED"
+        start = dt.datetime.now().replace(microsecond=0)
+        rows_in, counts, size, status = 0, {}, 0, "FAILED"
         try:
-            rows_in, changed, size = work()
-            counts, status = {**none, **changed}, "SUCCESS"
+            rows_in, counts, size = work()
+            status = "SUCCESS"
         finally:
-            end = dt.datetime.now().replace(microsecond=0)
-            rec = ingestion_log_row(self.spark, table=table, layer=layer, rows_in=rows_in, counts=counts, file_bytes=size, start=start, end=end,
-                                    merge_seconds=(end - start).total_seconds(), status=status, job_run_id=self.run_id)
-            overwrite_batch(rec.withColumn("version", F.lit(0).cast("long")), self.path, f"{self.run_id}-{table}", 0)
+            self.record(table, layer, rows_in, counts, size, start, dt.datetime.now().replace(microsecond=0), status)
 
 
 def run_bronze(spark: SparkSession, landing_dir: str, out_dir: str,
-               max_files_per_trigger: int | None = None) -> dict:
-    p, log, done = _paths(out_dir), Log(spark, out_dir), {}
-    for feed in FEEDS:
-        table = f"{p['bronze']}/{feed}_raw"
-
-        def work(feed=feed, table=table):
-            rows, size = _totals(spark, table)
-            done[feed] = ingest_to_bronze(spark, landing_dir, feed, table, f"{p['ckpt']}/bronze_{feed}", max_files_per_trigger)
-            rows_now, size_now = _totals(spark, table)
-            return rows_now - rows, {"rows_inserted": rows_now - rows}, size_now - size
-
-        log.step(f"bronze.{feed}_raw", "bronze", work)
-    return done
-
-
-def run_silver(spark: SparkSession, out_dir: str, as_of=None, max_files_per_trigger: int | None = None) -> dict:
+               max_files_per_trigger: int | None = None, log: Log | None = None) -> list[Loaded]:
+    """Rows, bytes and times are those of the batches that loaded them."""
+    p, log = _paths(out_dir), log or Log(spark, out_dir)
+    ingest = MappedIngest(spark, landing_dir, f"{p['audit']}/file_mapping", p["bronze"], f"{p['ckpt']}/bronze",
+                          **({"max_files": max_files_per_trigger} if max_files_per_trigger else {}))
+    start, failed = dt.datetime.now().replace(microsecond=0), True
+    try:
+        ingest.run()
+        failed = False
+    finally:
+        for x in ingest.loaded:
+            log.record(x.target, "bronze", x.rows + x.rejected, {"rows_inserted": x.rows}, x.file_bytes, x.start, x.end, step=x.batch_id)
+        if failed:
+            log.record("bronze", "bronze", 0, {}, 0, start, dt.datetime.now().replace(microsecond=0), "FAILED")
+    return ingest.loaded
+
+
+def run_silver(spark: SparkSession, out_dir: str, as_of=None, max_files_per_trigger: int | None = None, log: Log | None = None) -> dict:
     """``max_files_per_trigger`` bounds a micro-batch: a backlog is then worked
-    off in several batches."""
-    p = _paths(out_dir)
+    off in several batches. Full tiers of the change tables are compacted."""
+    p, log = _paths(out_dir), log or Log(spark, out_dir)
     done = {}
     for entity in FEEDS:
+        bronze = f"{p['bronze']}/{entity}_raw"
+        if not files.exists(spark, bronze):
+            continue
         done[entity] = upsert_stream(
-            spark, f"{p['bronze']}/{entity}_raw", entity, f"{p['silver']}/{entity}",
+            spark, bronze, entity, f"{p['silver']}/{entity}",
             f"{p['ckpt']}/silver_{entity}", as_of=as_of,
-            log_dir=f"{p['audit']}/ingestion_log",
+            log_dir=log.path,
             metrics_dir=f"{p['audit']}/expectation_metrics",
             quarantine_dir=f"{p['silver']}/clientes_cuarentena" if entity == "clientes" else None,
-            max_files_per_trigger=max_files_per_trigger, declared=E.SILVER_DDL[entity])
+            max_files_per_trigger=max_files_per_trigger, declared=E.SILVER_DDL[entity],
+            clean_dir=f"{p['bronze']}/{entity}_clean", run_id=log.run_id)
+        _silver(spark, out_dir, entity).compact_tiers()
     return done
 
 
+def _silver(spark: SparkSession, out_dir: str, entity: str) -> ChangeTable:
+    return ChangeTable(spark, f"{_paths(out_dir)['silver']}/{entity}", *E.SILVER_FLOWS[entity])
+
+
 def silver_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     p = _paths(out_dir)
     return {e: read_target(spark, f"{p['silver']}/{e}", e) for e in FEEDS}
 
 
+# dimension -> silver table whose rows feed it
+DIM_SOURCE = {"cliente": "clientes", "tienda": "tiendas", "producto": "productos", "tiempo": "ventas"}
+
+
 def _dim_keys(name: str) -> tuple[tuple[str, ...], str]:
     return (("fecha",), "creation_date") if name == "tiempo" else D.DIM_SPECS[name][1:]
 
 
+def _dim_rows(name: str, silver: DataFrame, as_of) -> DataFrame:
+    build = {"cliente": D.dim_cliente, "tienda": D.dim_tienda, "producto": D.dim_producto, "tiempo": D.dim_tiempo}[name]
+    df = build(silver, as_of)
+    stamped = df if "_created_at" in df.columns else df.withColumns({c: F.col("creation_date") for c in D.AUDIT_COLUMNS})
+    return enforce_schema(stamped, D.GOLD_DDL[name])
+
+
+def current_rows(table: ChangeTable, parts: list) -> DataFrame:
+    """The current rows of the keys that some partitions hold."""
+    keys = table.read_partitions(parts).select(*table.keys)
+    if set(parts) == set(table.partitions()):
+        return table.read()
+    return table.lookup(keys)
+
+
+def dimension_flow(spark: SparkSession, out_dir: str, name: str) -> ChangeTable:
+    return ChangeTable(spark, f"{_paths(out_dir)['gold']}/_flows/dim_{name}", *_dim_keys(name))
+
+
+def advance_dimension(spark: SparkSession, out_dir: str, name: str, run_id: str, as_of=None) -> int:
+    """Add to a dimension's flow the current rows of the silver keys that changed since
+    the last run; members that silver no longer has stay. Returns the rows added."""
+    source, flow = _silver(spark, out_dir, DIM_SOURCE[name]), dimension_flow(spark, out_dir, name)
+    if not source.exists():
+        return 0
+    taken = Consumption(spark, f"{_paths(out_dir)['gold']}/_consumed/dim_{name}")
+    now, unseen = taken.unseen(source)
+    added = 0
+    if unseen:
+        flow.append(_dim_rows(name, current_rows(source, unseen), as_of), f"gold-{run_id}", 0)
+        part = (f"gold-{run_id}", 0)
+        added = flow.read_partitions([part]).count() if files.exists(spark, flow.folder(part)) else 0
+        flow.compact_tiers()
+    taken.commit(run_id, now)
+    return added
+
+
 def published_gold(spark: SparkSession, out_dir: str) -> dict[str, str]:
-    """The folders of the newest published run's tables."""
+    """The folders of the newest published tables."""
     gold = _paths(out_dir)["gold"]
     runs = files.list_names(spark, f"{gold}/_published")
     if not runs:
         return {}
-    tables = [*[f"dim_{name}" for name, _ in FX.REJECT_CHECKS], "fact_ventas", "fact_ventas_rechazadas"]
-    return {t: f"{gold}/run={runs[-1]}/{t}" for t in tables}
+    snapshots = dict(x.split("@") for x in files.list_names(spark, f"{gold}/_published/{runs[-1]}"))
+    return {**{t: f"{gold}/{t}/run={run}" for t, run in snapshots.items()}, **{t: f"{gold}/{t}" for t in FACTS}}
 
 
-def run_gold(spark: SparkSession, out_dir: str, as_of=None) -> dict[str, str]:
-    p = _paths(out_dir)
-    now = dt.datetime.now(dt.timezone.utc)
-    run_id = now.strftime("%Y%m%dT%H%M%S%f")
-    base = f"{p['gold']}/run={run_id}"
-    s = silver_tables(spark, out_dir)
-    # read by the date dimension, the fact and the rejects
-    s["ventas"].write.parquet(f"{base}/_silver_ventas")
-    ventas = spark.read.schema(s["ventas"].schema).parquet(f"{base}/_silver_ventas")
-    rows = {
-        "cliente": D.dim_cliente(s["clientes"], as_of),
-        "tienda": D.dim_tienda(s["tiendas"], as_of),
-        "producto": D.dim_producto(s["productos"], as_of),
-        "tiempo": D.dim_tiempo(ventas, as_of),
-    }
-    dims = {}
-    for name, df in rows.items():
-        flow = ChangeTable(spark, f"{p['gold']}/_flows/dim_{name}", *_dim_keys(name))
-        stamped = df if "_created_at" in df.columns else df.withColumns({c: F.col("creation_date") for c in D.AUDIT_COLUMNS})
-        flow.append(enforce_schema(stamped, D.GOLD_DDL[name]), f"gold-{run_id}", 0)
-        flow.read().write.parquet(f"{base}/dim_{name}")
-        # the fact checks against what is published
-        dims[name] = spark.read.parquet(f"{base}/dim_{name}")
-    keys, _ = E.SILVER_FLOWS["ventas"]
-    log, rows_in = Log(spark, out_dir), ventas.count()
-
-    def store(df: DataFrame, table: str, by: list[str]) -> None:
-        def work():
-            df.write.partitionBy(*by).parquet(f"{base}/{table}")
-            return rows_in, {"rows_inserted": spark.read.schema(df.schema).parquet(f"{base}/{table}").count()}, 0
-
-        log.step(f"gold.{table}", "gold", work)
-
-    store(FX.fact_ventas(ventas, dims, as_of), "fact_ventas", ["anio_mes"])
-    store(FX.rejects_single_pass(ventas, dims, as_of, unique_on=keys), "fact_ventas_rechazadas", [])
-    files.mkdirs(spark, f"{p['gold']}/_published/{run_id}")
+def _publish(spark: SparkSession, out_dir: str, run_id: str, changed: list[str]) -> dict[str, str]:
+    """Name the dimension snapshots of this run in one rename; older snapshots go."""
+    gold = _paths(out_dir)["gold"]
+    runs = files.list_names(spark, f"{gold}/_published")
+    names = dict(x.split("@") for x in files.list_names(spark, f"{gold}/_published/{runs[-1]}")) if runs else {}
+    names |= {f"dim_{n}": run_id for n in changed}
+    for table, run in names.items():
+        files.mkdirs(spark, f"{gold}/_publishing/{run_id}/{table}@{run}")
+    files.mkdirs(spark, f"{gold}/_published")
+    files.rename(spark, f"{gold}/_publishing/{run_id}", f"{gold}/_published/{run_id}")
+    for old in runs[:-(KEPT_RUNS - 1) or None]:
+        files.delete(spark, f"{gold}/_published/{old}")
+    used = {x for run in files.list_names(spark, f"{gold}/_published") for x in files.list_names(spark, f"{gold}/_published/{run}")}
+    for table in names:
+        for run in files.list_names(spark, f"{gold}/{table}"):
+            if f"{table}@{run.removeprefix('run=')}" not in used:
+                files.delete(spark, f"{gold}/{table}/{run}")
     return published_gold(spark, out_dir)
 
 
+def _month() -> Column:
+    return F.coalesce(F.col(MONTH), F.lit(NO_MONTH))
+
+
+def _months_to_refresh(spark: SparkSession, out_dir: str, source: ChangeTable, unseen: list, before: dict[str, str], dims: dict[str, DataFrame]) -> list[str]:
+    """The months of changed sales, as they were and as they are, and of rejected sales
+    whose dimension member was not there at the last run, and those that an earlier run
+    did not finish. One name per month."""
+    gold, parts = _paths(out_dir)["gold"], []
+    stored = {t: spark.read.parquet(f"{gold}/{t}") for t in FACTS if any(n.startswith(MONTH) for n in files.list_names(spark, f"{gold}/{t}"))}
+    unfinished = files.list_names(spark, f"{gold}/_pending")
+    if unseen:
+        keys = source.read_partitions(unseen).select(*source.keys).distinct()
+        parts.append(current_rows(source, unseen).select(_month().alias(MONTH)))
+        if "fact_ventas" in stored:
+            parts.append(stored["fact_ventas"].join(keys, list(source.keys), "left_semi").select(_month().alias(MONTH)))
+        if "fact_ventas_rechazadas" in stored:
+            old = keys.withColumnRenamed("id_producto", "id_producto_source")
+            parts.append(stored["fact_ventas_rechazadas"].join(old, ["id_venta", "id_producto_source"], "left_semi").select(_month().alias(MONTH)))
+    if "fact_ventas_rechazadas" in stored:
+        for name, key in FX.REJECT_CHECKS:
+            if name == "tiempo" or f"dim_{name}" not in before:
+                continue  # dates come with the sales themselves
+            new = dims[name].select(key).join(spark.read.parquet(before[f"dim_{name}"]).select(key), key, "left_anti").withColumnRenamed(key, f"{key}_source")
+            waiting = stored["fact_ventas_rechazadas"].where(F.col("reason") == name)
+            parts.append(waiting.join(new, f"{key}_source", "left_semi").select(_month().alias(MONTH)))
+    out = spark.createDataFrame([(m,) for m in unfinished], f"{MONTH} string")
+    for p in parts:
+        out = out.unionByName(p)
+    return sorted(r[0] for r in out.distinct().toLocalIterator())
+
+
+def _sales_of(source: ChangeTable, months: list[str]) -> DataFrame:
+    """Current sales of some months: only keys that have a version in one of them are compared."""
+    table = source.changes().drop(FLOW, BATCH)
+    keys = table.where(_month().isin(months)).select(*source.keys).distinct()
+    return source.latest(table.join(keys, source.keys, "left_semi")).where(_month().isin(months))
+
+
+def _replace_months(spark: SparkSession, df: DataFrame, folder: str, draft: str, months: list[str]) -> int:
+    """Store the rows of ``months`` in place of what was there; other months keep their files,
+    and a month without rows goes. Returns the rows stored."""
+    seen = Observation()
+    df.withColumn(MONTH, _month()).observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy(MONTH).parquet(draft)
+    ready = set(files.list_names(spark, draft))
+    files.mkdirs(spark, folder)
+    for name in (f"{MONTH}={m}" for m in months):
+        files.delete(spark, f"{folder}/{name}")
+        if name in ready:
+            files.rename(spark, f"{draft}/{name}", f"{folder}/{name}")
+    return int(seen.get["rows"])
+
+
+def run_gold(spark: SparkSession, out_dir: str, as_of=None, log: Log | None = None) -> dict[str, str]:
+    p, log = _paths(out_dir), log or Log(spark, out_dir)
+    run_id = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    before, changed, dims = published_gold(spark, out_dir), [], {}
+    for name, _ in FX.REJECT_CHECKS:
+        def advance(name=name):
+            added = advance_dimension(spark, out_dir, name, run_id, as_of)
+            if added or f"dim_{name}" not in before:
+                state = dimension_flow(spark, out_dir, name).read()
+                empty = spark.createDataFrame([], enforce_ddl(name))
+                (empty if state is None else state).write.parquet(f"{p['gold']}/dim_{name}/run={run_id}")
+                changed.append(name)
+            return added, {"rows_inserted": added}, 0
+
+        log.step(f"gold.dim_{name}", "gold", advance)
+        # the fact checks against what is published: the planner knows its size
+        dims[name] = spark.read.parquet(f"{p['gold']}/dim_{name}/run={run_id}" if name in changed else before[f"dim_{name}"])
+    source = _silver(spark, out_dir, "ventas")
+    if source.exists():
+        taken = Consumption(spark, f"{p['gold']}/_consumed/fact_ventas")
+        now, unseen = taken.unseen(source)
+        months = _months_to_refresh(spark, out_dir, source, unseen, before, dims)
+        if months:
+            for month in months:
+                files.mkdirs(spark, f"{p['gold']}/_pending/{month}")
+            # the sales of these months are read by the fact and by the rejects
+            work = f"{p['gold']}/_work/{run_id}"
+            ventas = _sales_of(source, months)
+            ventas.write.parquet(f"{work}/ventas")
+            ventas = spark.read.schema(ventas.schema).parquet(f"{work}/ventas")
+            rows_in = ventas.count()
+            rejects = FX.rejects_single_pass(ventas, dims, as_of, unique_on=source.keys).withColumn(MONTH, F.date_format("fecha_venta", "yyyy-MM"))
+            for df, table in ((FX.fact_ventas(ventas, dims, as_of), "fact_ventas"), (rejects, "fact_ventas_rechazadas")):
+                log.step(f"gold.{table}", "gold", lambda df=df, table=table: (
+                    rows_in, {"rows_inserted": _replace_months(spark, df, f"{p['gold']}/{table}", f"{work}/{table}", months)}, 0))
+            files.delete(spark, work)
+            files.delete(spark, f"{p['gold']}/_pending")
+        taken.commit(run_id, now)
+    return _publish(spark, out_dir, run_id, changed)
+
+
+def enforce_ddl(name: str) -> str:
+    return D.GOLD_DDL[name].replace(" NOT NULL", "")
+
+
 def run(spark: SparkSession, landing_dir: str, out_dir: str, as_of=None, max_files_per_trigger: int | None = None) -> dict:
     """One scheduled run over whatever has landed since the last one."""
-    bronze = run_bronze(spark, landing_dir, out_dir, max_files_per_trigger)
-    silver = run_silver(spark, out_dir, as_of, max_files_per_trigger)
-    gold = run_gold(spark, out_dir, as_of)
-    return {"bronze": bronze, "silver": silver, "gold": gold}
+    log = Log(spark, out_dir)
+    bronze = run_bronze(spark, landing_dir, out_dir, max_files_per_trigger, log)
+    silver = run_silver(spark, out_dir, as_of, max_files_per_trigger, log)
+    gold = run_gold(spark, out_dir, as_of, log)
+    return {"bronze": bronze, "silver": silver, "gold": gold, "run_id": log.run_id}

@@ -631,6 +631,61 @@ FINAL["project_rename"] = ("SELECT id_cliente, nombre AS nombre_cliente, ciudad
                            "FROM silver_clientes")
 
 
+FINAL["ingest_mapped_stream"] = FINAL["ingest_multi_pattern"]
+FINAL["ingest_unmatched"] = "SELECT DISTINCT 'proveedores' AS familia, _lote, true AS has_bytes FROM tiendas_raw"
+_PRICE = "CAST(p_retailprice AS DECIMAL(18,2))"
+FINAL["ingest_inferred_stream"] = (
+    "SELECT CAST(p_partkey AS BIGINT) AS id_articulo, CASE WHEN p_partkey % 150 = 2 THEN NULL ELSE CAST(p_size AS BIGINT) END AS existencias, "
+    f"CASE WHEN p_partkey % 3 = 0 THEN CAST(floor({_PRICE}) AS DOUBLE) ELSE CAST({_PRICE} AS DOUBLE) END AS precio, "
+    "CASE WHEN p_partkey % 3 = 2 THEN p_brand END AS marca, CASE WHEN p_partkey % 150 = 2 THEN 'agotado' END AS rescatado FROM part")
+_D4 = "id_devolucion, id_venta, motivo, fecha_devolucion"
+_D4_CELLS = ["coalesce(trim(%s), '')" % c for c in _D4.split(", ")]
+_D4_LINE = " || ',' || ".join(_D4_CELLS)
+FINAL["ingest_bad_rows"] = f"""
+, r AS (SELECT *, TRY_CAST(id_devolucion AS BIGINT) % 50 AS kind FROM devoluciones_raw)
+SELECT 'cargada' AS estado, {", ".join(f"nullif(trim({c}), '') AS {c}" for c in _D4.split(", "))}, CAST(NULL AS VARCHAR) AS registro
+FROM r WHERE kind IS NULL OR kind > 2
+UNION ALL
+SELECT 'fila', NULL, NULL, NULL, NULL,
+  CASE kind WHEN 0 THEN {_D4_CELLS[0]} || ',' || {_D4_CELLS[1]} WHEN 1 THEN {_D4_LINE} || ',sobra'
+  ELSE {_D4_CELLS[0]} || ',' || {_D4_CELLS[1]} || ',"' || {_D4_CELLS[2]} || ',' || {_D4_CELLS[3]} END
+FROM r WHERE kind <= 2
+UNION ALL SELECT DISTINCT 'archivo', NULL, NULL, NULL, NULL, 'clave,nombre' FROM nation"""
+FINAL["scd1_ventas_compacted"] = FINAL["scd1_ventas_stream"]
+FINAL["dim_cliente_incremental"] = FINAL["dim_cliente"]
+FINAL["gold_job_second_run"] = FINAL["fact_ventas"]
+FINAL["fact_ventas_bucketed"] = FINAL["fact_ventas"]
+FINAL["expectation_events"] = FINAL["expectation_metrics"]
+
+
+def _count(key: str) -> str:
+    return f"(SELECT count(*) FROM ({FINAL[key]}))"
+
+
+_FAIL_CASES = (("ventas_todas", "valid_id_venta", None), ("ventas_limpias", None, "constraint_set_ventas"),
+               ("clientes_todos", "valid_id_cliente", None), ("clientes_con_id", None, "constraint_set_clientes"))
+FINAL["expect_fail_evidence"] = " UNION ALL ".join(
+    f"SELECT '{case}' AS caso, CAST({f"'{rule}'" if rule else 'NULL'} AS VARCHAR) AS regla, {'true' if rule else 'false'} AS abortada, "
+    f"CAST({_count(key) if key else 0} AS BIGINT) AS filas_confirmadas, CAST({_count(key) if key else 0} AS BIGINT) AS filas_guardadas"
+    for case, rule, key in _FAIL_CASES)
+
+
+def _log_layers() -> str:
+    feeds = ("ventas", "clientes", "devoluciones", "productos", "tiendas")
+    silver = {f: f"(SELECT count(*) FROM silver_{f})" for f in feeds}
+    rows = [(f"bronze.{f}_raw", "bronze", f"(SELECT count(*) FROM {f}_raw)", f"(SELECT count(*) FROM {f}_raw)") for f in feeds]
+    rows += [(f"silver.{f}", "silver", f"(SELECT count(*) FROM {f}_raw)", silver[f]) for f in feeds]
+    dates = "(SELECT count(DISTINCT CAST(fecha_venta AS DATE)) FROM silver_ventas)"
+    for name, added in (("cliente", silver["clientes"]), ("tienda", silver["tiendas"]), ("producto", silver["productos"]), ("tiempo", dates)):
+        rows.append((f"gold.dim_{name}", "gold", added, added))
+    rows += [(f"gold.{t}", "gold", silver["ventas"], _count(t)) for t in ("fact_ventas", "fact_ventas_rechazadas")]
+    return " UNION ALL ".join(f"""SELECT '{t}' AS "table", '{layer}' AS layer, 'SUCCESS' AS job_status, CAST({n} AS BIGINT) AS rows_in,
+        CAST({i} AS BIGINT) AS rows_inserted, true AS same_run""" for t, layer, n, i in rows)
+
+
+FINAL["ingestion_log_layers"] = _log_layers()
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for k, v in FINAL.items():

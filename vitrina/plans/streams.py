@@ -8,18 +8,22 @@ resulting table as a batch DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrina.operators import dims as D
 from vitrina.operators import entities as E
 from vitrina.plans.landing import land_staged, stage_feed
 from vitrina.plans.testfeeds import AS_OF, raw_feed
 from vitrina.session import work_dir
+from vitrina.sources import files
 from vitrina.sources.feeds import FEED_SCHEMAS
 from vitrina.sources.routing import file_mapping, list_files, read_routed, route_files
-from vitrina.streaming.change_table import read_batches
+from vitrina.sources.schema_history import read_inferred
+from vitrina.streaming.change_table import ChangeTable, read_batches
 from vitrina.streaming.flows import read_target, upsert_stream
 from vitrina.streaming.ingest import ingest_to_bronze, read_bronze
+from vitrina.streaming.mapped import MappedIngest, stored_mapping
 
 VENTAS_FAMILIES = {0: "ventas", 1: "fact_sales", 2: "sales"}
 
@@ -238,7 +242,173 @@ def q_gold_job(spark, sf_dir):
     return spark.read.parquet(out["gold"]["fact_ventas"])
 
 
+def _mapped(z: Landing, **options) -> MappedIngest:
+    return MappedIngest(z.spark, z.landing, f"{z.root}/auditoria/file_mapping", f"{z.root}/bronze", f"{z.root}/_checkpoints/bronze", **options)
+
+
+def q_ingest_mapped_stream(spark, sf_dir):
+    """S10 + S12 drive S1-S4: files of three feeds land in one folder in two rounds; one
+    stream loads each into the table that the stored mapping names."""
+    z = Landing(spark, "ingest-mapped")
+    for lote in (0, 1):
+        for feed in ("ventas", "clientes", "devoluciones"):
+            z.land(sf_dir, feed, [lote, 2] if (feed, lote) == ("ventas", 1) else [lote])
+        _mapped(z).run()
+    b = read_bronze(spark, z.bronze("ventas"))
+    return b.select(*feed_columns("ventas"), F.regexp_extract("_src_file", r"/([a-z_]+)_\d+\.csv/[^/]+$", 1).alias("familia"))
+
+
+def q_ingest_unmatched(spark, sf_dir):
+    """Files that no mapping row takes, listed beside the tables."""
+    z = Landing(spark, "ingest-unmatched")
+    z.land(sf_dir, "clientes", [0, 1])
+    stage_feed(spark, raw_feed(spark, sf_dir, "tiendas"), feed_columns("tiendas"), f"{z.root}/_stage/proveedores")
+    for lote in (0, 1):
+        land_staged(spark, f"{z.root}/_stage/proveedores", lote, z.landing, "proveedores")
+    _mapped(z).run()
+    lost = spark.read.parquet(f"{z.root}/bronze/unmatched_files")
+    return lost.select(F.regexp_extract("file_name", r"^([a-z_]+)_\d+\.csv$", 1).alias("familia"),
+                       F.regexp_extract("file_name", r"_(\d+)\.csv$", 1).cast("int").alias("_lote"), (F.col("length") > 0).alias("has_bytes")).distinct()
+
+
+INVENTORY = (8, r"^inventario.*\.csv", "bronze.inventario_raw", "CSV", True, ",")
+
+
+def q_ingest_inferred_stream(spark, sf_dir):
+    """Types inferred from the parts' stock list in three landing rounds: whole prices,
+    then prices with decimals (the column widens), then a further column and a few words among
+    the numbers (they are rescued)."""
+    z = Landing(spark, "ingest-inferred")
+    mapping = f"{z.root}/auditoria/file_mapping"
+    stored_mapping(spark, mapping, [INVENTORY])
+    p, key = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet"), F.col("p_partkey")
+    price = F.col("p_retailprice").cast("decimal(18,2)")
+    rounds = [
+        {"id_articulo": key, "existencias": F.col("p_size").cast("string"), "precio": F.floor(price).cast("string")},
+        {"id_articulo": key, "existencias": F.col("p_size").cast("string"), "precio": price.cast("string")},
+        {"id_articulo": key, "existencias": F.when(key % 150 == 2, F.lit("agotado")).otherwise(F.col("p_size").cast("string")),
+         "precio": price.cast("string"), "marca": F.col("p_brand")},
+    ]
+    ingest = _mapped(z, rescue_share=0.05)
+    for i, columns in enumerate(rounds):
+        rows = p.where(key % 3 == i).select(*[c.alias(n) for n, c in columns.items()], F.lit(i).alias("_lote"))
+        stage_feed(spark, rows, list(columns), f"{z.root}/_stage/inventario-{i}")
+        land_staged(spark, f"{z.root}/_stage/inventario-{i}", i, z.landing, "inventario")
+        ingest.run()
+    b = read_inferred(spark, ingest.table(INVENTORY[2]), ingest.history(INVENTORY[2]))
+    return b.select("id_articulo", "existencias", "precio", "marca", F.col("_rescued")["existencias"].alias("rescatado"))
+
+
+def _returns_line() -> Column:
+    """A returns row as a CSV line; some have too few or too many fields, or an open quote."""
+    cols = [F.coalesce(F.trim(F.col(c)), F.lit("")) for c in feed_columns("devoluciones")]
+    kind = F.col("id_devolucion").try_cast("long") % 50
+    return (F.when(kind == 0, F.concat_ws(",", *cols[:2])).when(kind == 1, F.concat_ws(",", *cols, F.lit("sobra")))
+            .when(kind == 2, F.concat(cols[0], F.lit(","), cols[1], F.lit(',"'), cols[2], F.lit(","), cols[3])).otherwise(F.concat_ws(",", *cols)))
+
+
+def q_ingest_bad_rows(spark, sf_dir):
+    """Rows that don't parse and a file of another feed's columns go to the rejected
+    table; the rest is loaded."""
+    z = Landing(spark, "ingest-bad")
+    header = ",".join(feed_columns("devoluciones"))
+    lines = raw_feed(spark, sf_dir, "devoluciones").select(_returns_line().alias(header))
+    plain = {"header": "true", "sep": "\u0001", "quote": "", "escapeQuotes": "false", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    lines.write.options(**plain).csv(f"{z.root}/_stage/lineas")
+    files.mkdirs(spark, z.landing)
+    files.rename(spark, f"{z.root}/_stage/lineas", f"{z.landing}/devoluciones_0.csv")
+    other = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet").select(F.col("n_nationkey").alias("clave"), F.col("n_name").alias("nombre"))
+    other.write.options(header="true").csv(f"{z.root}/_stage/otra")
+    files.rename(spark, f"{z.root}/_stage/otra", f"{z.landing}/devoluciones_1.csv")
+    ingest = _mapped(z)
+    ingest.run()
+    good = read_bronze(spark, z.bronze("devoluciones")).select(F.lit("cargada").alias("estado"), *feed_columns("devoluciones"), F.lit(None).cast("string").alias("registro"))
+    bad = spark.read.parquet(ingest.rejected("bronze.devoluciones_raw"))
+    nothing = [F.lit(None).cast("string").alias(c) for c in feed_columns("devoluciones")]
+    rows = bad.where("reason = 'malformed row'").select(F.lit("fila").alias("estado"), *nothing, F.col("record").alias("registro"))
+    whole = bad.where("reason <> 'malformed row'").select(F.lit("archivo").alias("estado"), *nothing, F.col("record").alias("registro")).distinct()
+    return good.unionByName(rows).unionByName(whole)
+
+
+def q_scd1_ventas_compacted(spark, sf_dir):
+    """C1 on a compacted target: one micro-batch per bronze file, full tiers merged after
+    each round."""
+    z = Landing(spark, "compacted-ventas")
+    target = f"{z.root}/silver/ventas"
+    for lotes in ([0, 1], [2]):
+        z.land(sf_dir, "ventas", lotes)
+        z.ingest("ventas")
+        upsert_stream(spark, z.bronze("ventas"), "ventas", target, f"{z.root}/_checkpoints/silver_ventas", as_of=AS_OF, max_files_per_trigger=2)
+        ChangeTable(spark, target, *E.SILVER_FLOWS["ventas"]).compact_tiers(fanout=2)
+    return read_target(spark, target, "ventas")
+
+
+def q_dim_cliente_incremental(spark, sf_dir):
+    """The customer dimension after two runs, each of which takes only the silver changes it
+    has not seen; a third run without changes takes none."""
+    from vitrina.plans import jobs
+
+    z = Landing(spark, "dim-incremental")
+    out = f"{z.root}/out"
+    for i, lotes in enumerate(([0], [1], [])):
+        if lotes:
+            z.land(sf_dir, "clientes", lotes)
+        jobs.run_bronze(spark, z.landing, out)
+        jobs.run_silver(spark, out, AS_OF)
+        jobs.advance_dimension(spark, out, "cliente", f"run-{i}", AS_OF)
+    cols, _, _ = D.DIM_SPECS["cliente"]
+    return jobs.dimension_flow(spark, out, "cliente").read().select(*cols, "creation_date")
+
+
+def q_gold_job_second_run(spark, sf_dir):
+    """The fact after a second run, which replaces only the months that changed."""
+    from vitrina.plans import jobs
+
+    z = Landing(spark, "gold-second")
+    for lotes in (0, 1):
+        for feed in jobs.FEEDS:
+            z.land(sf_dir, feed, [1, 2] if (feed, lotes) == ("ventas", 1) else [lotes])
+        out = jobs.run(spark, z.landing, f"{z.root}/out", AS_OF)
+    return spark.read.parquet(out["gold"]["fact_ventas"])
+
+
+def q_ingestion_log_layers(spark, sf_dir):
+    """One run's records of all three layers."""
+    from vitrina.plans import jobs
+
+    z = Landing(spark, "log-layers")
+    for feed in jobs.FEEDS:
+        z.land(sf_dir, feed, sorted(_families(feed)))
+    out = jobs.run(spark, z.landing, f"{z.root}/out", AS_OF)
+    log = spark.read.parquet(f"{z.root}/out/auditoria/ingestion_log")
+    return log.select("table", "layer", "job_status", "rows_in", "rows_inserted", (F.col("job_run_id") == out["run_id"]).alias("same_run"))
+
+
+def q_expectation_events(spark, sf_dir):
+    """Rule counts as stored from the streams' reported metrics, over two rounds."""
+    from vitrina.plans import jobs
+
+    z = Landing(spark, "events")
+    out = f"{z.root}/out"
+    for lotes in (0, 1):
+        for feed in jobs.FEEDS:
+            z.land(sf_dir, feed, [1, 2] if (feed, lotes) == ("ventas", 1) else [lotes])
+        jobs.run_bronze(spark, z.landing, out)
+        jobs.run_silver(spark, out, AS_OF)
+    events = read_batches(spark, f"{out}/auditoria/expectation_metrics")
+    return events.groupBy("table_name", "rule", "action").agg(F.sum("passed_records").alias("passed_records"), F.sum("failed_records").alias("failed_records"))
+
+
 STREAM_QUERIES = {
+    "ingest_mapped_stream": q_ingest_mapped_stream,
+    "ingest_unmatched": q_ingest_unmatched,
+    "ingest_inferred_stream": q_ingest_inferred_stream,
+    "ingest_bad_rows": q_ingest_bad_rows,
+    "scd1_ventas_compacted": q_scd1_ventas_compacted,
+    "dim_cliente_incremental": q_dim_cliente_incremental,
+    "gold_job_second_run": q_gold_job_second_run,
+    "ingestion_log_layers": q_ingestion_log_layers,
+    "expectation_events": q_expectation_events,
     "ingest_stream_clientes": q_ingest_stream_clientes,
     "ingest_stream_raw": q_ingest_stream_raw,
     "ingest_multi_pattern": q_ingest_multi_pattern,

@@ -27,6 +27,12 @@ def list_names(spark: SparkSession, directory: str) -> list[str]:
     return sorted(str(st.getPath().getName()) for st in fs.listStatus(p))
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
 def mkdirs(spark: SparkSession, directory: str) -> None:
     fs, p = _fs(spark, directory)
     fs.mkdirs(p)
