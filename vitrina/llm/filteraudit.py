@@ -14,10 +14,12 @@ micro-batches:
    labels): the smallest doc_id, how many rows have it, and how many there are. Both
    aggregates start in the tasks that read the rows, so a text that a third of all rows
    share leaves a task as one row. Texts are known by their SHA-256.
-2. ``minima``: keyed state per text holds the smallest doc_id so far and how many rows of
-   which part have it. A batch moves rows that have a larger id from their mask to the
+2. ``minima``: keyed state holds for each text the smallest doc_id so far and how many rows
+   of which part have it. A batch moves rows that have a larger id from their mask to the
    mask with E; when a smaller id arrives, the rows counted before for the older one are
-   retracted in the same way.
+   retracted in the same way. Texts whose digests agree in some bits share a state entry,
+   since each entry costs a call: the number of entries follows the number of documents at
+   the first call and stays, and the digests spread texts evenly over them.
 
 The counters are the sum of all moves. Each micro-batch writes its own partition, which a
 retry overwrites, and state lives in the query's checkpoint in the shared folder, in the
@@ -37,6 +39,7 @@ says so when its file is taken. An empty table has no parts and gives no row. Ex
 from __future__ import annotations
 
 import itertools
+import pickle
 import uuid
 from collections.abc import Iterator
 
@@ -51,13 +54,15 @@ E_BIT = 16
 FEW_WORDS = 200
 # Bytes of files in a micro-batch, per core of the cluster.
 BATCH_BYTES_PER_CORE = 32 << 20
+# Texts that share one entry of the keyed state, as of the first call.
+TEXTS_PER_ENTRY = 1024
 # Bytes of files behind one partition of the state, beyond one partition per core.
 BYTES_PER_STATE = 1 << 30
 
 COUNTER = ["part", "mask", "good", "toxic"]
 MOVES = "part string, mask int, good boolean, toxic boolean, n long"
 TEXTS = "text_key binary, part string, mask int, good boolean, toxic boolean, doc_id long, n_first long, n long"
-STATE = "doc_id long, part array<string>, good array<boolean>, toxic array<boolean>, n array<long>"
+STATE = "texts binary"
 
 
 def own_mask(text: Column) -> Column:
@@ -119,24 +124,24 @@ def moves(state: tuple | None, rows: list[tuple]) -> tuple[tuple, list[tuple]]:
 
 
 def _keyed(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    old = None
-    if state.exists:
-        doc_id, part, good, toxic, n = state.get
-        old = (doc_id, {(p, bool(g), bool(t)): int(k) for p, g, t, k in zip(part, good, toxic, n)})
-    now, out, mask = old, [], 0
+    """One micro-batch of a group of texts: new minima into the state, moves out."""
+    texts: dict[bytes, tuple] = pickle.loads(state.get[0]) if state.exists else {}
+    out: dict[tuple, int] = {}
     for b in batches:
-        columns = [b[c].tolist() for c in ("doc_id", "part", "good", "toxic", "n_first", "n", "mask")]
-        rows = list(zip(*columns))
-        if rows:
-            mask = rows[0][6]  # the same for all rows of a text
-            now, moved = moves(now, [r[:6] for r in rows])
-            out += moved
-    if now != old:
-        keys = list(now[1])
-        state.update((now[0], [k[0] for k in keys], [k[1] for k in keys], [k[2] for k in keys], [now[1][k] for k in keys]))
+        mine: dict[bytes, list[tuple]] = {}
+        masks = {}
+        columns = [b[c].tolist() for c in ("text_key", "mask", "doc_id", "part", "good", "toxic", "n_first", "n")]
+        for text, mask, *row in zip(*columns):
+            mine.setdefault(text, []).append(tuple(row))
+            masks[text] = mask  # the same for all rows of a text
+        for text, rows in mine.items():
+            texts[text], moved = moves(texts.get(text), rows)
+            for part, good, toxic, n in moved:
+                for mask, change in ((masks[text], -n), (masks[text] + E_BIT, n)):
+                    out[part, mask, good, toxic] = out.get((part, mask, good, toxic), 0) + change
+    state.update((pickle.dumps(texts, pickle.HIGHEST_PROTOCOL),))
     if out:
-        yield pd.DataFrame([x for p, g, t, n in out for x in ((p, mask, g, t, -n), (p, mask + E_BIT, g, t, n))],
-                           columns=["part", "mask", "good", "toxic", "n"])
+        yield pd.DataFrame([(*k, n) for k, n in out.items()], columns=["part", "mask", "good", "toxic", "n"])
 
 
 class Audit:
@@ -165,11 +170,15 @@ class Audit:
         """Count all files that have come since the last call."""
         s = self.session
         # the folders are there even if no file comes
-        for name, ddl in (("counts", MOVES), ("texts", TEXTS), ("moves", MOVES)):
-            self._write(s.createDataFrame([], ddl), name, 0)
+        for name, ddl in (("counts", MOVES), ("texts", TEXTS), ("moves", MOVES), ("entries", "n long")):
+            s.createDataFrame([], ddl + ", batch long").write.mode("append").partitionBy("batch").parquet(f"{self.root}/{name}")
         label_marks(self.labels).write.mode("overwrite").parquet(f"{self.root}/labels")
         files = s.read.parquet(self.documents)
         total = files.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0] or 0
+        if not s.read.schema("n long").parquet(f"{self.root}/entries").take(1):  # kept for the life of the state
+            entries = max(s.sparkContext.defaultParallelism, files.count() // TEXTS_PER_ENTRY)
+            self._write(s.createDataFrame([(entries,)], "n long"), "entries", 0)
+        entries = s.read.schema("n long").parquet(f"{self.root}/entries").first()["n"]
         s.conf.set("spark.sql.shuffle.partitions", str(max(s.sparkContext.defaultParallelism, total // BYTES_PER_STATE)))
         size = ("maxFilesPerTrigger", self.files_per_batch) if self.files_per_batch else (
             "maxBytesPerTrigger", BATCH_BYTES_PER_CORE * s.sparkContext.defaultParallelism)
@@ -178,7 +187,8 @@ class Audit:
         folder, _, name = self.documents.rstrip("/").rpartition("/")
         (reader.parquet(f"{folder}/{{{name}}}").writeStream.foreachBatch(self._masks)
          .option("checkpointLocation", f"{self.root}/_masks").trigger(availableNow=True).start().awaitTermination())
-        keyed = s.readStream.schema(TEXTS).option("recursiveFileLookup", "true").option(*map(str, size)).parquet(f"{self.root}/texts").groupBy("text_key").applyInPandasWithState(
+        keyed = s.readStream.schema(TEXTS).option("recursiveFileLookup", "true").option(*map(str, size)).parquet(f"{self.root}/texts").withColumn(
+            "entry", F.pmod(F.xxhash64("text_key"), F.lit(entries))).groupBy("entry").applyInPandasWithState(
             _keyed, MOVES, STATE, "append", "NoTimeout")
         (keyed.writeStream.foreachBatch(lambda df, i: self._write(df.groupBy(*COUNTER).agg(F.sum("n").alias("n")), "moves", i))
          .outputMode("append").option("checkpointLocation", f"{self.root}/_minima").trigger(availableNow=True).start().awaitTermination())
