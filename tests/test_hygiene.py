@@ -8,7 +8,6 @@ ROOT = pathlib.Path(__file__).resolve().parents[1] / "vitrina"
 
 # file -> number of bounded collects it may contain, and why
 ALLOWED_COLLECTS = {
-    "streaming/change_table.py": 1,   # partition names: one per micro-batch since the last compaction
 }
 
 
