@@ -139,8 +139,13 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, **how) ->
     if len(n) < 2:
         return BradleyTerry([0.0] * len(FEATURES), 0.0, 1.0)
     got = []
+    # 52 bits of a hash, exact as a double
+    hashed = rows.withColumn("s", F.shiftrightunsigned(F.xxhash64("doc_id", "th"), 12).cast("double"))
     for value in (0, 1):
-        got += rows.where(F.col("quality") == value).orderBy(F.xxhash64("doc_id", "th"), "doc_id", "th").limit(max_rows).select("x", "quality").collect()
+        mine = hashed.where(F.col("quality") == value)
+        # the cut-off is found by histograms: what reaches the driver is what is used, however many partitions there are
+        last = ranked(mine, min(max_rows, n[value]) - 1)
+        got += sorted(mine.where(F.col("s") <= last).select("s", "doc_id", "th", "x", "quality").collect(), key=lambda r: (r.s, r.doc_id, r.th))[:max_rows]
     # sorted, so that the pairs drawn do not depend on the partitions
     got.sort(key=lambda r: (r.quality, r.x))
     model = BradleyTerry(fit_pairs(np.array([r.x for r in got]), np.array([r.quality for r in got]), **how), 0.0, 1.0)
