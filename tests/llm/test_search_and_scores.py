@@ -173,36 +173,59 @@ def test_bit_slices_score_every_row():
 
 # --- language-model scores
 
-def test_lm_equals_brute_force(make_docs, spark):
-    from pyspark.sql import functions as F
+def plain_lm(rows, order, alpha=0.4):
+    """{(doc, text): sum of log2 scores}, by counting everything but the text's copies."""
+    split = [(d, tuple(re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode())), t or "") for d, t in rows]
+    total, words = sum(len(w) for _, w, _ in split), {x for _, w, _ in split for x in w}
+    counts = Counter(w[i:i + k] for _, w, _ in split for k in range(1, order + 1) for i in range(len(w) - k + 1))
+    out = {}
+    for d, w, t in split:
+        copies = sum(t == u for _, _, u in split)
+        own = Counter(w[i:i + k] for k in range(1, order + 1) for i in range(len(w) - k + 1))
+
+        def left(g):
+            return counts[g] - copies * own[g]
+
+        def score(g):
+            if len(g) == 1:
+                return math.log2((left(g) + 1) / (total - copies * len(w) + len(words) + 1))
+            return math.log2(left(g) / left(g[:-1])) if left(g) > 0 and left(g[:-1]) > 0 else math.log2(alpha) + score(g[1:])
+
+        out[d, t] = (len(w), sum(score(w[max(0, i - order + 1):i + 1]) for i in range(len(w))))
+    return out
 
-    rng = random.Random(2)
-    rows = [(i, "".join(rng.choice(["ab", "cd ", "ÿ", "abc", "x"]) for _ in range(rng.randrange(0, 40)))) for i in range(60)]
-    rows += [(70, None), (71, ""), (72, rows[0][1]), (72, rows[0][1])]
-    docs = make_docs(rows)
-    half = {r.doc_id: r.h for r in docs.select("doc_id", F.pmod(F.xxhash64(lmscore.text_hash(F.col("text")), F.lit("half")), F.lit(2)).alias("h")).collect()}
-    grams, context = [Counter(), Counter()], [Counter(), Counter()]
-    for d, t in rows:
-        b = (t or "").encode()
-        for k in range(1, 6):
-            for i in range(len(b) - k + 1):
-                grams[half[d]][b[i:i + k]] += 1
-                context[half[d]][k, b[i:i + k - 1]] += 1
-
-    def score(g, h):
-        if len(g) == 1:
-            return math.log2((grams[h][g] + 1) / (context[h][1, b""] + 256))
-        return math.log2(grams[h][g] / context[h][len(g), g[:-1]]) if grams[h][g] else math.log2(0.4) + score(g[1:], h)
 
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_lm_equals_brute_force(make_docs, order):
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(["ab", "cd", "ÿ", "abc", "x", "", "\n"]) for _ in range(rng.randrange(0, 30)))) for i in range(60)]
+    rows += [(70, None), (71, ""), (72, rows[0][1]), (72, rows[0][1]), (73, "only here"), (74, " \t "), (75, "ab"), (76, "\xa0 ab")]
+    want = plain_lm(rows, order)
     for size in (100, 1 << 20):
-        got = lmscore.lm_scores(docs, block_bytes=size).collect()
+        got = lmscore.lm_scores(make_docs(rows), order=order, block_bytes=size).collect()
         assert len(got) == len(rows)
-        text = dict(rows)
+        texts = dict(rows)
         for r in got:
-            b = (text[r.doc_id] or "").encode()
-            assert r.n_bytes == len(b)
-            assert math.isclose(r.log2_prob, sum(score(b[max(0, i - 4):i + 1], 1 - half[r.doc_id]) for i in range(len(b))), rel_tol=1e-9, abs_tol=1e-9)
-            assert (r.mean_log2 is None) == (not b)
+            n, total = want[r.doc_id, texts[r.doc_id] or ""]
+            assert r.n_words == n and math.isclose(r.log2_prob, total, rel_tol=1e-9, abs_tol=1e-9), r
+            assert (r.mean_log2 is None) == (n == 0)
+
+
+def test_lm_sees_word_order(make_docs):
+    rng = random.Random(5)
+    after = {f"w{i}": [f"w{rng.randrange(60)}" for _ in range(4)] for i in range(60)}
+
+    def text():
+        words = ["w0"]
+        while len(words) < 80:
+            words.append(rng.choice(after[words[-1]]))
+        return words
+
+    plain = [text() for _ in range(200)]
+    mixed = [rng.sample(w, len(w)) for w in plain[:50]]
+    rows = [(i, " ".join(w)) for i, w in enumerate(plain)] + [(1000 + i, " ".join(w)) for i, w in enumerate(mixed)]
+    means = {r.doc_id: r.mean_log2 for r in lmscore.lm_scores(make_docs(rows)).collect()}
+    assert max(means[1000 + i] for i in range(50)) < min(means[i] for i in range(200)) - 1
 
 
 def test_lm_odd_rows(make_docs, odd_rows):
@@ -210,7 +233,7 @@ def test_lm_odd_rows(make_docs, odd_rows):
     assert len(got) == len(odd_rows) and all(math.isfinite(r.log2_prob) for r in got)
     assert lmscore.lm_scores(make_docs([])).count() == 0
     with pytest.raises(ValueError):
-        lmscore.lm_scores(make_docs([]), order=8)
+        lmscore.lm_scores(make_docs([]), order=0)
 
 
 def test_lm_repeated_rows_spread(make_docs, monkeypatch):
@@ -219,7 +242,7 @@ def test_lm_repeated_rows_spread(make_docs, monkeypatch):
     got = lmscore.lm_scores(make_docs([(1, "one text " * 20)] * 200 + [(None, "other")]), block_bytes=1800).collect()
     assert len(got) == 201 and len({(r.doc_id, r.log2_prob) for r in got}) == 2
     sizes = [r["count"] for r in most[0].groupBy("block").count().collect()]
-    assert most[0].columns == ["doc_id", "text", "half", "block"] and max(sizes) <= 40
+    assert most[0].columns == ["doc_id", "text", "th", "block"] and max(sizes) <= 40
 
 
 # --- url filters

@@ -1,151 +1,168 @@
-"""Language-model scores by stupid backoff, computed relationally.
-
-The model is over UTF-8 bytes: an n-gram of up to ``order`` bytes is packed into
-one long, so tables of n-grams hold the n-grams themselves. A byte's score is
-c(context + byte) / c(context) if that n-gram was counted, else ``alpha`` times
-its score with a context one byte shorter; with no context it is its share of
-all bytes, one added to every count. A document's score is the sum of the
-logarithms (base 2) of its bytes' scores.
-
-Every document is counted, and no document supports itself: texts are dealt
-into two halves by hash, equal texts into one, and a text is scored with the
-counts of the other half.
-
-Plan: rows are dealt into blocks of bounded text by the hash of a row number, so
-that repeats of one document spread too, and are written with their block. Per block the
-distinct n-grams are listed with their counts; the lists are summed into count
-tables partitioned by n-gram; scores follow from joins of each order with its
-contexts and with the next lower order; the blocks' lists are joined to the
-scores, and each block sums the scores of its documents' n-grams. An n-gram that
-every document holds costs one row per block, not one per document.
-
-Defined results: null and empty texts have no bytes, log2_prob 0 and a null mean;
-a text whose counterpart half is empty is scored by the uniform byte
-probability; repeated rows score alike. Other columns are ignored.
+"""Language-model scores by stupid backoff over word n-grams, computed relationally.
+
+A word is a run of bytes other than ASCII blanks; an n-gram of words is known by a 64-bit
+hash. The score of a word is c(context + word) / c(context) if that n-gram was counted, else
+``alpha`` times its score with a context one word shorter; with no context it is its share of
+all words, one added to every count and one place kept for words never seen. A document's
+score is the sum of the logarithms (base 2) of its words' scores.
+
+Counts cover all documents. No text supports itself: its own n-grams, and those of all rows
+with the same text, are taken out of every count before it is scored.
+
+Plan: rows are dealt into blocks of bounded text by the hash of a row number, so that repeats of
+one document spread, and are written with their block. Each block lists its distinct n-grams
+with their counts, and its texts' hashes as n-grams of order 0, so that the number of equal
+texts comes the same way. The lists are summed into a count table partitioned by n-gram hash;
+joined to it, each list learns the counts of its n-grams over the whole corpus; and the blocks
+sum their documents' scores. An n-gram that every document holds costs one row per block and
+exchange, not one per document.
+
+Defined results: null, empty and blank texts have no words, log2_prob 0 and a null mean; repeated
+rows score alike; a text all of whose words stand nowhere else is scored as unseen words.
+Other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks_for, text_hash, written
 
-ORDER = 5
+ORDER = 2
 ALPHA = 0.4
-BLOCK_BYTES = 16 << 20
-PART_BYTES = 2 << 20
+BLOCK_BYTES = 24 << 20
+PART_BYTES = 4 << 20
+# Odd 64-bit constants that mix a context's hash with the next word's.
+MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+class Words(dict):
+    """64-bit code of a word, worked out once."""
 
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = xxhash.xxh64_intdigest(word)
+        return code
 
-def parts(texts: list[bytes]) -> list[tuple[int, int]]:
+
+def parts(texts: list[bytes]) -> Iterator[tuple[int, int]]:
     """Ranges of texts with a bounded number of bytes, or one text."""
-    out, start, total = [], 0, 0
+    start, total = 0, 0
     for i, t in enumerate(texts):
         if i > start and total + len(t) > PART_BYTES:
-            out.append((start, i))
+            yield start, i
             start, total = i, 0
         total += len(t)
-    return [*out, (start, len(texts))] if len(texts) > start else out
+    if len(texts) > start:
+        yield start, len(texts)
 
 
-def grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every byte of the joined texts: its longest n-gram of at most
-    ``order`` bytes inside its text as (length, code); and the texts' sizes."""
-    size = np.array([len(t) for t in texts], np.int64)
-    data = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64)
-    first = np.repeat(np.cumsum(size) - size, size)
-    length = np.minimum(np.arange(len(data)) - first + 1, order)
-    code = data.copy()
-    for k in range(1, order):
-        code[k:] += np.where(length[k:] > k, data[:-k] << 8 * k, 0)
-    return length, code, size
+def grams(texts: list[bytes], order: int, words: Words) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """For each order the code of the n-gram that ends at each word, as signed 64 bits; how many
+    words of its text precede each word; and the texts' numbers of words."""
+    split = [t.split() for t in texts]
+    size = np.array([len(w) for w in split], np.int64)
+    code = np.fromiter((words[w] for own in split for w in own), np.uint64, int(size.sum()))
+    before = np.arange(len(code)) - np.repeat(np.cumsum(size) - size, size)
+    out = [code]
+    for _ in range(1, order):
+        longer = np.zeros(len(code), np.uint64)
+        # context of one word less, ending at the word before
+        longer[1:] = (out[-1][:-1] * MIX[0] + code[1:]) * MIX[1]
+        out.append(longer ^ (longer >> np.uint64(29)))
+    return [c.view(np.int64) for c in out], before, size
 
 
-def _counted(order: int):
-    """The distinct n-grams of a block with their counts in each half; those of
-    lower orders follow from the longest ones, as each byte ends one of each."""
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        block, found = rows["block"].iloc[0], []
-        for half, own in rows.groupby("half"):
-            texts = [t for t in own["text"] if t]
-            lists: dict[int, list] = {k: [] for k in range(1, order + 1)}
-            for a, b in parts(texts):
-                length, code, _ = grams(texts[a:b], order)
-                for k in range(1, order + 1):
-                    if (x := code[length == k]).size:
-                        lists[k].append(np.unique(x, return_counts=True))
-            above: tuple[np.ndarray, np.ndarray] | None = None
-            for k in range(order, 0, -1):
-                if above is not None:
-                    lists[k].append((above[0] & ((1 << 8 * k) - 1), above[1]))
-                if lists[k]:
-                    codes, n = (np.concatenate(x) for x in zip(*lists[k]))
-                    codes, at = np.unique(codes, return_inverse=True)
-                    above = codes, np.bincount(at, n).astype(np.int64)
-                    found.append(pd.DataFrame({"block": block, "k": k, "code": codes, "half": half, "n": above[1]}))
-        return pd.concat(found) if found else pd.DataFrame({"block": [], "k": [], "code": [], "half": [], "n": []}, dtype="int64")
-    return run
+def _summed_counts(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    codes, n = (np.concatenate(x) for x in zip(*pairs))
+    codes, at = np.unique(codes, return_inverse=True)
+    return codes, np.bincount(at, n).astype(np.int64)
 
 
-def _summed(order: int):
-    """Scores of a block's documents from the scores of its n-grams."""
-    def run(rows: pd.DataFrame, scores: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        scores = scores.sort_values(["k", "code"])
-        tables = {k: (g["code"].to_numpy(), g[["s0", "s1"]].to_numpy()) for k, g in scores.groupby("k")}
+def _counted(order: int):
+    """The distinct n-grams of a block with their counts; order 0 are the texts."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        words, lists = Words(), [[] for _ in range(order + 1)]
         texts = [t or b"" for t in rows["text"]]
-        halves = rows["half"].to_numpy()
+        lists[0].append(np.unique(rows["th"].to_numpy(), return_counts=True))
         for a, b in parts(texts):
-            length, code, size = grams(texts[a:b], order)
-            half = np.repeat(halves[a:b], size)
-            value = np.zeros(len(code))
-            for k, (codes, s) in tables.items():
-                at = np.flatnonzero(length == k)
-                value[at] = s[np.searchsorted(codes, code[at]), half[at]]
-            # each text by itself, so that its sum does not depend on its block
-            total = np.zeros(len(size))
-            if len(value):
-                total[size > 0] = np.add.reduceat(value, (np.cumsum(size) - size)[size > 0])
-            out.append(pd.DataFrame({"doc_id": rows["doc_id"].iloc[a:b], "n_bytes": size, "log2_prob": total}))
-        return pd.concat(out) if out else pd.DataFrame({"doc_id": [], "n_bytes": [], "log2_prob": []})
+            codes, before, _ = grams(texts[a:b], order, words)
+            for k in range(1, order + 1):
+                lists[k].append(np.unique(codes[k - 1][before >= k - 1], return_counts=True))
+        found = []
+        for k, pairs in enumerate(lists):
+            if pairs:
+                codes, n = _summed_counts(pairs)
+                found.append(pd.DataFrame({"block": rows["block"].iloc[0], "k": k, "code": codes, "n": n}))
+        return pd.concat(found)
     return run
 
 
-def backoff_scores(counts: DataFrame, order: int, alpha: float) -> DataFrame:
-    """(k, code, s0, s1): log2 of the stupid-backoff score of every n-gram, for
-    documents of half 0 and of half 1, from counts (k, code, n0, n1)."""
-    total = counts.where("k = 1").agg(F.coalesce(F.sum("n0"), F.lit(0)).alias("t0"), F.coalesce(F.sum("n1"), F.lit(0)).alias("t1")).first()
-    # a text of one half is scored by the counts of the other
-    lower = counts.where("k = 1").select("code", *[
-        F.log2((F.col(f"n{1 - h}") + 1) / F.lit(float(total[1 - h] + 256))).alias(f"s{h}") for h in (0, 1)])
-    out = lower.select(F.lit(1).alias("k"), "code", "s0", "s1")
-    for k in range(2, order + 1):
-        own = counts.where(F.col("k") == k).withColumn("context", F.shiftright("code", 8)).withColumn("tail", F.col("code").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1)))
-        contexts = own.groupBy("context").agg(F.sum("n0").alias("c0"), F.sum("n1").alias("c1"))
-        joined = own.join(contexts, "context").join(lower.withColumnsRenamed({"code": "tail", "s0": "b0", "s1": "b1"}), "tail")
-        lower = written(joined.select("code", *[
-            F.when(F.col(f"n{1 - h}") > 0, F.log2(F.col(f"n{1 - h}") / F.col(f"c{1 - h}"))).otherwise(F.col(f"b{h}") + float(np.log2(alpha))).alias(f"s{h}") for h in (0, 1)]), f"scores-{k}")
-        out = out.unionByName(lower.select(F.lit(k).alias("k"), "code", "s0", "s1"))
-    return out
+def score_text(codes: list[np.ndarray], counts: list[np.ndarray], before: np.ndarray, copies: int, total: int, distinct: int, alpha: float) -> float:
+    """The sum of log2 scores of one text's words. ``counts`` are the corpus counts of ``codes``;
+    the text's own n-grams, times its copies, are taken out."""
+    n = len(codes[0])
+    left = []
+    for k, (code, count) in enumerate(zip(codes, counts)):
+        # n-grams that lie in the text; those before its first words count for nothing
+        inside = before >= k
+        _, at, own = np.unique(code[inside], return_inverse=True, return_counts=True)
+        others = np.zeros(n, np.int64)
+        others[inside] = count[inside] - copies * own[at]
+        left.append(others)
+    score = np.log2((left[0] + 1) / (total - copies * n + distinct + 1))
+    for k in range(1, len(codes)):
+        # the context is the n-gram of one word less that ends at the word before
+        context = np.zeros(n, np.int64)
+        context[1:] = left[k - 1][:-1]
+        seen = (left[k] > 0) & (context > 0)
+        longer = np.where(seen, np.log2(np.where(seen, left[k], 1) / np.where(seen, context, 1)), score + np.log2(alpha))
+        score = np.where(before >= k, longer, score)
+    return float(score.sum())
+
+
+def _scored(order: int, alpha: float, total: int, distinct: int):
+    """Scores of a block's documents from the counts of its n-grams."""
+    def run(rows: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):
+            return pd.DataFrame({"doc_id": [], "n_words": [], "log2_prob": []})
+        counts = counts.sort_values(["k", "code"])
+        tables = {k: (g["code"].to_numpy(), g["n"].to_numpy()) for k, g in counts.groupby("k")}
+        copies = tables[0][1][np.searchsorted(tables[0][0], rows["th"].to_numpy())]
+        texts, words, sizes, sums = [t or b"" for t in rows["text"]], Words(), [], []
+        for a, b in parts(texts):
+            codes, before, size = grams(texts[a:b], order, words)
+            found = []
+            for k in range(1, order + 1):
+                known, n = tables.get(k, (np.zeros(1, np.int64), np.zeros(1, np.int64)))
+                at = np.minimum(np.searchsorted(known, codes[k - 1]), len(known) - 1)
+                found.append(n[at])  # n-grams across the start of a text are not looked at
+            ends = np.cumsum(size)
+            for i, (end, m) in enumerate(zip(ends.tolist(), size.tolist())):
+                own = slice(end - m, end)
+                sizes.append(m)
+                sums.append(score_text([c[own] for c in codes], [c[own] for c in found], before[own], int(copies[a + i]), total, distinct, alpha) if m else 0.0)
+        return pd.DataFrame({"doc_id": rows["doc_id"], "n_words": sizes, "log2_prob": sums})
+    return run
 
 
 def lm_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_bytes, log2_prob, mean_log2) of every document."""
-    if not 1 <= order <= 7:
-        raise ValueError("an n-gram of more than 7 bytes does not fit one long")
-    text = F.col("text").cast("binary")
+    """(doc_id, n_words, log2_prob, mean_log2) of every document."""
+    if order < 1:
+        raise ValueError("an n-gram has at least one word")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    th = text_hash(F.col("text"))
     # written once: both passes have to see the same blocks
-    rows = written(docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.pmod(F.xxhash64(th, F.lit("half")), F.lit(2)).cast("int").alias("half"),
+    rows = written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"), text_hash(F.coalesce("text", F.lit(""))).alias("th"),
                                F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks_for(size, block_bytes))).cast("int").alias("block")), "lm-rows")
-    lists = written(rows.groupBy("block").applyInPandas(_counted(order), "block int, k int, code long, half int, n long"), "block-grams")
-    counts = written(lists.groupBy("k", "code").agg(
-        F.sum(F.when(F.col("half") == 0, F.col("n")).otherwise(0)).alias("n0"), F.sum(F.when(F.col("half") == 1, F.col("n")).otherwise(0)).alias("n1")), "counts")
-    # a block's documents end only n-grams of the longest length, but for their first bytes
-    wanted = lists.select("block", "k", "code").distinct()
-    scores = wanted.join(backoff_scores(counts, order, alpha), ["k", "code"])
-    out = rows.groupBy("block").cogroup(scores.groupBy("block")).applyInPandas(_summed(order), "doc_id long, n_bytes long, log2_prob double")
-    return out.withColumn("mean_log2", F.when(F.col("n_bytes") > 0, F.col("log2_prob") / F.col("n_bytes")))
+    lists = written(rows.groupBy("block").applyInPandas(_counted(order), "block int, k int, code long, n long"), "block-grams")
+    counts = written(lists.groupBy("k", "code").agg(F.sum("n").alias("n")), "counts")
+    words = counts.where("k = 1").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
+    known = lists.select("block", "k", "code").join(counts, ["k", "code"])
+    out = rows.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(
+        _scored(order, alpha, words["total"], words["distinct"]), "doc_id long, n_words long, log2_prob double")
+    return out.withColumn("mean_log2", F.when(F.col("n_words") > 0, F.col("log2_prob") / F.col("n_words")))

@@ -80,6 +80,30 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM dw LEFT JOIN hit USING (r) LEFT JOIN ids USING (r)
 """
 
+ORACLE_SQL["op7_lm_score"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, count(*) OVER (PARTITION BY coalesce(text, '')) AS copies,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+t AS (SELECT r, copies, len(w) AS n, unnest(w) AS b, unnest(range(0, len(w))) AS i, unnest(list_prepend(NULL, w[1:len(w) - 1])) AS a FROM d WHERE len(w) > 0),
+c1 AS (SELECT b, count(*) AS n1 FROM t GROUP BY b),
+c2 AS (SELECT a, b, count(*) AS n2 FROM t WHERE a IS NOT NULL GROUP BY a, b),
+o1 AS (SELECT r, b, count(*) AS m1 FROM t GROUP BY r, b),
+o2 AS (SELECT r, a, b, count(*) AS m2 FROM t WHERE a IS NOT NULL GROUP BY r, a, b),
+s AS (SELECT sum(n1) AS total, count(*) AS distinct_words FROM c1),
+g AS (
+  SELECT t.r, t.a,
+    log2((c1.n1 - copies * o1.m1 + 1) / CAST(total - copies * n + distinct_words + 1 AS DOUBLE)) AS one,
+    c2.n2 - copies * o2.m2 AS pair, p.n1 - copies * q.m1 AS context
+  FROM t CROSS JOIN s JOIN c1 ON c1.b = t.b JOIN o1 ON o1.r = t.r AND o1.b = t.b
+  LEFT JOIN c2 ON c2.a = t.a AND c2.b = t.b LEFT JOIN o2 ON o2.r = t.r AND o2.a = t.a AND o2.b = t.b
+  LEFT JOIN c1 p ON p.b = t.a LEFT JOIN o1 q ON q.r = t.r AND q.b = t.a),
+x AS (
+  SELECT r, sum(CASE WHEN a IS NULL THEN one WHEN pair > 0 AND context > 0 THEN log2(pair / CAST(context AS DOUBLE)) ELSE one + log2(0.4) END) AS lp
+  FROM g GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(lp, 0), 3) AS log2_prob, CASE WHEN len(w) > 0 THEN round(lp / len(w), 6) END AS mean_log2
+FROM d LEFT JOIN x USING (r)
+"""
+
 ORACLE_SQL["op8_url_filter"] = r"""
 WITH rules(verdict, rhost, rpath) AS (VALUES
   ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),

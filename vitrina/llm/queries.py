@@ -40,7 +40,9 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lmscore.lm_scores(table(spark, sf_dir, "documents"))
+    scores = lmscore.lm_scores(table(spark, sf_dir, "documents"))
+    # sums of logarithms, rounded to what any order of adding gives
+    return scores.select("doc_id", "n_words", F.round("log2_prob", 3).alias("log2_prob"), F.round("mean_log2", 6).alias("mean_log2"))
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
