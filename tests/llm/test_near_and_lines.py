@@ -77,29 +77,40 @@ def test_simhash_odd_rows(make_docs, odd_rows, spark):
     assert simhash.deduplicate(make_docs([])).count() == 0
 
 
-def plain_lines(rows, t=3, long=20):
+def plain_lines(rows, words=5, t=5):
     """{doc: text left}, doc_ids distinct and not null."""
-    lines = {d: [(i, x) for i, x in enumerate((text or "").split("\n")) if re.search(r"[^\x20\x09-\x0D]", x)] for d, text in rows}
-    seen, gone = set(), {d: set() for d in lines}
-    runs = []
+    def n(x):
+        return len(re.findall(r"[^\x20\x09-\x0D]+", x))
+
+    lines = {d: [(i, x) for i, x in enumerate((text or "").split("\n")) if n(x)] for d, text in rows}
+    gone, first = {d: set() for d in lines}, {}
     for d in sorted(lines):
-        own = lines[d]
-        for j in range(len(own)):
-            if j + t <= len(own):
-                runs.append((d, j, t, tuple(x for _, x in own[j:j + t])))
-            if len(re.findall(r"[^\x20\x09-\x0D]+", own[j][1])) >= long:
-                runs.append((d, j, 1, (own[j][1],)))
-    for d, j, n, run in sorted(runs):
-        if (n, run) in seen:
-            gone[d] |= {lines[d][k][0] for k in range(j, j + n)}
-        seen.add((n, run))
+        own = [x for _, x in lines[d]]
+        short = [n(x) < words for x in own]
+        for j, x in enumerate(own):
+            if not short[j]:
+                at = first.setdefault(x, (d, j))
+                if at != (d, j):
+                    gone[d].add(j)
+                    other = [y for _, y in lines[at[0]]]
+                    for step in (-1, 1):
+                        k = step
+                        while 0 <= j + k < len(own) and 0 <= at[1] + k < len(other) and short[j + k] and own[j + k] == other[at[1] + k]:
+                            gone[d].add(j + k)
+                            k += step
+            if all(short[j:j + t]) and j + t <= len(own):
+                at = first.setdefault(tuple(own[j:j + t]), (d, j))
+                if at != (d, j):
+                    gone[d] |= set(range(j, j + t))
+    gone = {d: {lines[d][j][0] for j in g} for d, g in gone.items()}
     return {d: None if text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone[d]) for d, text in rows}
 
 
 def test_lines_equal_brute_force(make_docs):
     rng = random.Random(3)
     long = [" ".join(f"l{rng.randrange(50)}" for _ in range(25)) for _ in range(4)]
-    rows = [(i, "\n".join(rng.choice(["a", "b", "c", "", "  ", "d e", *long]) for _ in range(rng.randrange(1, 25)))) for i in range(80)]
+    rows = [(i, "\n".join(rng.choice(["a", "b", "c", "", "  ", "d e", *long]) if i % 2 else rng.choice(["a", "b", "a b", " ", f"p{i} q r s t"])
+                       for _ in range(rng.randrange(1, 25)))) for i in range(80)]
     got = linededup.line_dedup(make_docs(rows)).collect()
     assert {r.doc_id: r.text for r in got} == plain_lines(rows)
     assert all(r.n_chars == len(r.text) for r in got)
@@ -114,15 +125,22 @@ def test_lines_odd_rows(make_docs, odd_rows):
         got.setdefault(r.doc_id, []).append(r.text)
     assert got[2] == [None] and got[3] == [""] and got[4] == [" \t\n "]
     assert got[6] == ["same text here"] * 2  # a repeated row is one document
-    assert got[9] == ["x\ny\nz\n"]  # the later run goes, blank lines stay
+    assert got[9] == ["x\ny\nz\n\nx\ny\nz"]  # few short lines alone stay
     assert len(got[None]) == 2
     report = {r.doc_id: (r.n_lines, r.n_removed) for r in linededup.line_report(docs).where("doc_id in (2, 9)").collect()}
-    assert report == {2: (0, 0), 9: (6, 3)}
+    assert report == {2: (0, 0), 9: (6, 0)}
     assert linededup.line_dedup(make_docs([])).count() == 0
 
 
+def test_every_longer_line_stays_once(make_docs):
+    line, frame = "one two three four five", "{\n  x\n"
+    rows = [(i, f"{frame}{line}\nend {i}") for i in range(40)] + [(50, f"other\n{line}\nend 7"), (51, "x\nend 7")]
+    got = {r.doc_id: r.text for r in linededup.line_dedup(make_docs(rows)).collect()}
+    assert got == {0: rows[0][1], **{i: f"end {i}" for i in range(1, 40)}, 50: "other\nend 7", 51: "x\nend 7"}
+
+
 def test_copies_lose_all_lines_but_stay(make_docs):
-    text = "\n".join(f"line {i}" for i in range(30))
+    text = "\n".join(f"line {i}" + " and more words" * (i % 4) for i in range(30))
     got = {r.doc_id: r.text for r in linededup.line_dedup(make_docs([(2, text), (1, text), (None, text)])).collect()}
     assert got == {1: text, 2: "", None: ""}
 

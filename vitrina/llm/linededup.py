@@ -1,17 +1,21 @@
 """Line dedup by winnowing over line hashes (DataFrame functions only).
 
-The non-blank lines of a document form a sequence. A *run* is ``min_lines``
-consecutive ones, or one line of ``long_words`` words or more. A run that
-occurs earlier - in a document with a smaller doc_id, or higher up in the same
-one - is deleted; runs that overlap or touch merge, so a match is deleted in
-its full length on both sides. Runs are judged on the input.
-
-Winnowing selects fingerprints: of each window of ``min_lines`` line hashes the
-least (the rightmost of equals), and each long line. Equal runs select the same
-fingerprint, so a run that repeats is found through it for certain, and only
-fingerprints that occur twice go on. Around their positions the match is
-extended both ways: each selecting window is compared by a 128-bit digest of
-its lines with the first place where it occurs.
+The non-blank lines of a document form a sequence. Fingerprints are chosen so that every
+repeat that counts has one: of the hashes of a single line the line itself, if it has
+``min_words`` words or more (a window of one line, whose minimum it is); and in stretches of
+shorter lines each window of ``window`` lines, known by the digest of its lines and placed at
+its least line hash. For each fingerprint the earliest place is found - in the document with the
+smallest doc_id, and highest up in it - and every other place is joined to it. From the joined
+positions the match is extended both ways over the shorter lines around it, as long as they equal
+those around the earliest place; longer lines there have fingerprints of their own. Whole
+matches at the later places are deleted. Matches are judged on the input.
+
+So a line of ``min_words`` words stays once; a shorter one goes only with a longer repeated
+neighbour or in a repeated stretch of ``window`` lines.
+
+Plan: a fingerprint's row carries its place, a 128-bit digest and the hashes of the shorter
+lines around it, no text. The earliest place of each is an aggregate, partial in every task, so a
+line that a third of all documents hold meets one row, and no pairs of places are made.
 
 Defined results: a null text has no lines and stays null; blank lines are never
 matched nor deleted; rows with equal doc_id and text are one document and share
@@ -25,55 +29,63 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, text_hash, written
+from .common import WORD, once, text_hash, written
 
-# The place of a run, in the order that makes one occurrence the earlier.
+# The place of a fingerprint, in the order that makes one occurrence the earlier.
 PLACE = "struct(doc_id is null as no_id, doc_id, th, pos)"
+MIN_WORDS, WINDOW = 5, 5
+
+
+def fingerprints(docs: DataFrame, min_words: int, window: int) -> DataFrame:
+    """(doc_id, th, pos, len, digest, before, after): pos counts the non-blank lines from 0; before
+    and after are the hashes of the shorter lines next to a line, nearest first."""
+    word = WORD.replace(chr(92), chr(92) * 2)
+    lines = docs.select(F.col("doc_id").cast("long"), text_hash(F.col("text")).alias("th"), F.split("text", "\n").alias("lines"))
+    lines = lines.select("doc_id", "th", F.expr(f"""
+        filter(transform(lines, x -> struct(x as line, xxhash64(x) as h, regexp_count(x, '{word}') as n)), x -> x.n > 0)""").alias("found"))
+    lines = once(lines.select("doc_id", "th", "found"), "l", F.col("found")).drop("found")
+    # the positions of the longer lines, with an end on either side
+    lines = once(lines, "long", F.expr(f"concat(array(-1), filter(sequence(0, size(l)), (x, i) -> i < size(l) and l[i].n >= {min_words}), array(size(l)))"))
+    single = F.expr("""
+        transform(filter(long, (x, i) -> i > 0 and i < size(long) - 1), (p, i) -> struct(
+            p as pos, 1 as len, unhex(md5(cast(l[p].line as binary))) as digest,
+            reverse(transform(slice(l, long[i] + 2, p - long[i] - 1), x -> x.h)) as before,
+            transform(slice(l, p + 2, long[i + 2] - p - 1), x -> x.h) as after))""")
+    # windows of shorter lines lie between two longer ones
+    starts = f"filter(transform(long, (p, i) -> struct(p + 1 as a, get(long, i + 1) - {window} as b)), x -> x.b is not null and x.b >= x.a)"
+    windows = F.expr(f"""
+        flatten(transform({starts}, s -> transform(sequence(s.a, s.b), j -> struct(
+            j as pos, {window} as len,
+            unhex(md5(cast(array_join(transform(slice(l, j + 1, {window}), x -> x.line), '\\n') as binary))) as digest,
+            cast(array() as array<bigint>) as before, cast(array() as array<bigint>) as after))))""")
+    return lines.select("doc_id", "th", F.explode(F.concat(single, windows)).alias("f")).select("doc_id", "th", "f.*")
 
 
-def line_runs(docs: DataFrame, min_lines: int, long_words: int) -> DataFrame:
-    """(doc_id, th, fh, runs): a row per fingerprint; runs holds the place and
-    digest of the runs that selected it."""
-    lines = (docs.select(F.col("doc_id").cast("long"), text_hash(F.col("text")).alias("th"), F.split("text", "\n").alias("lines"))
-             .select("doc_id", "th", F.expr(r"filter(transform(lines, (x, i) -> struct(i as pos, x as line)), x -> x.line rlike '[^\\x20\\x09-\\x0D]')").alias("l"))
-             .select("doc_id", "th", "l", F.expr("transform(l, x -> xxhash64(x.line))").alias("h")))
-    t = min_lines
-    # j counts the non-blank lines from 0; at is the line that window j selects
-    least = f"array_min(slice(h, j + 1, {t}))"
-    windows = F.expr(f"""
-        if(size(l) < {t}, array(), transform(sequence(0, size(l) - {t}), j -> struct(
-            {least} as fh,
-            int(j + {t} - array_position(reverse(slice(h, j + 1, {t})), {least})) as at,
-            j as pos, {t} as len,
-            unhex(md5(cast(array_join(transform(slice(l, j + 1, {t}), x -> x.line), '\n') as binary))) as digest)))""")
-    long_lines = F.expr(rf"""
-        transform(filter(transform(l, (x, i) -> struct(x.line as line, i as i)), x -> regexp_count(x.line, '{WORD.replace(chr(92), chr(92) * 2)}') >= {long_words}),
-            x -> struct(h[x.i] as fh, x.i as at, x.i as pos, 1 as len, unhex(md5(cast(x.line as binary))) as digest))""")
-    runs = lines.select("doc_id", "th", windows.alias("w"), long_lines.alias("s"))
-    # a window hash and a line hash of one line are one fingerprint with several runs
-    return runs.select("doc_id", "th", F.explode(F.concat("w", "s")).alias("r")).select(
-        "doc_id", "th", "r.fh", "r.at", "r.pos", "r.len", "r.digest")
-
-
-def repeated_lines(docs: DataFrame, min_lines: int = 3, long_words: int = 20) -> DataFrame:
-    """(doc_id, th, gone): for each document with later repeated runs the
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
+    """(doc_id, th, gone): for each document with later repeated lines the
     indexes, among its non-blank lines, of the lines to delete."""
-    runs = written(line_runs(docs, min_lines, long_words), "line-runs")
-    # a fingerprint is one selected line; its windows do not make it repeated
-    marks = runs.select("doc_id", "th", "fh", "at").distinct()
-    twice = marks.groupBy("fh").agg(F.count("*").alias("n")).where("n > 1").select("fh")
-    candidates = runs.join(twice, "fh", "left_semi")
-    first = candidates.groupBy("len", "digest").agg(F.min(F.expr(PLACE)).alias("first"))
-    later = candidates.join(first, ["len", "digest"]).where(F.expr(f"{PLACE} > first"))
-    return (later.select("doc_id", "th", F.explode(F.expr("sequence(pos, pos + len - 1)")).alias("i"))
+    rows = written(fingerprints(docs, min_words, window), "line-fingerprints")
+    # rows that repeat a document are one place
+    first = rows.groupBy("len", "digest").agg(
+        F.min(F.struct(F.expr(PLACE).alias("at"), "before", "after")).alias("first"),
+        (F.min(F.expr(PLACE)) < F.max(F.expr(PLACE))).alias("twice")).where("twice")
+    later = rows.join(first.select("len", "digest", "first"), ["len", "digest"]).where(F.expr(f"{PLACE} > first.at"))
+
+    def alike(side: str) -> str:
+        """How many lines on one side equal those at the earliest place."""
+        both = f"zip_with({side}, first.{side}, (a, b) -> coalesce(a = b, false))"
+        return f"if(array_contains({both}, false), array_position({both}, false) - 1, size({side}))"
+
+    matched = F.expr(f"sequence(pos - cast({alike('before')} as int), pos + len - 1 + cast({alike('after')} as int))")
+    return (later.select("doc_id", "th", F.explode(matched).alias("i"))
             .groupBy("doc_id", "th").agg(F.collect_set("i").alias("gone")))
 
 
-def _edited(docs: DataFrame, min_lines: int, long_words: int) -> DataFrame:
+def _edited(docs: DataFrame, min_words: int, window: int) -> DataFrame:
     """(d, kept, n_lines, n_removed): each document as a struct, its text
     without the later repeated runs, its non-blank lines and how many of them
     are deleted."""
-    gone = repeated_lines(docs.select("doc_id", "text"), min_lines, long_words)
+    gone = repeated_lines(docs.select("doc_id", "text"), min_words, window)
     keyed = docs.select(F.struct(*docs.columns).alias("d")).select("d", F.col("d.doc_id").cast("long").alias("id"), text_hash(F.col("d.text")).alias("h"))
     both = keyed.join(gone, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("th")), "left").select(
         "d", "gone", F.split("d.text", "\n").alias("lines"))
@@ -85,12 +97,12 @@ def _edited(docs: DataFrame, min_lines: int, long_words: int) -> DataFrame:
                        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"))
 
 
-def line_report(docs: DataFrame, min_lines: int = 3, long_words: int = 20) -> DataFrame:
+def line_report(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed and the text that is left."""
-    return _edited(docs, min_lines, long_words).select("d.doc_id", "n_lines", "n_removed", F.col("kept").alias("text"))
+    return _edited(docs, min_words, window).select("d.doc_id", "n_lines", "n_removed", F.col("kept").alias("text"))
 
 
-def line_dedup(docs: DataFrame, min_lines: int = 3, long_words: int = 20) -> DataFrame:
+def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
     """All rows and columns of ``docs`` with the text that is left; n_chars,
     if there, follows the text."""
     types = dict(docs.dtypes)
@@ -102,4 +114,4 @@ def line_dedup(docs: DataFrame, min_lines: int = 3, long_words: int = 20) -> Dat
             return F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("d.n_chars")).cast(types[c]).alias(c)
         return F.col(f"d.`{c}`")
 
-    return _edited(docs, min_lines, long_words).select(*[column(c) for c in docs.columns])
+    return _edited(docs, min_words, window).select(*[column(c) for c in docs.columns])

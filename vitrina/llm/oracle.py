@@ -21,22 +21,37 @@ WHERE rank <= 20
 ORACLE_SQL["op3_line_dedup"] = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
 a AS (SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d),
-l AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY i) - 1 AS pos FROM a WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-runs AS (
-  SELECT r, doc_id, pos, 3 AS n, [line, lead(line) OVER w, lead(line, 2) OVER w] AS run, lead(pos, 2) OVER w AS ends
-  FROM l WINDOW w AS (PARTITION BY r ORDER BY pos)
-  UNION ALL
-  SELECT r, doc_id, pos, 1, [line], pos FROM l WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 20),
-f AS (SELECT *, row_number() OVER (PARTITION BY n, run ORDER BY doc_id, pos) AS k FROM runs WHERE ends IS NOT NULL),
-g AS (SELECT DISTINCT r, unnest(range(pos, pos + n)) AS pos FROM f WHERE k > 1),
+l AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY i) - 1 AS pos, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 5 AS long
+  FROM a WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+b AS (SELECT *, sum(CASE WHEN long THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY pos) AS part FROM l),
+w AS (
+  SELECT r, doc_id, pos, [line, lead(line) OVER v, lead(line, 2) OVER v, lead(line, 3) OVER v, lead(line, 4) OVER v] AS run, lead(pos, 4) OVER v AS ends
+  FROM b WHERE NOT long WINDOW v AS (PARTITION BY r, part ORDER BY pos)),
+f AS (
+  SELECT r, doc_id, pos, 1 AS n, [line] AS run FROM b WHERE long
+  UNION ALL SELECT r, doc_id, pos, 5, run FROM w WHERE ends IS NOT NULL),
+k AS (
+  SELECT *, row_number() OVER o AS k, first_value(r) OVER o AS r1, first_value(pos) OVER o AS p1
+  FROM f WINDOW o AS (PARTITION BY n, run ORDER BY doc_id, pos)),
+later AS (SELECT * FROM k WHERE k > 1),
+near AS (  -- shorter lines around a later long line, with those around its earliest place
+  SELECT x.r, s.pos, bool_and(coalesce(t.line = s.line AND NOT t.long, false)) OVER (
+    PARTITION BY x.r, x.pos, s.pos > x.pos ORDER BY abs(s.pos - x.pos)) AS same
+  FROM later x JOIN b y ON y.r = x.r AND y.pos = x.pos JOIN b s ON s.r = x.r AND NOT s.long AND s.part IN (y.part - 1, y.part)
+  LEFT JOIN b t ON t.r = x.r1 AND t.pos = x.p1 + s.pos - x.pos WHERE x.n = 1),
+g AS (
+  SELECT DISTINCT r, unnest(range(pos, pos + n)) AS pos FROM later
+  UNION SELECT r, pos FROM near WHERE same),
 kept AS (
   SELECT a.r, string_agg(a.line, chr(10) ORDER BY a.i) AS text
   FROM a LEFT JOIN l ON a.r = l.r AND a.i = l.i LEFT JOIN g ON g.r = l.r AND g.pos = l.pos
-  WHERE g.r IS NULL GROUP BY a.r)
-SELECT d.doc_id, coalesce((SELECT count(*) FROM l WHERE l.r = d.r), 0) AS n_lines,
-       coalesce((SELECT count(*) FROM g WHERE g.r = d.r), 0) AS n_removed,
+  WHERE g.r IS NULL GROUP BY a.r),
+n_lines AS (SELECT r, count(*) AS n FROM l GROUP BY r),
+n_gone AS (SELECT r, count(*) AS n FROM g GROUP BY r)
+SELECT d.doc_id, coalesce(n_lines.n, 0) AS n_lines, coalesce(n_gone.n, 0) AS n_removed,
        CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text
-FROM d LEFT JOIN kept ON kept.r = d.r
+FROM d LEFT JOIN kept ON kept.r = d.r LEFT JOIN n_lines ON n_lines.r = d.r LEFT JOIN n_gone ON n_gone.r = d.r
 """
 
 ORACLE_SQL["op4_substring_dedup"] = r"""
