@@ -176,7 +176,7 @@ def test_bit_slices_score_every_row():
 def plain_lm(rows, order, alpha=0.4):
     """{(doc, text): sum of log2 scores}, by counting everything but the text's copies."""
     split = [(d, tuple(re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode())), t or "") for d, t in rows]
-    total, words = sum(len(w) for _, w, _ in split), {x for _, w, _ in split for x in w}
+    total = sum(len(w) for _, w, _ in split)
     counts = Counter(w[i:i + k] for _, w, _ in split for k in range(1, order + 1) for i in range(len(w) - k + 1))
     out = {}
     for d, w, t in split:
@@ -188,7 +188,7 @@ def plain_lm(rows, order, alpha=0.4):
 
         def score(g):
             if len(g) == 1:
-                return math.log2((left(g) + 1) / (total - copies * len(w) + len(words) + 1))
+                return math.log2((left(g) + 1) / (total - copies * len(w) + 1))
             return math.log2(left(g) / left(g[:-1])) if left(g) > 0 and left(g[:-1]) > 0 else math.log2(alpha) + score(g[1:])
 
         out[d, t] = (len(w), sum(score(w[max(0, i - order + 1):i + 1]) for i in range(len(w))))
@@ -202,7 +202,7 @@ def test_lm_equals_brute_force(make_docs, order):
     rows += [(70, None), (71, ""), (72, rows[0][1]), (72, rows[0][1]), (73, "only here"), (74, " \t "), (75, "ab"), (76, "\xa0 ab")]
     want = plain_lm(rows, order)
     for size in (100, 1 << 20):
-        got = lmscore.lm_scores(make_docs(rows), order=order, block_bytes=size).collect()
+        got = lmscore.lm_scores(make_docs(rows), order=order, block_bytes=size, part_words=size).collect()
         assert len(got) == len(rows)
         texts = dict(rows)
         for r in got:
@@ -236,13 +236,21 @@ def test_lm_odd_rows(make_docs, odd_rows):
         lmscore.lm_scores(make_docs([]), order=0)
 
 
-def test_lm_repeated_rows_spread(make_docs, monkeypatch):
-    most = []
-    monkeypatch.setattr(lmscore, "written", lambda df, name, f=lmscore.written: (most.append(f(df, name)), most[-1])[1])
-    got = lmscore.lm_scores(make_docs([(1, "one text " * 20)] * 200 + [(None, "other")]), block_bytes=1800).collect()
+def test_lm_repeated_rows_spread(make_docs):
+    docs = make_docs([(1, "one text " * 20)] * 200 + [(None, "other")])
+    got = lmscore.lm_scores(docs, block_bytes=1800).collect()
     assert len(got) == 201 and len({(r.doc_id, r.log2_prob) for r in got}) == 2
-    sizes = [r["count"] for r in most[0].groupBy("block").count().collect()]
-    assert most[0].columns == ["doc_id", "text", "th", "block"] and max(sizes) <= 40
+    assert max(r["count"] for r in lmscore.blocked(docs, 10).groupBy("block").count().collect()) <= 10
+
+
+def test_lm_packed_lists():
+    rng = np.random.default_rng(1)
+    for codes in (rng.integers(0, 2**64, 5000, np.uint64), np.array([0, 1, 2**64 - 1], np.uint64), np.zeros(1, np.uint64), np.zeros(0, np.uint64)):
+        codes = np.unique(codes)
+        n = rng.choice([1, 1, 1, 2, 10**12], len(codes)).astype(np.int64)
+        a, b = lmscore.unpack(lmscore.pack(codes, n))
+        assert (a == codes).all() and (b == n).all() and len(a) == len(codes)
+    assert len(lmscore.pack(np.arange(0, 10**9, 10**5, dtype=np.uint64), np.ones(10**4, np.int64))) < 3 * 10**4 + 100
 
 
 # --- url filters

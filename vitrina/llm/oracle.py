@@ -104,10 +104,10 @@ c1 AS (SELECT b, count(*) AS n1 FROM t GROUP BY b),
 c2 AS (SELECT a, b, count(*) AS n2 FROM t WHERE a IS NOT NULL GROUP BY a, b),
 o1 AS (SELECT r, b, count(*) AS m1 FROM t GROUP BY r, b),
 o2 AS (SELECT r, a, b, count(*) AS m2 FROM t WHERE a IS NOT NULL GROUP BY r, a, b),
-s AS (SELECT sum(n1) AS total, count(*) AS distinct_words FROM c1),
+s AS (SELECT sum(n1) AS total FROM c1),
 g AS (
   SELECT t.r, t.a,
-    log2((c1.n1 - copies * o1.m1 + 1) / CAST(total - copies * n + distinct_words + 1 AS DOUBLE)) AS one,
+    log2((c1.n1 - copies * o1.m1 + 1) / CAST(total - copies * n + 1 AS DOUBLE)) AS one,
     c2.n2 - copies * o2.m2 AS pair, p.n1 - copies * q.m1 AS context
   FROM t CROSS JOIN s JOIN c1 ON c1.b = t.b JOIN o1 ON o1.r = t.r AND o1.b = t.b
   LEFT JOIN c2 ON c2.a = t.a AND c2.b = t.b LEFT JOIN o2 ON o2.r = t.r AND o2.a = t.a AND o2.b = t.b
