@@ -253,7 +253,9 @@ def _replace_months(spark: SparkSession, df: DataFrame, folder: str, draft: str,
     """Store the rows of ``months`` in place of what was there; other months keep their files,
     and a month without rows goes. Returns the rows stored."""
     seen = Observation()
-    df.withColumn(MONTH, _month()).observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy(MONTH).parquet(draft)
+    # few files a month; a month with very many rows is split at run time
+    rows = df.withColumn(MONTH, _month()).hint("rebalance", MONTH)
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy(MONTH).parquet(draft)
     ready = set(files.list_names(spark, draft))
     files.mkdirs(spark, folder)
     for name in (f"{MONTH}={m}" for m in months):
