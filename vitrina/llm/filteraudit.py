@@ -61,6 +61,7 @@ BYTES_PER_STATE = 1 << 30
 
 COUNTER = ["part", "mask", "good", "toxic"]
 MOVES = "part string, mask int, good boolean, toxic boolean, n long"
+ROWS = "text_key binary, doc_id long, part string, mask int, good boolean, toxic boolean"
 TEXTS = "text_key binary, part string, mask int, good boolean, toxic boolean, doc_id long, n_first long, n long"
 STATE = "texts binary"
 
@@ -158,19 +159,17 @@ class Audit:
          .partitionBy("batch").parquet(f"{self.root}/{name}"))
 
     def _masks(self, batch: DataFrame, batch_id: int) -> None:
-        # thin rows: counted and reduced from one reading of the texts
-        rows = masked(batch, batch.sparkSession.read.parquet(f"{self.root}/labels")).persist()
-        try:
-            self._write(rows.groupBy(*COUNTER).agg(F.count("*").alias("n")), "counts", batch_id)
-            self._write(reduced(rows), "texts", batch_id)
-        finally:
-            rows.unpersist()
+        # thin rows, stored: counted and reduced from one reading of the texts
+        self._write(masked(batch, batch.sparkSession.read.parquet(f"{self.root}/labels")), "rows", batch_id)
+        rows = batch.sparkSession.read.schema(ROWS + ", batch long").parquet(f"{self.root}/rows").where(F.col("batch") == batch_id).drop("batch")
+        self._write(rows.groupBy(*COUNTER).agg(F.count("*").alias("n")), "counts", batch_id)
+        self._write(reduced(rows), "texts", batch_id)
 
     def advance(self) -> None:
         """Count all files that have come since the last call."""
         s = self.session
         # the folders are there even if no file comes
-        for name, ddl in (("counts", MOVES), ("texts", TEXTS), ("moves", MOVES), ("entries", "n long")):
+        for name, ddl in (("rows", ROWS), ("counts", MOVES), ("texts", TEXTS), ("moves", MOVES), ("entries", "n long")):
             s.createDataFrame([], ddl + ", batch long").write.mode("append").partitionBy("batch").parquet(f"{self.root}/{name}")
         label_marks(self.labels).write.mode("overwrite").parquet(f"{self.root}/labels")
         files = s.read.parquet(self.documents)
