@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vitrina.llm import decontaminate, licenses, lmscore, substring, topk, urlfilter
 
@@ -126,16 +127,18 @@ def test_proximity(make_docs, spark):
 # --- top-k
 
 def plain_topk(rows, k):
-    usable = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            usable[i] = [math.floor(64 * float(np.float32(x))) for x in v]
+    usable = [(i, [math.floor(64 * float(np.float32(x))) for x in v]) for i, v in rows
+              if v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in sorted(usable):
-        if q % 20 == 0:
-            score = sorted((-sum(a * b for a, b in zip(usable[q], v)), i) for i, v in usable.items() if i != q)
-            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(score[:k])]
-    return out
+    for at, (q, x) in enumerate(usable):
+        if q is not None and q % 20 == 0:
+            score = sorted((-sum(a * b for a, b in zip(x, v)), i is None, i or 0) for j, (i, v) in enumerate(usable) if j != at)
+            out += [(q, n + 1, None if none else i, -s) for n, (s, none, i) in enumerate(score[:k])]
+    return sorted(out, key=str)
+
+
+def is_query():
+    return F.col("vec_id") % 20 == 0
 
 
 def vectors(spark, rows):
@@ -148,24 +151,32 @@ def test_topk_equals_brute_force(spark):
     rows = [(i, [float(x) for x in base[rng.integers(30)] if True], 0) for i in range(300)]  # many equal vectors
     rows += [(301, None, 0), (302, [1.0, None], 0), (303, [float("nan")] * 12, 0), (320, [float("inf")] * 12, 0), (None, [1.0] * 12, 0),
              (304, [], 0), (340, [0.5, -0.5], 0), (360, [0.0] * 12, 0)]
-    rows.append(rows[7])
-    df = vectors(spark, rows)
+    # repeated rows, ids that two vectors share, rows without an id
+    rows += [rows[7], rows[40], rows[40], (60, [0.25] * 12, 0), (7, [2.0] * 12, 0), (None, [1.0] * 12, 0), (None, [0.75] * 12, 0)]
+    df = vectors(spark, rows).repartition(4)
     for blocks in ({"query_block": 5, "block": 64}, {}):
-        got = topk.top_k(df.where("vec_id % 20 = 0"), df, 20, **blocks).collect()
-        assert sorted(tuple(r) for r in got) == plain_topk([r[:2] for r in rows], 20)
+        got = topk.top_k(df, is_query(), 20, **blocks).collect()
+        assert sorted((tuple(r) for r in got), key=str) == plain_topk([r[:2] for r in rows], 20)
+
+
+def test_topk_huge_components_are_refused(spark):
+    for x in (1e18, -1e300, 3e17):
+        df = spark.createDataFrame([(0, [x]), (1, [x])], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="beyond 62 bits"):
+            topk.top_k(df, is_query()).collect()
 
 
 def test_topk_few_rows(spark):
     df = vectors(spark, [(0, [0.5], 0), (1, [0.25], 0), (2, [-1.0], 0)])
-    got = topk.top_k(df.where("vec_id % 20 = 0"), df).collect()
+    got = topk.top_k(df, is_query()).collect()
     assert sorted(tuple(r) for r in got) == [(0, 1, 1, 512), (0, 2, 2, -2048)]
-    assert topk.top_k(df.limit(0), df).count() == 0 and topk.top_k(df, df.limit(0)).count() == 0
+    assert topk.top_k(df.limit(0), is_query()).count() == 0 and topk.top_k(df, F.lit(False)).count() == 0
 
 
 def test_bit_slices_score_every_row():
     rng = np.random.default_rng(1)
     x, q = rng.integers(-40, 41, (130, 9)), rng.integers(-40, 41, 9)
-    index = topk.BitSlices(np.arange(130), x)
+    index = topk.BitSlices(np.arange(130), np.arange(130), x)
     slices = index.score_slices(q)
     total = sum((np.unpackbits(s.view(np.uint8), bitorder="little")[:130].astype(np.int64) << i) for i, s in enumerate(slices))
     assert len(set((total - x @ q).tolist())) == 1

@@ -17,8 +17,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = table(spark, sf_dir, "embeddings")
-    return topk.top_k(vectors.where("vec_id % 20 = 0"), vectors)
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,10 +14,11 @@ Queries and candidates meet block by block: every block of queries with every
 block of candidates, keyed by the pair of block numbers.
 
 Defined results: vectors that are null or hold a null or non-finite component
-take no part, nor do rows without vec_id; rows that repeat an id with an equal
-vector count once; missing components of a shorter vector are zero; a query is
-never its own result, under its id. Other columns are ignored. Scores beyond
-62 bits are an error.
+take no part; every other row does, with or without vec_id. A query is a row: rows
+that repeat an id are queries and candidates of their own, and only a query's own
+row is not among its results. Equal scores go to the smaller vec_id, null last.
+Missing components of a shorter vector are zero. Other columns are ignored.
+Scores beyond 62 bits are an error.
 """
 
 from __future__ import annotations
@@ -32,18 +33,21 @@ from .common import blocks_for, written
 
 
 def quantised(vectors: DataFrame, scale: float = 64.0) -> DataFrame:
-    """(vec_id, v): the distinct usable rows, v the integer components."""
-    usable = vectors.where("vec_id is not null and embedding is not null and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < cast('infinity' as double))")
-    v = F.transform("embedding", lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("long"))
-    return usable.select(F.col("vec_id").cast("long"), v.alias("v")).distinct()
+    """(row, vec_id, v): the usable rows, numbered, v the integer components. To be written
+    before it is read twice, as the numbers depend on the partitions."""
+    usable = vectors.where("embedding is not null and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < cast('infinity' as double))")
+    # beyond what a product of 62 bits allows; the search refuses it
+    limit = F.lit(float(2**61))
+    v = F.transform("embedding", lambda x: F.floor(F.greatest(-limit, F.least(limit, x.cast("double") * F.lit(float(scale))))).cast("long"))
+    return usable.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long"), v.alias("v"))
 
 
 class BitSlices:
-    """The index of one block: x holds its rows, sorted by id."""
+    """The index of one block: x holds its rows, sorted by id and row number."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.x = ids[order], x[order]
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, x: np.ndarray):
+        order = np.lexsort((rows, ids))
+        self.ids, self.row, self.x = ids[order], rows[order], x[order]
         n, d = self.x.shape
         self.words = (n + 63) // 64
         self.low = self.x.min(axis=0)
@@ -92,14 +96,10 @@ class BitSlices:
             w += 1
         return out
 
-    def top(self, query_id: int, q: np.ndarray, k: int) -> np.ndarray:
-        """Rows of the k best scores, ties to the smaller id."""
-        own = slice(np.searchsorted(self.ids, query_id, "left"), np.searchsorted(self.ids, query_id, "right"))
-        open_rows = self.all
-        if own.stop > own.start:
-            bits = np.zeros(len(self.ids), np.uint8)
-            bits[own] = 1
-            open_rows = open_rows & ~self.bitmap(bits)
+    def top(self, query_row: int, q: np.ndarray, k: int) -> np.ndarray:
+        """Places of the k best scores, ties to the smaller id; the query's own row is left out."""
+        own = self.row == query_row
+        open_rows = self.all & ~self.bitmap(own) if own.any() else self.all
         sure = np.zeros(self.words, np.uint64)
         for s in reversed(self.score_slices(q)):
             ones = open_rows & s
@@ -127,37 +127,42 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
     return out
 
 
+# Stands for a null id: after all others.
+NO_ID = np.iinfo(np.int64).max
+
+
 def _search(k: int):
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(queries) and len(rows):
             width = max(1, max(map(len, queries["v"])), max(map(len, rows["v"])))
             q, x = _matrix(queries["v"], width), _matrix(rows["v"], width)
-            if float(np.abs(q).max()) * float(np.abs(x).max()) * width >= 2.0**62:
+            if float(np.abs(q.astype(float)).max()) * float(np.abs(x.astype(float)).max()) * width >= 2.0**62:
                 raise OverflowError("scores beyond 62 bits")
-            index = BitSlices(rows["vec_id"].to_numpy(), x)
-            for i, (query_id, h) in enumerate(zip(queries["vec_id"], queries["h"])):
-                best = index.top(query_id, q[i], k)
-                found.append(pd.DataFrame({"query_id": query_id, "h": h, "vec_id": index.ids[best], "score": index.x[best] @ q[i]}))
-        return pd.concat(found) if found else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("query_id", "h", "vec_id", "score")})
+            index = BitSlices(rows["id"].to_numpy(), rows["row"].to_numpy(), x)
+            for i, row in enumerate(queries["row"]):
+                best = index.top(row, q[i], k)
+                found.append(pd.DataFrame({"query_row": row, "row": index.row[best], "id": index.ids[best], "score": index.x[best] @ q[i]}))
+        return pd.concat(found) if found else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("query_row", "row", "id", "score")})
     return run
 
 
-def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, scale: float = 64.0,
-          query_block: int = 512, block: int = 32_768) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each query its k best candidates by
-    inner product of the quantised vectors, ties to the smaller vec_id. Both
-    tables have vec_id and embedding."""
-    rows = written(quantised(candidates, scale), "vectors")
-    wanted = written(quantised(queries, scale).withColumn("h", F.xxhash64("v")), "queries")
+def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, query_block: int = 512, block: int = 32_768) -> DataFrame:
+    """(query_id, rank, vec_id, score): for each row of ``vectors`` (vec_id, embedding) for which
+    ``is_query`` holds, its k best other rows by inner product of the quantised vectors."""
+    known = written(quantised(vectors, scale), "vectors")
+    rows = known.select("row", F.coalesce("vec_id", F.lit(int(NO_ID))).alias("id"), "v")
+    wanted = known.where(is_query).select("row", F.col("vec_id").alias("query_id"), "v")
     n_rows, n_queries = blocks_for(rows.count(), block), blocks_for(wanted.count(), query_block)
 
     def part(n: int) -> Column:
-        return F.pmod(F.xxhash64("vec_id", "v"), F.lit(n)).cast("int")
+        return F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
 
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = wanted.withColumn("qb", part(n_queries)).withColumn("cb", every(n_rows))
+    left = wanted.select("row", "v").withColumn("qb", part(n_queries)).withColumn("cb", every(n_rows))
     right = rows.withColumn("cb", part(n_rows)).withColumn("qb", every(n_queries))
-    found = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(_search(k), "query_id long, h long, vec_id long, score long")
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "h").orderBy(F.desc("score"), "vec_id")))
-    return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    found = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(_search(k), "query_row long, row long, id long, score long")
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "id", "row")
+    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    names = wanted.select(F.col("row").alias("query_row"), "query_id")
+    return ranked.join(names, "query_row").select("query_id", F.col("rank").cast("int"), F.nullif("id", F.lit(int(NO_ID))).alias("vec_id"), "score")
