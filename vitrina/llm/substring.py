@@ -269,7 +269,9 @@ def remove_repeats(docs: DataFrame, window: int = 35, rounds: tuple = ROUNDS) ->
     held = beside(texts, spans, "left")
     unsettled = held.where(F.size("open") > 0).select("doc_id", "th", "text", "open")
     windows = written(unsettled.mapInArrow(_open_windows(window), "doc_id long, th long, p int, h1 long, h2 long"), "windows")
-    twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
+    # written, so that the join has an exchange of its own on either side and a digest that very many
+    # documents share is split over tasks
+    twice = written(windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2"), "repeated-windows")
     starts = windows.join(twice, ["h1", "h2"], "left_semi").groupBy("doc_id", "th").agg(F.collect_set("p").alias("p"))
     none = F.expr("cast(array() as array<struct<lo:int,hi:int>>)")
     marked = beside(held.select("doc_id", "th", "text", F.coalesce("whole", none).alias("whole")), starts, "left")
