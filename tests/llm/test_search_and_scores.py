@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -254,6 +255,14 @@ def test_lm_repeated_rows_spread(make_docs):
     assert max(r["count"] for r in lmscore.blocked(docs, 10).groupBy("block").count().collect()) <= 10
 
 
+def test_lm_block_read_by_two_tasks():
+    one, other = (np.array(x, np.uint64) for x in ([1, 5, 9], [5, 7]))
+    rows = [(8, 1, 0, one, [1, 2, 300]), (8, 1, 0, other, [4, 1]), (9, 1, 0, other, [1, 1])]
+    lists = pd.DataFrame([(b, k, p, lmscore.pack(c, np.array(n))) for b, k, p, c, n in rows], columns=["block", "k", "part", "list"])
+    got = {r.block: lmscore.unpack_counts(r.counts).tolist() for r in lmscore._answered(lists).itertuples()}
+    assert got == {8: [1, 7, 2, 300], 9: [7, 2]}
+
+
 def test_lm_packed_lists():
     rng = np.random.default_rng(1)
     for codes in (rng.integers(0, 2**64, 5000, np.uint64), np.array([0, 1, 2**64 - 1], np.uint64), np.zeros(1, np.uint64), np.zeros(0, np.uint64)):
@@ -261,6 +270,7 @@ def test_lm_packed_lists():
         n = rng.choice([1, 1, 1, 2, 10**12], len(codes)).astype(np.int64)
         a, b = lmscore.unpack(lmscore.pack(codes, n))
         assert (a == codes).all() and (b == n).all() and len(a) == len(codes)
+        assert (lmscore.unpack_counts(lmscore.pack_counts(n + 253)) == n + 253).all()
     assert len(lmscore.pack(np.arange(0, 10**9, 10**5, dtype=np.uint64), np.ones(10**4, np.int64))) < 3 * 10**4 + 100
 
 

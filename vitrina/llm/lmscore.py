@@ -13,10 +13,10 @@ Plan: a block is a bounded run of rows of one file, so that a row's block is the
 the file is read. Where the rows are read, each block lists its distinct n-grams with their
 counts, and its texts' hashes as n-grams of order 0, so that the number of equal texts comes the
 same way. The lists are cut by ranges of the hash: the n-gram table's partitions. A partition adds
-up its lists and answers each with the counts of its n-grams over the whole corpus; what
-occurs once needs no answer, as the only text that holds it leaves nothing. Blocks are joined to
-their answers and sum their documents' scores. Lists travel as packed sorted hashes, some 6
-bytes an n-gram, and an n-gram that every document holds costs one entry per block.
+up its lists and answers each block with the counts of its n-grams over the whole corpus, in
+their order. Blocks are joined to their answers and sum their documents' scores. Lists travel as
+packed sorted hashes, some 6 bytes an n-gram, answers as some 1 byte, and an n-gram that every
+document holds costs one entry per block.
 
 Defined results: null, empty and blank texts have no words, log2_prob 0 and a null mean; repeated
 rows score alike; a text all of whose words stand nowhere else is scored as unseen words.
@@ -148,18 +148,30 @@ def _listed(order: int, bits: int):
     return run
 
 
+def pack_counts(n: np.ndarray) -> bytes:
+    """Counts in one byte each, those of 255 and more beside them."""
+    return b"".join((struct.pack("<I", len(n)), np.minimum(n, 255).astype(np.uint8).tobytes(), n[n >= 255].astype("<i8").tobytes()))
+
+
+def unpack_counts(data: bytes) -> np.ndarray:
+    size, = struct.unpack_from("<I", data)
+    n = np.frombuffer(data, np.uint8, size, 4).astype(np.int64)
+    n[n == 255] = np.frombuffer(data, "<i8", -1, 4 + size)
+    return n
+
+
 def _answered(lists: pd.DataFrame) -> pd.DataFrame:
-    """The counts over all blocks of one partition's n-grams, to each block that listed them."""
+    """To each block the counts over all blocks of its n-grams of one partition, in their order;
+    the block knows the n-grams. A block that two tasks read has two lists and one answer."""
     got = [unpack(x) for x in lists["list"]]
     codes, at = np.unique(np.concatenate([c for c, _ in got]), return_inverse=True)
     total = np.bincount(at, np.concatenate([n for _, n in got]), len(codes)).astype(np.int64)
-    out, start = [], 0
-    for block, k, (own, _) in zip(lists["block"], lists["k"], got):
-        mine = total[at[start:start + len(own)]]
-        start += len(own)
-        if (mine > 1).any():
-            out.append((block, k, pack(own[mine > 1], mine[mine > 1])))
-    return pd.DataFrame(out, columns=["block", "k", "list"])
+    places = np.split(at, np.cumsum([len(c) for c, _ in got])[:-1])
+    out = []
+    for block, which in lists.groupby("block").indices.items():
+        mine = places[which[0]] if len(which) == 1 else np.unique(np.concatenate([places[i] for i in which]))
+        out.append((block, lists["k"].iloc[0], lists["part"].iloc[0], pack_counts(total[mine])))
+    return pd.DataFrame(out, columns=["block", "k", "part", "counts"])
 
 
 def score_text(codes: list[np.ndarray], counts: list[np.ndarray], before: np.ndarray, copies: int, total: int, alpha: float) -> float:
@@ -190,25 +202,23 @@ def _scored(order: int, alpha: float, total: int):
     def run(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
             return pd.DataFrame({"doc_id": [], "n_words": [], "log2_prob": []})
+        texts, words = [t or b"" for t in rows["text"]], Words()
+        th = rows["th"].to_numpy(np.int64).view(np.uint64)
+        pieces = [(a, *grams(texts[a:b], order, words)) for a, b in parts(texts)]
+        answers = answers.sort_values(["k", "part"])
         tables = []
         for k in range(order + 1):
-            got = [unpack(x) for x in answers["list"][answers["k"] == k]]
-            codes, n = (np.concatenate(x) for x in zip(*got)) if got else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            by = np.argsort(codes)
-            tables.append((codes[by], n[by]))
+            own = np.unique(np.concatenate([codes[k - 1][before >= k - 1] for _, codes, before, _ in pieces]) if k else th)
+            got = [unpack_counts(x) for x in answers["counts"][answers["k"] == k]]
+            tables.append((own, np.concatenate(got) if got else np.zeros(0, np.int64)))
 
         def counted(k: int, codes: np.ndarray) -> np.ndarray:
-            """The counts of n-grams of this block; what has no answer occurs once."""
-            known, n = tables[k]
-            if not len(known):
-                return np.ones(len(codes), np.int64)
-            at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
-            return np.where(known[at] == codes, n[at], 1)
-
-        copies = counted(0, rows["th"].to_numpy(np.int64).view(np.uint64))
-        texts, words, sizes, sums = [t or b"" for t in rows["text"]], Words(), [], []
-        for a, b in parts(texts):
-            codes, before, size = grams(texts[a:b], order, words)
+            """The corpus counts of n-grams of this block; others, across the start of a text, are not used."""
+            own, n = tables[k]
+            return n[np.minimum(np.searchsorted(own, codes), len(own) - 1)] if len(own) else np.zeros(len(codes), np.int64)
+
+        copies, sizes, sums = counted(0, th), [], []
+        for a, codes, before, size in pieces:
             found = [counted(k + 1, c) for k, c in enumerate(codes)]
             ends = np.cumsum(size)
             for i, (end, m) in enumerate(zip(ends.tolist(), size.tolist())):
@@ -240,6 +250,6 @@ def lm_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, block_b
     rows = blocked(docs, max(1, stats["n"] * block_bytes // max(1, stats["bytes"])))
     bits = (blocks_for(stats["words"], part_words) - 1).bit_length()
     lists = rows.select("block", "text", "th").mapInPandas(_listed(order, bits), "block long, k int, part long, list binary")
-    answers = lists.groupBy("k", "part").applyInPandas(_answered, "block long, k int, list binary")
+    answers = lists.groupBy("k", "part").applyInPandas(_answered, "block long, k int, part long, counts binary")
     out = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_scored(order, alpha, stats["words"]), "doc_id long, n_words long, log2_prob double")
     return out.withColumn("mean_log2", F.when(F.col("n_words") > 0, F.col("log2_prob") / F.col("n_words")))
