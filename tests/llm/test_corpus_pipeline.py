@@ -71,6 +71,6 @@ def test_all_queries_are_registered():
 
     names, sql = set(entry.queries()), set(entry.oracle_sql())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
-    assert {n for n in sql if n.startswith("op")} == {"op2_exact_topk", "op3_line_dedup", "op4_substring_dedup", "op5_decontaminate", "op8_url_filter"}
+    assert {n for n in sql if n.startswith("op")} == {"op2_exact_topk", "op7_lm_score", "op11_prefix_trie", "op13_filter_audit", "op3_line_dedup", "op4_substring_dedup", "op5_decontaminate", "op8_url_filter"}
