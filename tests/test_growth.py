@@ -5,6 +5,7 @@ import pytest
 
 from vitrina.operators import facts as FX
 from vitrina.plans import catalog, streams
+from vitrina.streaming import ingest
 from vitrina.streaming.change_table import ChangeTable
 from vitrina.streaming.mapped import MappedIngest
 
@@ -65,3 +66,15 @@ def test_whole_files_are_read_once(spark, tmp_path, monkeypatch, broken):
     assert [(x.rows, x.rejected) for x in loaded] == [(1, int(broken))]
     assert published == {"devoluciones_raw": True, "devoluciones_rejected": broken}
     assert spark.read.parquet(str(tmp_path / "b/devoluciones_rejected")).count() == int(broken)
+
+
+def test_bronze_files_can_be_split(spark, tmp_path, monkeypatch):
+    pq = pytest.importorskip("pyarrow.parquet")
+    monkeypatch.setattr(ingest, "ROW_GROUP_BYTES", 1 << 10)
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "devoluciones_1.csv").write_text("id_devolucion,id_venta,motivo,fecha_devolucion\n" + "".join(f"{i},{i * 7},roto {i},2020-01-01\n" for i in range(5000)))
+    ingest.ingest_to_bronze(spark, str(landing), "devoluciones", str(tmp_path / "b"), str(tmp_path / "c"))
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "b").glob("part*")]
+    assert sum(m.num_rows for m in files) == 5000 and max(m.num_row_groups for m in files) > 1
+    assert spark.conf.get(ingest.ROW_GROUP, None) is None

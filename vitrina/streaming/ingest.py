@@ -13,19 +13,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vitrina.sources.feeds import read_feed_stream
 
+# Size of a bronze file's row groups: readers can't split a row group, and a micro-batch
+# of few files is to be cleaned by more tasks than it has files.
+ROW_GROUP, ROW_GROUP_BYTES = "parquet.block.size", 4 << 20
+
 
 def ingest_to_bronze(spark: SparkSession, landing_dir: str, feed: str, bronze_dir: str,
                      checkpoint_dir: str, max_files_per_trigger: int | None = None) -> dict:
     """Append every new file of ``feed`` to ``bronze_dir``; returns the number
     of batches that the table has been fed so far."""
     src = read_feed_stream(spark, landing_dir, feed, max_files_per_trigger=max_files_per_trigger)
-    q = (src.writeStream
-         .format("parquet")
-         .option("path", bronze_dir)
-         .option("checkpointLocation", checkpoint_dir)
-         .outputMode("append")
-         .trigger(availableNow=True)
-         .start())
+    # the sink takes this setting from the session, as it is when the query starts
+    before = spark.conf.get(ROW_GROUP, None)
+    spark.conf.set(ROW_GROUP, str(ROW_GROUP_BYTES))
+    try:
+        q = (src.writeStream
+             .format("parquet")
+             .option("path", bronze_dir)
+             .option("checkpointLocation", checkpoint_dir)
+             .outputMode("append")
+             .trigger(availableNow=True)
+             .start())
+    finally:
+        spark.conf.unset(ROW_GROUP) if before is None else spark.conf.set(ROW_GROUP, before)
     q.awaitTermination()
     return {"batches": int((q.lastProgress or {}).get("batchId", -1)) + 1}
 
