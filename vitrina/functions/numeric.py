@@ -21,11 +21,14 @@ def _c(col: Column | str) -> Column:
 def decode_spelled_number(col: Column | str, words: dict[str, str] = SPELLED_NUMBERS) -> Column:
     """M1/M6: map ``lower(trim(x))`` through the word table, else keep x.
 
-    ``try_element_at`` returns NULL for a missing key under ANSI mode.
+    ``try_element_at`` returns NULL for a missing key under ANSI mode. A lookup compares
+    with every word, so only texts as long as some word are looked up.
     """
     table = F.create_map(*[F.lit(v) for v in chain(*words.items())])
     c = _c(col)
-    return F.coalesce(F.try_element_at(table, F.lower(F.trim(c))), c.cast("string"))
+    word = F.lower(F.trim(c))
+    found = F.when(F.length(word).isin(sorted({len(w) for w in words})), F.try_element_at(table, word))
+    return F.coalesce(found, c.cast("string"))
 
 
 def positive_int(col: Column | str) -> Column:
