@@ -32,8 +32,12 @@ def decode_spelled_number(col: Column | str, words: dict[str, str] = SPELLED_NUM
 
 
 def positive_int(col: Column | str) -> Column:
-    """M2: ``try_cast(x AS INT)``; non-positive or unparsable -> NULL."""
-    v = _c(col).try_cast("int")
+    """M2: ``try_cast(x AS INT)``; non-positive or unparsable -> NULL.
+
+    A failed cast costs a thrown exception; no text with a letter, point, comma or slash
+    is an integer, so those are not cast."""
+    c = _c(col)
+    v = F.when((F.typeof(c) != "string") | ~c.cast("string").rlike(r"[A-Za-z.,/]"), c.try_cast("int"))
     return F.when(v > 0, v)
 
 

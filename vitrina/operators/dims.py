@@ -96,9 +96,9 @@ def dim_tiempo_loads(clean: DataFrame, keys: Sequence[str], sequence_by: str, lo
     dates of the current sales after the first load (rows where ``load`` holds) and after both.
     One aggregate per sale key, partial on every task, finds the newest row of each; its order
     is that of ``scd1_latest``."""
-    # what marks the load is last: it decides only between rows that are otherwise equal
+    # columns after the date decide only between rows of the same date
     rest = [c for c in clean.columns if c not in {*keys, sequence_by}]
-    newest = F.struct(sequence_by, *rest)
+    newest = F.struct(sequence_by, *rest[:rest.index("fecha_venta") + 1])
     both = clean.where(key_not_null(keys)).groupBy(*keys).agg(
         F.max(newest).alias("now"), F.max(F.when(load, newest)).alias("first"))
     dates = both.select(F.explode(F.array("now.fecha_venta", "first.fecha_venta")).alias("fecha_venta"))
