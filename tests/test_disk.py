@@ -71,7 +71,7 @@ def test_tables_and_landed_files_are_compressed(spark):
     assert landed and all(f.endswith(".csv.gz") for f in landed)
     jobs.run(spark, z.landing, out, AS_OF)
     at = z.root.removeprefix("file:")
-    for table in ("bronze/ventas_raw", "out/bronze/ventas_raw", "out/bronze/ventas_clean", "out/silver/ventas"):
+    for table in ("bronze/ventas_raw", "out/bronze/ventas_raw", "out/bronze/ventas_clean", "out/silver/ventas", "out/gold/dim_tiempo", "out/gold/fact_ventas_rechazadas"):
         files = glob.glob(f"{at}/{table}/**/*.parquet", recursive=True)
         assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}, table
     assert spark.read.parquet(f"{z.root}/out/bronze/ventas_raw").count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
@@ -113,3 +113,48 @@ def test_counts_with_ties_and_nulls(spark, tmp_path):
     mine = {r[0] for r in batches[2]}
     want = (len(mine - set(old)), sum(old[k] != new[k] for k in mine & set(old)), 0)
     assert min(want[:2]) > 0 and tuple(table.counts("f", 2).first()) == want
+
+
+def test_sales_of_a_run_are_found_once(spark, monkeypatch):
+    z, found = Landing(spark, "run-sales-test"), []
+    out = f"{z.root}/out"
+    for name in ("read", "lookup"):
+        whole = getattr(ChangeTable, name)
+        monkeypatch.setattr(ChangeTable, name, lambda self, *a, name=name, whole=whole: found.append((self.root.rpartition("out/")[2], name)) or whole(self, *a))
+    sales_of = jobs._sales_of
+    monkeypatch.setattr(jobs, "_sales_of", lambda *a: found.append(("silver/ventas", "months")) or sales_of(*a))
+    want = [["read"], ["read"], ["lookup", "months"]]  # all sales are new, most of them, few
+    for lotes, n in zip(([0], [1, 2], []), want, strict=True):
+        z.land(SF, "ventas", lotes)
+        if not lotes:
+            line = "id_venta,id_cliente,id_tienda,id_producto,cantidad,monto,fecha_venta,updated_at\n1,1,1,1,2,3.5,2020-01-01 00:00:00,2024-01-01 00:00:00\n"
+            with open(f"{z.landing.removeprefix('file:')}/ventas_tarde.csv", "w") as f:
+                f.write(line)
+        found.clear()
+        result = jobs.run(spark, z.landing, out, AS_OF)
+        assert [x for table, x in found if table == "silver/ventas"] == n
+        facts, rejects = (spark.read.parquet(result["gold"][t]) for t in jobs.FACTS)
+        rejected = rejects.select("id_venta", "id_producto_source").distinct().count()
+        assert facts.count() + rejected == jobs.silver_tables(spark, out)["ventas"].count()
+        assert not glob.glob(f"{out.removeprefix('file:')}/gold/_work/*")
+
+
+@pytest.mark.parametrize("sizes", [(30, 5), (5, 30)])
+def test_stored_sales_equal_a_lookup(spark, tmp_path, sizes):
+    source, rnd = ChangeTable(spark, str(tmp_path / "t"), ["k"], "ts"), random.Random(3)
+    for batch, n in enumerate(sizes):
+        rows = [(*r, rnd.choice([None, "2020-01", "2020-02"])) for r in _rows(rnd, n, 40)]
+        source.append(spark.createDataFrame(rows, f"{SCHEMA}, anio_mes string").coalesce(1), "f", batch)
+
+    def plain(df):
+        return sorted(str(r) for r in df.select("k", "v", "w", "ts", "anio_mes").collect())
+
+    parts = sorted(source.partitions())
+    for i, some in enumerate((parts[1:], parts)):
+        sales = jobs.RunSales(spark, source, str(tmp_path / f"w{i}"))
+        source.partitions = lambda: dict(zip(parts, sizes, strict=True))  # files of a few rows are of one size
+        assert plain(sales.rows(some)) == plain(jobs.current_rows(source, some))
+        assert (sales._state is None) == (sizes[0] > sizes[1] and some != parts)
+        for months in (["2020-01"], ["2020-02", jobs.NO_MONTH]):
+            assert plain(sales.of_months(months)) == plain(source.read().where(jobs._month().isin(months)))
+            sales = sales if sales._state is not None else jobs.RunSales(spark, source, str(tmp_path / f"w{i}-{len(months)}"))
